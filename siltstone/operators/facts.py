@@ -35,7 +35,15 @@ def load_facts(stg_sales: DataFrame, dim_player: DataFrame, dim_skin: DataFrame)
     The skin's list price travels along as ``list_price``, so the price repair
     needs no second join with the dimension.
     """
-    sales = stg_sales.where(F.col("transaction_id").isNotNull())
+    # The date is parsed once, in a projection of its own, before rows move.
+    sales = stg_sales.where(F.col("transaction_id").isNotNull()).select(
+        "transaction_id",
+        "player_id",
+        "skin_id",
+        guarded_date(F.col("purchase_date")).alias("_day"),
+        "price_rp",
+        "quantity",
+    )
     players = dim_player.select("player_key", F.col("player_id").alias("_dim_player_id"))
     skins = dim_skin.select(
         "skin_key", F.col("skin_id").alias("_dim_skin_id"), F.col("price_rp").alias(LIST_PRICE)
@@ -46,7 +54,7 @@ def load_facts(stg_sales: DataFrame, dim_player: DataFrame, dim_skin: DataFrame)
         "transaction_id",
         "player_key",
         "skin_key",
-        date_key(guarded_date(F.col("purchase_date"))).alias("date_key"),
+        date_key(F.col("_day")).alias("date_key"),
         "price_rp",
         "quantity",
         (F.col("price_rp") * F.col("quantity")).alias("total_rp"),

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from siltstone.runtime import durable
 
-# A block holds at most 2**21 distinct ids, a group of blocks at most 2**21
-# blocks, and the 64-bit range at most 2**22 groups.
-_BLOCK_BITS = 21
+# A block holds at most 2**20 distinct ids, a group at most 2**22 blocks, and
+# the 64-bit range at most 2**22 groups.
+_BLOCK_BITS = 20
+_GROUP_BITS = 22
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row below
 
@@ -18,8 +19,8 @@ def dense_key(df: DataFrame, id_col: str, key_col: str) -> DataFrame:
     """Number the rows 1..n in order of a *unique* whole-number id.
 
     ``row_number() over (order by id)`` would pull the table into one task.
-    Here ids are cut into blocks of 2**21 consecutive values. As ids are
-    unique, no block exceeds 2**21 rows however they are distributed, so each
+    Here ids are cut into blocks of 2**20 consecutive values. As ids are
+    unique, no block exceeds 2**20 rows however they are distributed, so each
     window below has a proven bound, and the result depends on the ids alone:
     nothing is sampled, and a lost executor recomputes the same keys.
     """
@@ -29,7 +30,7 @@ def dense_key(df: DataFrame, id_col: str, key_col: str) -> DataFrame:
     blocks = (
         rows_in.groupBy(block)
         .agg(F.count(F.lit(1)).alias(rows))
-        .withColumn(group, F.shiftright(F.col(block), _BLOCK_BITS))
+        .withColumn(group, F.shiftright(F.col(block), _GROUP_BITS))
     )
     groups = (
         blocks.groupBy(group)

@@ -19,6 +19,7 @@ from siltstone.operators.dims import dim_player, dim_skin
 from siltstone.operators.facts import clean_facts, load_facts
 from siltstone.operators.quality import monitor, quarantine
 from siltstone.rules import Rules
+from siltstone.runtime import durable
 
 _SKIN = (
     "skin_key",
@@ -86,13 +87,41 @@ class Gold(Layer):
     TABLES = ("dim_date", "dim_skin", "dim_player", "fact_sales")
 
 
+Settle = Callable[[str, DataFrame], DataFrame]
+
+
+def as_planned(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def durable_tables(*names: str) -> Settle:
+    """Settle the named tables by writing them once to the shared scratch folder.
+
+    For tables several later steps read. Their size is then known, so Spark's
+    choice between broadcast and shuffle rests on it rather than on a guess.
+    """
+    return lambda name, df: durable(df, name) if name in names else df
+
+
+def _settled(planned: dict[str, Callable[[], DataFrame]], settle: Settle):
+    return {name: lambda n=name, plan=plan: settle(n, plan()) for name, plan in planned.items()}
+
+
+def bronze(planned: dict[str, Callable[[], DataFrame]], settle: Settle = as_planned) -> Bronze:
+    return Bronze(**_settled(planned, settle))
+
+
 def silver_fact_load(bronze: Bronze, silver: Silver) -> DataFrame:
     """Staged sales keyed to the dimensions, before cleansing."""
     return load_facts(bronze.stg_sales, silver.dim_player, silver.dim_skin)
 
 
-def silver(spark: SparkSession, bronze: Bronze, rules: Rules, **written: DataFrame) -> Silver:
-    """The layer over ``bronze``; tables passed by name are taken as they are."""
+def silver(spark: SparkSession, bronze: Bronze, rules: Rules, settle: Settle = as_planned) -> Silver:
+    """The layer over ``bronze``.
+
+    ``settle`` gets every table by name as it is planned, and returns what the
+    steps after it read: the plan itself, or the table it has written.
+    """
     planned = {
         "dim_date": lambda: calendar(spark, rules.calendar_start, rules.calendar_end),
         "dim_skin": lambda: dim_skin(bronze.stg_skins, rules),
@@ -101,7 +130,7 @@ def silver(spark: SparkSession, bronze: Bronze, rules: Rules, **written: DataFra
         "fact_sale_quarantine": lambda: quarantine(layer.fact_sale, bronze.stg_sales),
         "data_quality_log": lambda: monitor(layer.fact_sale, rules),
     }
-    layer = Silver(**(planned | written))
+    layer = Silver(**_settled(planned, settle))
     return layer
 
 
@@ -127,25 +156,29 @@ def gold_facts(silver: Silver) -> DataFrame:
     )
 
 
-def gold(silver: Silver) -> Gold:
-    """The star with facts that break a gold constraint left out.
+def gold_facts_kept(silver: Silver) -> DataFrame:
+    """Gold facts without those that break a gold constraint.
 
     A valid sale may point at an invalid dimension row, which gold does not
     hold; rounding may also turn a price into 0.
-    """
 
-    def facts() -> DataFrame:
-        kept = gold_facts(silver).where(_all_pass(gold_fact_checks()))
-        for dim, key in (
-            (layer.dim_player, "player_key"),
-            (layer.dim_skin, "skin_key"),
-            (layer.dim_date, "date_key"),
-        ):
-            kept = kept.join(dim.select(key), key, "left_semi")
-        return kept
-
-    layer = Gold(**gold_dims(silver), fact_sales=facts)
-    return layer
+    Valid sales carry keys of silver dimensions and dates of the calendar, so
+    a key is missing from gold exactly if its silver row is invalid. Invalid
+    rows are few: excluding them moves less than looking up the valid ones.
+    """
+    kept = gold_facts(silver).where(_all_pass(gold_fact_checks()))
+    for dim, key in ((silver.dim_player, "player_key"), (silver.dim_skin, "skin_key")):
+        kept = kept.join(dim.where(~F.col("is_valid")).select(key), key, "left_anti")
+    return kept
+
+
+def gold(
+    silver: Silver,
+    settle: Settle = as_planned,
+    facts: Callable[[Silver], DataFrame] = gold_facts_kept,
+) -> Gold:
+    """The star over ``silver``."""
+    return Gold(**_settled(gold_dims(silver) | {"fact_sales": lambda: facts(silver)}, settle))
 
 
 def _all_pass(checks: list[c.Check]):

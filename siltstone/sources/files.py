@@ -17,7 +17,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A CSV file with a header, typed by ``schema``; nothing is inferred.
 
     Fields are matched by position after the header; a value that does not fit
-    its type becomes NULL and the line is kept in ``_corrupt_record``.
+    its type becomes NULL and the line is kept in ``_corrupt_record``. An empty
+    field is NULL, a quoted empty field the empty text.
     """
     loose = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     return (
@@ -27,6 +28,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("quote", '"')
         .option("escape", '"')
+        .option("nullValue", "\u0000")
         .csv(path)
     )
 

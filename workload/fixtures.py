@@ -16,8 +16,8 @@ from siltstone.functions.dates import date_key
 from siltstone.functions.text import normalise_name
 from siltstone.operators.calendar import calendar
 from siltstone.operators.lookups import lookup
-from siltstone.plans import prep
-from siltstone.plans.layers import Bronze, Gold
+from siltstone.plans import layers, prep
+from siltstone.plans.layers import Bronze, Gold, Settle, as_planned
 from siltstone.rules import Rules
 
 RULES = Rules(
@@ -145,11 +145,14 @@ def stg_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> Bronze:
-    return Bronze(
-        stg_skins=lambda: stg_skins(spark, sf_dir),
-        stg_players=lambda: stg_players(spark, sf_dir),
-        stg_sales=lambda: stg_sales(spark, sf_dir),
+def bronze(spark: SparkSession, sf_dir: str, settle: Settle = as_planned) -> Bronze:
+    return layers.bronze(
+        {
+            "stg_skins": lambda: stg_skins(spark, sf_dir),
+            "stg_players": lambda: stg_players(spark, sf_dir),
+            "stg_sales": lambda: stg_sales(spark, sf_dir),
+        },
+        settle,
     )
 
 

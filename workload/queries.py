@@ -15,7 +15,7 @@ from siltstone.operators.facts import attach_list_price, clean_facts
 from siltstone.operators.keys import dense_index
 from siltstone.operators.profiles import keep_first
 from siltstone.plans import layers, prep, reports, views
-from siltstone.plans.layers import Gold, Silver
+from siltstone.plans.layers import Bronze, Gold, Silver
 from siltstone.runtime import scratch_dir
 from siltstone.sources import files
 from siltstone.sources.nested import flatten_catalogue
@@ -41,14 +41,42 @@ def plain(df: DataFrame) -> DataFrame:
     )
 
 
+# Tables that several steps of one query read are written once.
+_DIMS = ("dim_skin", "dim_player")
+_STAGED = ("stg_sales", *_DIMS)
+_ALL = ("fact_sale", *_STAGED)
+
+
+def _silver(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> tuple[Bronze, Silver]:
+    settle = layers.durable_tables(*names)
+    bronze = fx.bronze(spark, sf_dir, settle)
+    return bronze, layers.silver(spark, bronze, fx.RULES, settle)
+
+
 def silver(spark: SparkSession, sf_dir: str) -> Silver:
-    return layers.silver(spark, fx.bronze(spark, sf_dir), fx.RULES)
+    return _silver(spark, sf_dir, _DIMS)[1]
+
+
+def quarantining_silver(spark: SparkSession, sf_dir: str) -> Silver:
+    return _silver(spark, sf_dir, _STAGED)[1]
+
+
+def counting_silver(spark: SparkSession, sf_dir: str) -> Silver:
+    return _silver(spark, sf_dir, _ALL)[1]
+
+
+def planned_silver(spark: SparkSession, sf_dir: str) -> Silver:
+    return _silver(spark, sf_dir, ())[1]
 
 
 def gold(spark: SparkSession, sf_dir: str) -> Gold:
     return layers.gold(silver(spark, sf_dir))
 
 
+def planned_gold(spark: SparkSession, sf_dir: str) -> Gold:
+    return layers.gold(planned_silver(spark, sf_dir))
+
+
 def _on(layer: Callable[[SparkSession, str], object], report: Callable) -> Query:
     return lambda spark, sf_dir: plain(report(layer(spark, sf_dir)))
 
@@ -72,20 +100,19 @@ def csv_stage(reader: Callable, source: Callable) -> Query:
 
 
 def dim_date(spark, sf_dir):
-    return silver(spark, sf_dir).dim_date
+    return planned_silver(spark, sf_dir).dim_date
 
 
 def dim_skin(spark, sf_dir):
-    return silver(spark, sf_dir).dim_skin
+    return planned_silver(spark, sf_dir).dim_skin
 
 
 def dim_player(spark, sf_dir):
-    return silver(spark, sf_dir).dim_player
+    return planned_silver(spark, sf_dir).dim_player
 
 
 def fact_sale_load(spark, sf_dir):
-    bronze = fx.bronze(spark, sf_dir)
-    loaded = layers.silver_fact_load(bronze, layers.silver(spark, bronze, fx.RULES))
+    loaded = layers.silver_fact_load(*_silver(spark, sf_dir, _DIMS))
     return plain(loaded.select(*schemas.FACT_COLUMNS))
 
 
@@ -95,8 +122,7 @@ def fact_sale_clean(spark, sf_dir):
 
 def fact_sale_repaired_external(spark, sf_dir):
     """Cleansing of a fact loaded elsewhere: no list price, some totals wrong."""
-    bronze = fx.bronze(spark, sf_dir)
-    s = layers.silver(spark, bronze, fx.RULES)
+    bronze, s = _silver(spark, sf_dir, _DIMS)
     loaded = layers.silver_fact_load(bronze, s).drop("list_price")
     wrong = F.col("transaction_id") % 7 == 0
     foreign = loaded.withColumn(
@@ -106,7 +132,7 @@ def fact_sale_repaired_external(spark, sf_dir):
 
 
 def quarantine(spark, sf_dir):
-    return silver(spark, sf_dir).fact_sale_quarantine
+    return quarantining_silver(spark, sf_dir).fact_sale_quarantine
 
 
 def dq_log(spark, sf_dir):
@@ -131,8 +157,7 @@ def gold_fk_breaks(spark, sf_dir):
 
 
 def constraint_audit(spark, sf_dir):
-    bronze = fx.bronze(spark, sf_dir)
-    s = layers.silver(spark, bronze, fx.RULES)
+    bronze, s = _silver(spark, sf_dir, _ALL)
     return reports.constraint_audit(bronze, s, layers.gold(s), fx.RULES)
 
 
@@ -311,6 +336,7 @@ def _first_two(skins: DataFrame) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     b, s, g = fx.bronze, silver, gold
+    q, c, ps, pg = quarantining_silver, counting_silver, planned_silver, planned_gold
     return {
         # bronze
         "bronze_counts": _on(b, reports.bronze_counts),
@@ -345,22 +371,22 @@ def queries() -> dict[str, Query]:
         "silver_load_status": _on(s, reports.silver_load_status),
         "dq_report": _on(s, reports.dq_report),
         "dq_totals": _on(s, reports.dq_totals),
-        "rejection_reasons": _on(s, reports.rejection_reasons),
+        "rejection_reasons": _on(q, reports.rejection_reasons),
         "dq_alerts": _on(s, reports.dq_alerts),
-        "silver_counts": _on(s, reports.silver_counts),
+        "silver_counts": _on(c, reports.silver_counts),
         "silver_quality": _on(s, reports.silver_quality),
         "silver_dq_log": _on(s, lambda layer: reports.silver_dq_log(layer).drop("run_timestamp")),
         "silver_alerts": _on(s, reports.silver_alerts),
-        "quarantine_share": _on(s, reports.quarantine_share),
-        "quarantine_sample": _on(s, reports.quarantine_sample),
-        "silver_rarity_dist": _on(s, reports.silver_rarity_dist),
-        "silver_segment_dist": _on(s, reports.silver_segment_dist),
-        "silver_region_dist": _on(s, reports.silver_region_dist),
+        "quarantine_share": _on(q, reports.quarantine_share),
+        "quarantine_sample": _on(q, reports.quarantine_sample),
+        "silver_rarity_dist": _on(ps, reports.silver_rarity_dist),
+        "silver_segment_dist": _on(ps, reports.silver_segment_dist),
+        "silver_region_dist": _on(ps, reports.silver_region_dist),
         "constraint_audit": constraint_audit,
         # gold
-        "gold_dim_date": _on(g, lambda layer: layer.dim_date),
-        "gold_dim_skin": _on(g, lambda layer: layer.dim_skin),
-        "gold_dim_player": _on(g, lambda layer: layer.dim_player),
+        "gold_dim_date": _on(pg, lambda layer: layer.dim_date),
+        "gold_dim_skin": _on(pg, lambda layer: layer.dim_skin),
+        "gold_dim_player": _on(pg, lambda layer: layer.dim_player),
         "gold_fact_sales": gold_fact_sales,
         "gold_fk_breaks": gold_fk_breaks,
         "revenue_by_segment_month": _on(g, views.revenue_by_segment_month),
