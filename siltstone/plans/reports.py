@@ -318,9 +318,7 @@ def gold_top10_players(gold: Gold) -> DataFrame:
 
 def gold_rarity_sales(gold: Gold) -> DataFrame:
     """``avg_price`` is the mean of the totals, as specified."""
-    per_skin = gold.fact_sales.groupBy("skin_key").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("total_rp").alias("amount")
-    )
+    per_skin = gold.fact_sales.groupBy("skin_key").agg(*views.sales_and_amount())
     revenue, sold = F.sum("amount"), F.sum("n")
     return (
         per_skin.join(gold.dim_skin.select("skin_key", "rarity"), "skin_key")
@@ -351,7 +349,7 @@ def _per_player(gold: Gold, *columns: str) -> DataFrame:
     """One row per buying player, with columns of the player dimension."""
     return (
         gold.fact_sales.groupBy("player_key")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("total_rp").alias("amount"))
+        .agg(*views.sales_and_amount())
         .join(gold.dim_player.select("player_key", *columns), "player_key")
     )
 

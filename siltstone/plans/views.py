@@ -16,8 +16,10 @@ from siltstone.plans.layers import Gold
 
 MONTH = ("year", "month", "month_name")
 
-_n = F.count(F.lit(1)).alias("n")
-_amount = F.sum("total_rp").alias("amount")
+
+def sales_and_amount() -> list[Column]:
+    """Number of sales as ``n`` and their total as ``amount``."""
+    return [F.count(F.lit(1)).alias("n"), F.sum("total_rp").alias("amount")]
 
 
 def mean(total: Column, count: Column) -> Column:
@@ -26,7 +28,7 @@ def mean(total: Column, count: Column) -> Column:
 
 def revenue_by_segment_month(star: Gold) -> DataFrame:
     per_player = (
-        dated_facts(star, *MONTH).groupBy("player_key", *MONTH).agg(_n, _amount)
+        dated_facts(star, *MONTH).groupBy("player_key", *MONTH).agg(*sales_and_amount())
     )
     return (
         per_player.join(star.dim_player.select("player_key", "player_segment"), "player_key")
@@ -44,7 +46,7 @@ def revenue_by_segment_month(star: Gold) -> DataFrame:
 def top_selling_skins(star: Gold) -> DataFrame:
     per_skin = (
         star.fact_sales.groupBy("skin_key", "player_key")
-        .agg(_n, _amount)
+        .agg(*sales_and_amount())
         .groupBy("skin_key")
         .agg(
             F.sum("n").alias("times_purchased"),
@@ -64,7 +66,7 @@ def weekend_vs_weekday_sales(star: Gold) -> DataFrame:
     return (
         dated_facts(star, "is_weekend")
         .groupBy("is_weekend")
-        .agg(_n, _amount)
+        .agg(*sales_and_amount())
         .select(
             F.when(F.col("is_weekend"), "Weekend").otherwise("Weekday").alias("day_type"),
             F.col("n").alias("transaction_count"),
@@ -80,8 +82,7 @@ def player_lifetime_value(star: Gold) -> DataFrame:
         dated_facts(star, "date")
         .groupBy("player_key")
         .agg(
-            _n,
-            _amount,
+            *sales_and_amount(),
             F.min("date").alias("first_purchase_date"),
             F.max("date").alias("last_purchase_date"),
         )

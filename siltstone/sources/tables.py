@@ -25,6 +25,9 @@ class Store:
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
 
+    def exists(self, layer: str, table: str) -> bool:
+        return self.spark.catalog.tableExists(self.name(layer, table))
+
     def refresh(
         self,
         layer: str,
