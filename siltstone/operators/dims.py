@@ -1,4 +1,4 @@
-"""The skin and player dimensions.
+"""Rows of the skin and player dimensions, before they get a surrogate key.
 
 Each function loads every staged row that has an id and flags it valid or not.
 A test that meets NULL does not count against the row, as in SQL.
@@ -12,18 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import is_blank
-from siltstone.operators.keys import dense_key
 from siltstone.rules import Rules
 
 
-def dim_skin(stg_skins: DataFrame, rules: Rules) -> DataFrame:
+def load_skins(stg_skins: DataFrame, rules: Rules) -> DataFrame:
     faults = [
         is_blank(F.col("champion_name")),
         is_blank(F.col("skin_name")),
         F.col("price_rp") < 0,
         ~F.col("rarity").isin(*rules.rarities),
     ]
-    loaded = stg_skins.where(F.col("skin_id").isNotNull()).select(
+    return stg_skins.where(F.col("skin_id").isNotNull()).select(
         "skin_id",
         F.trim("champion_name").alias("champion_name"),
         F.trim("skin_name").alias("skin_name"),
@@ -34,17 +33,16 @@ def dim_skin(stg_skins: DataFrame, rules: Rules) -> DataFrame:
         "skin_num",
         _no_fault(faults).alias("is_valid"),
     )
-    return dense_key(loaded, "skin_id", "skin_key")
 
 
-def dim_player(stg_players: DataFrame, rules: Rules) -> DataFrame:
+def load_players(stg_players: DataFrame, rules: Rules) -> DataFrame:
     """Region and segment are stored normalised but judged as staged."""
     faults = [
         ~F.col("region").isin(*rules.regions),
         ~F.col("player_segment").isin(*rules.segments),
         F.col("account_created_date") > rules.today(),
     ]
-    loaded = stg_players.where(F.col("player_id").isNotNull()).select(
+    return stg_players.where(F.col("player_id").isNotNull()).select(
         "player_id",
         F.upper(F.trim("region")).alias("region"),
         "account_created_date",
@@ -52,7 +50,6 @@ def dim_player(stg_players: DataFrame, rules: Rules) -> DataFrame:
         F.datediff(rules.today(), "account_created_date").alias("account_age_days"),
         _no_fault(faults).alias("is_valid"),
     )
-    return dense_key(loaded, "player_id", "player_key")
 
 
 def _no_fault(faults: list[Column]) -> Column:

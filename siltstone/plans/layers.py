@@ -15,8 +15,9 @@ from siltstone import rules as fixed
 from siltstone.functions.numbers import round_to_long
 from siltstone.operators import constraints as c
 from siltstone.operators.calendar import CALENDAR_COLUMNS, calendar
-from siltstone.operators.dims import dim_player, dim_skin
+from siltstone.operators.dims import load_players, load_skins
 from siltstone.operators.facts import clean_facts, load_facts
+from siltstone.operators.keys import dense_key
 from siltstone.operators.quality import monitor, quarantine
 from siltstone.rules import Rules
 from siltstone.runtime import durable
@@ -116,16 +117,32 @@ def silver_fact_load(bronze: Bronze, silver: Silver) -> DataFrame:
     return load_facts(bronze.stg_sales, silver.dim_player, silver.dim_skin)
 
 
-def silver(spark: SparkSession, bronze: Bronze, rules: Rules, settle: Settle = as_planned) -> Silver:
+def silver(
+    spark: SparkSession,
+    bronze: Bronze,
+    rules: Rules,
+    settle: Settle = as_planned,
+    check: Settle = as_planned,
+) -> Silver:
     """The layer over ``bronze``.
 
     ``settle`` gets every table by name as it is planned, and returns what the
     steps after it read: the plan itself, or the table it has written.
+    ``check`` gets dimension rows before they are keyed, as keys need ids to be
+    unique, and returns the rows to key.
     """
+
+    def keyed(name: str, loaded: DataFrame, id_col: str, key_col: str) -> DataFrame:
+        return dense_key(check(name, loaded), id_col, key_col)
+
     planned = {
         "dim_date": lambda: calendar(spark, rules.calendar_start, rules.calendar_end),
-        "dim_skin": lambda: dim_skin(bronze.stg_skins, rules),
-        "dim_player": lambda: dim_player(bronze.stg_players, rules),
+        "dim_skin": lambda: keyed(
+            "dim_skin", load_skins(bronze.stg_skins, rules), "skin_id", "skin_key"
+        ),
+        "dim_player": lambda: keyed(
+            "dim_player", load_players(bronze.stg_players, rules), "player_id", "player_key"
+        ),
         "fact_sale": lambda: clean_facts(silver_fact_load(bronze, layer), layer.dim_date),
         "fact_sale_quarantine": lambda: quarantine(layer.fact_sale, bronze.stg_sales),
         "data_quality_log": lambda: monitor(layer.fact_sale, rules),
@@ -213,7 +230,6 @@ def dim_skin_constraints(rules: Rules) -> list[c.Constraint]:
         ),
         c.Check("price_not_negative", F.col("price_rp") >= 0),
         c.one_of("rarity", rules.rarities),
-        c.Unique("skin_key"),
         c.Unique("skin_id"),
     ]
 
@@ -224,7 +240,6 @@ def dim_player_constraints(rules: Rules) -> list[c.Constraint]:
         *c.max_length({"region": rules.region_length, "player_segment": fixed.SEGMENT_LENGTH}),
         c.one_of("region", rules.regions),
         c.one_of("player_segment", rules.segments),
-        c.Unique("player_key"),
         c.Unique("player_id"),
     ]
 

@@ -368,8 +368,12 @@ def constraint_audit(bronze: Bronze, silver: Silver, gold: Gold, rules: Rules) -
         "stg_skins": c.audit(bronze.stg_skins, stg["stg_skins"]),
         "stg_players": c.audit(bronze.stg_players, stg["stg_players"]),
         "dim_date": c.audit(silver.dim_date, layers.dim_date_constraints()),
-        "dim_skin": c.audit(silver.dim_skin, layers.dim_skin_constraints(rules)),
-        "dim_player": c.audit(silver.dim_player, layers.dim_player_constraints(rules)),
+        "dim_skin": c.audit(
+            silver.dim_skin, [*layers.dim_skin_constraints(rules), c.Unique("skin_key")]
+        ),
+        "dim_player": c.audit(
+            silver.dim_player, [*layers.dim_player_constraints(rules), c.Unique("player_key")]
+        ),
         "fact_sales": c.audit(
             layers.gold_facts(silver), layers.gold_fact_constraints(), parents
         ),

@@ -58,7 +58,7 @@ def build(
         {name: (lambda df=df: df) for name, df in staged.tables().items()}, run.settle_bronze
     )
     bronze.tables()
-    silver = layers.silver(spark, bronze, rules, run.settle_silver)
+    silver = layers.silver(spark, bronze, rules, run.settle_silver, run.check_dimension)
     silver.tables()
     gold = layers.gold(silver, run.settle_gold, layers.gold_facts)
     run.gold = gold
@@ -87,31 +87,27 @@ class _Build:
         rules = layers.stg_constraints(self.rules).get(name, [])
         return self._refresh("bronze", name, self._checked("bronze", name, df, rules), "loaded_at")
 
+    def check_dimension(self, name: str, df: DataFrame) -> DataFrame:
+        rules = {"dim_skin": layers.dim_skin_constraints, "dim_player": layers.dim_player_constraints}
+        return self._checked("silver", name, df, rules[name](self.rules))
+
     def settle_silver(self, name: str, df: DataFrame) -> DataFrame:
-        rules = {
-            "dim_date": layers.dim_date_constraints,
-            "dim_skin": lambda: layers.dim_skin_constraints(self.rules),
-            "dim_player": lambda: layers.dim_player_constraints(self.rules),
-            "fact_sale_quarantine": layers.quarantine_constraints,
-        }.get(name, list)()
-        df = self._checked("silver", name, df, rules)
         if name == "fact_sale":
             return self._refresh("silver", name, load_order_index(df, "sale_key"), "created_at")
         if name == "fact_sale_quarantine":
+            df = self._checked("silver", name, df, layers.quarantine_constraints())
             numbered = load_order_index(df, "quarantine_id")
             return self._refresh("silver", name, numbered, "rejection_timestamp")
         if name == "data_quality_log":
             return self._log(df)
+        if name == "dim_date":
+            df = self._checked("silver", name, df, layers.dim_date_constraints())
         return self._refresh("silver", name, df, "created_at")
 
     def settle_gold(self, name: str, df: DataFrame) -> DataFrame:
+        # Gold dimensions are rows of checked silver ones; only facts can break.
         if name != "fact_sales":
-            rules = {
-                "dim_date": layers.dim_date_constraints,
-                "dim_skin": lambda: layers.dim_skin_constraints(self.rules),
-                "dim_player": lambda: layers.dim_player_constraints(self.rules),
-            }[name]()
-            return self._refresh("gold", name, self._checked("gold", name, df, rules), "created_at")
+            return self._refresh("gold", name, df, "created_at")
         assert self.gold is not None
         parents = {n: getattr(self.gold, n) for n in ("dim_player", "dim_skin", "dim_date")}
         facts = self._checked("gold", name, df, layers.gold_fact_constraints(), parents)

@@ -6,7 +6,8 @@ import pytest
 from helpers import RULES, players, rows, sales, skins
 from pyspark.sql import functions as F
 
-from siltstone.operators.dims import dim_player, dim_skin
+from siltstone.operators.dims import load_players, load_skins
+from siltstone.operators.keys import dense_key
 from siltstone.operators.facts import recompute_total
 from siltstone.operators.quality import monitor
 from siltstone.plans import layers, reports
@@ -126,7 +127,7 @@ def test_wrong_total_is_recomputed(spark):
 
 
 def test_player_is_stored_normalised_but_judged_as_staged(spark, dims):
-    found = dim_player(dims[0], RULES)
+    found = dense_key(load_players(dims[0], RULES), "player_id", "player_key")
     assert rows(found, "player_key", "player_id", "region", "player_segment", "is_valid") == [
         (1, 1, "EUW", "core", True),
         (2, 3, "EUW", "core", False),
@@ -136,7 +137,7 @@ def test_player_is_stored_normalised_but_judged_as_staged(spark, dims):
 
 def test_skin_validity(spark, dims):
     odd = skins(spark, (9, "Ann", "x", "Mythic", 1), (11, "Ann", "x", "Epic", -1), (13, "A", "x", None, None))
-    found = dim_skin(dims[1].unionByName(odd), RULES)
+    found = load_skins(dims[1].unionByName(odd), RULES)
     assert rows(found, "skin_id", "skin_name", "is_valid") == [
         (1, "Red Ann", True),
         (11, "x", False),

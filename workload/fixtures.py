@@ -160,7 +160,7 @@ def bronze(spark: SparkSession, sf_dir: str, settle: Settle = as_planned) -> Bro
 
 
 def clean_star(spark: SparkSession, sf_dir: str) -> Gold:
-    """Every line item is a sale; keys are the natural ones."""
+    """Every line item is a sale in whole cents; keys are the natural ones."""
 
     def facts() -> DataFrame:
         orders = table(spark, sf_dir, "orders").select(
@@ -175,7 +175,7 @@ def clean_star(spark: SparkSession, sf_dir: str) -> Gold:
                 "player_key",
                 F.col("l_partkey").alias("skin_key"),
                 "date_key",
-                F.col("l_extendedprice").cast("decimal(18,2)").alias("total_rp"),
+                F.round(F.col("l_extendedprice") * 100).cast("long").alias("total_rp"),
             )
         )
 
