@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.dates import lenient_date
-from siltstone.functions.numbers import percent
 from siltstone.functions.text import contains_any, normalise_name
 from siltstone.operators.extract import (
     carry_forward,
@@ -197,10 +196,10 @@ def extract_skins_fallback(docs: DataFrame) -> DataFrame:
 def extract_with_fallback(docs: DataFrame, fewest: int = FEWEST_SKINS) -> DataFrame:
     """The main extraction, or the simpler one if it finds fewer than ``fewest``.
 
-    Looks at no more than ``fewest`` rows to decide.
+    Deciding stops as soon as ``fewest`` rows are found.
     """
     main = extract_skins(docs)
-    enough = main.limit(fewest).count() >= fewest
+    enough = len(main.select(F.lit(1)).take(fewest)) == fewest
     return main if enough else extract_skins_fallback(docs)
 
 
@@ -374,14 +373,15 @@ def sales_per_player(sales: DataFrame) -> DataFrame:
 def sales_by_segment(sales: DataFrame, players: DataFrame) -> DataFrame:
     """Sales of known players per segment, in percent of *all* sales."""
     segments = players.select("player_id", "player_segment")
-    all_sales = sales.agg(F.count(F.lit(1)))
-    return (
+    grouped = (
         sales_per_player(sales)
-        .join(segments, "player_id")
-        .where(F.col("player_segment").isNotNull())
+        .join(segments, "player_id", "left")
         .groupBy("player_segment")
         .agg(F.sum("sales").alias("count"))
-        .withColumn("pct", percent(F.col("count"), all_sales.scalar(), 1))
+    )
+    return (
+        with_share(grouped, places=1)
+        .where(F.col("player_segment").isNotNull())
         .orderBy(F.desc("count"), "player_segment")
     )
 
