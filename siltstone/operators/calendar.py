@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import dates
@@ -28,10 +28,24 @@ CALENDAR_COLUMNS = (
 
 def calendar(spark: SparkSession, start: date, end: date) -> DataFrame:
     """One row per day from ``start`` to ``end``; ``week`` is the ISO week."""
-    d = F.col("date")
-    days = spark.range(1, numPartitions=1).select(
-        F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))).alias("date")
+    bounds = spark.range(1, numPartitions=1).select(F.lit(start).alias("start"), F.lit(end).alias("end"))
+    return calendar_between(bounds)
+
+
+def calendar_covering(df: DataFrame, day: Column) -> DataFrame:
+    """The whole years that hold every ``day`` of a table; empty if it has none."""
+    first, last = F.min(day), F.max(day)
+    bounds = df.agg(
+        F.trunc(first, "year").alias("start"),
+        F.date_sub(F.add_months(F.trunc(last, "year"), 12), 1).alias("end"),
     )
+    return calendar_between(bounds.where(F.col("start").isNotNull()))
+
+
+def calendar_between(bounds: DataFrame) -> DataFrame:
+    """The calendar of one row with the dates ``start`` and ``end``."""
+    d = F.col("date")
+    days = bounds.select(F.explode(F.sequence("start", "end", F.expr("interval 1 day"))).alias("date"))
     return days.select(
         dates.date_key(d).alias("date_key"),
         d,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import dates, numbers, text
 from siltstone.operators import constraints as c
-from siltstone.operators.calendar import calendar
+from siltstone.operators.calendar import calendar, calendar_covering
 from siltstone.operators.keys import dense_index, dense_key, load_order_index
 from siltstone.operators.lookups import lookup
 from siltstone.operators.profiles import first_per_group, frequency, removed_by, value_counts
@@ -119,6 +119,13 @@ def test_calendar(spark):
     assert leap.is_month_end and leap.quarter == 1
 
 
+def test_calendar_covering(spark):
+    df = spark.createDataFrame([(date(2023, 5, 1),), (None,), (date(2024, 2, 1),)], "d date")
+    days = calendar_covering(df, F.col("d"))
+    assert rows(days.agg(F.min("date_key"), F.max("date_key"), F.count("date")), "*") == [(20230101, 20241231, 731)]
+    assert calendar_covering(df.where("d IS NULL"), F.col("d")).count() == 0
+
+
 def test_first_per_group_limits_inside_tasks(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("g"), "id")
     top = first_per_group(df, "g", ["id"], 2)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from siltstone import schemas
 from siltstone.functions import dates, numbers, text
+from siltstone.operators.calendar import calendar_covering
 from siltstone.operators.extract import carry_forward, explode_matches, extract_or_null
 from siltstone.operators.facts import attach_list_price, clean_facts
 from siltstone.operators.keys import dense_index
@@ -100,7 +101,20 @@ def csv_stage(reader: Callable, source: Callable) -> Query:
 
 
 def dim_date(spark, sf_dir):
-    return planned_silver(spark, sf_dir).dim_date
+    """The calendar of the years in which orders were placed."""
+    orders = fx.table(spark, sf_dir, "orders")
+    return calendar_covering(orders, F.to_date("o_orderdate"))
+
+
+def gold_dim_date(spark, sf_dir):
+    days = dim_date(spark, sf_dir)
+    s = layers.silver(
+        spark,
+        fx.bronze(spark, sf_dir),
+        fx.RULES,
+        lambda name, df: days if name == "dim_date" else df,
+    )
+    return layers.gold(s).dim_date
 
 
 def dim_skin(spark, sf_dir):
@@ -385,7 +399,7 @@ def queries() -> dict[str, Query]:
         "silver_region_dist": _on(ps, reports.silver_region_dist),
         "constraint_audit": constraint_audit,
         # gold
-        "gold_dim_date": _on(pg, lambda layer: layer.dim_date),
+        "gold_dim_date": gold_dim_date,
         "gold_dim_skin": _on(pg, lambda layer: layer.dim_skin),
         "gold_dim_player": _on(pg, lambda layer: layer.dim_player),
         "gold_fact_sales": gold_fact_sales,
