@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def normalise_name(name: Column) -> Column:
     """Lower case, letters a-z and digits only; NULL becomes the empty text."""
-    return F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), "[^a-z0-9]", "")
+    return F.regexp_replace(F.lower(F.coalesce(name, F.lit(""))), "[^a-z0-9]+", "")
 
 
 def is_blank(text: Column) -> Column:

@@ -345,6 +345,10 @@ def _sales_players(report: Callable[[DataFrame, DataFrame], DataFrame]) -> Query
     )
 
 
+def _extracted(report: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: report(prep.extract_skins(fx.catalogue_texts(spark, sf_dir)))
+
+
 def _first_two(skins: DataFrame) -> DataFrame:
     return prep.sample_per_rarity(skins, ["skin_id"]).select("skin_id", "skin_name", "rarity", "price_rp")
 
@@ -442,13 +446,13 @@ def queries() -> dict[str, Query]:
         "prep_match_rate": prep_match_rate,
         "prep_unmatched_sample": prep_unmatched_sample,
         "prep_rarity_profile": _skins(lambda df: prep.share_profile(df, "rarity")),
-        "prep_price_profile": _skins(prep.listed_prices),
-        "prep_lowest_prices": _skins(prep.lowest_prices),
+        "prep_price_profile": _extracted(prep.listed_prices),
+        "prep_lowest_prices": _extracted(prep.lowest_prices),
         "prep_date_coverage": _skins(prep.date_coverage),
         "prep_sample_per_rarity": _skins(_first_two),
         "prep_distinct_champions": _skins(prep.distinct_champions),
-        "prep_catalog_price_counts": _skins(prep.catalogue_price_counts),
-        "prep_price_bands": _skins(prep.price_bands),
+        "prep_catalog_price_counts": _extracted(prep.catalogue_price_counts),
+        "prep_price_bands": _extracted(prep.price_bands),
         "prep_player_profile": _players(prep.player_profile),
         "prep_sales_by_segment": _sales_players(prep.sales_by_segment),
         "prep_top_prices": _sales(prep.top_prices),
