@@ -18,8 +18,9 @@ def lookup(rows: DataFrame, table: DataFrame, key: Column, table_key: str) -> Da
     partition, so a second join key spreads them over many.
     """
     spread = F.when(
-        key.isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(_SPREAD))
+        F.col("_key").isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(_SPREAD))
     ).otherwise(F.lit(0).cast("long"))
+    # Two steps: the key is an expression used twice and is computed once.
     left = rows.withColumn("_key", key).withColumn("_spread", spread)
     # Always 0, but written so that the optimizer keeps it as a join key.
     zero = F.pmod(F.col(table_key).cast("long"), F.lit(1).cast("long"))

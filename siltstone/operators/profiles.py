@@ -1,6 +1,6 @@
 """Counting operators shared by reports and source preparation.
 
-Each one aggregates before it shuffles; windows only ever see grouped rows.
+Each one aggregates before it shuffles.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.numbers import WHOLE, percent
+from siltstone.runtime import durable
 
 
 def frequency(df: DataFrame, *keys: str, **more: Column) -> DataFrame:
@@ -29,13 +30,27 @@ def with_share(
 ) -> DataFrame:
     """Add each row's share of all counts in percent.
 
-    The whole is a scalar subquery over the grouped rows; Spark reuses their
-    shuffle, and no window has to hold every group in one task.
+    For rows grouped by a key with a bounded domain (segments, regions,
+    rarities, combinations of tags): the window takes all groups into one task,
+    and in return the counts are computed once.
     """
-    whole = counted.agg(F.sum(count)).scalar()
+    whole = F.sum(count).over(Window.partitionBy())
     return counted.withColumn(pct, percent(F.col(count), whole, places, kind))
 
 
+def with_share_written(
+    counted: DataFrame, count: str = "count", pct: str = "pct", places: int = 2, kind: str = WHOLE
+) -> DataFrame:
+    """As :func:`with_share` for keys without a bounded domain.
+
+    The counts are written once, so that summing them up does not compute them
+    a second time and no task has to hold every group.
+    """
+    written = durable(counted, "counts")
+    whole = written.agg(F.sum(count)).scalar()
+    return written.withColumn(pct, percent(F.col(count), whole, places, kind))
+
+
 def coverage(df: DataFrame, column: str, present: str, absent: str, pct: str, places: int = 2) -> DataFrame:
     """How many rows have ``column``, how many lack it, and the share that has it."""
     have = F.count(column)

@@ -21,6 +21,7 @@ from siltstone.operators.profiles import (
     removed_by,
     value_counts,
     with_share,
+    with_share_written,
 )
 
 # The grammar of a catalogue text. A champion block holds an id
@@ -304,7 +305,7 @@ def share_profile(df: DataFrame, key: str) -> DataFrame:
 def share_of_table(df: DataFrame, key: str) -> DataFrame:
     """Rows per value, with their share of *all* rows, valued or not."""
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
-    return with_share(counted, places=1).where(F.col(key).isNotNull())
+    return with_share_written(counted, places=1).where(F.col(key).isNotNull())
 
 
 def listed_prices(df: DataFrame, prices: tuple[int, ...] = PROFILE_PRICES) -> DataFrame:
