@@ -83,13 +83,14 @@ def _number(df: DataFrame, columns: list[str], index_col: str) -> DataFrame:
         ),
         "numbered",
     )
-    # One row per written partition, so this window spans a task count.
+    # One row per written partition: the window and the broadcast are bounded by
+    # the number of tasks that wrote, and the numbered rows are not shuffled.
     offsets = (
         written.groupBy(part)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(part, _sum_before("_rows", Window.orderBy(part)).alias(base))
     )
-    return written.join(offsets, part).select(
+    return written.join(F.broadcast(offsets), part).select(
         (F.col(base) + F.col(row) + 1).alias(index_col), *columns
     )
 

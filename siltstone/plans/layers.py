@@ -160,8 +160,11 @@ def gold_dims(silver: Silver) -> dict[str, Callable[[], DataFrame]]:
     }
 
 
-def gold_facts(silver: Silver) -> DataFrame:
-    """Valid sales as whole numbers, each column rounded on its own."""
+def gold_facts(silver: Silver, *more: str) -> DataFrame:
+    """Valid sales as whole numbers, each column rounded on its own.
+
+    ``more`` names columns of the silver fact to carry along.
+    """
     return silver.fact_sale.where("is_valid").select(
         round_to_long(F.col("transaction_id")).alias("transaction_id"),
         "player_key",
@@ -170,6 +173,7 @@ def gold_facts(silver: Silver) -> DataFrame:
         round_to_long(F.col("price_rp")).alias("price_rp"),
         round_to_long(F.col("quantity")).alias("quantity"),
         round_to_long(F.col("total_rp")).alias("total_rp"),
+        *more,
     )
 
 

@@ -112,7 +112,8 @@ def bronze_bad_sales(bronze: Bronze) -> DataFrame:
         | F.col("quantity").isNull()
         | (F.col("quantity") <= 0)
     )
-    return bronze.stg_sales.where(bad).select(*_SALE).orderBy(F.asc_nulls_last("transaction_id"), *_SALE[1:]).limit(SAMPLE)
+    first = (F.asc_nulls_last("transaction_id"), *_SALE[1:])
+    return bronze.stg_sales.where(bad).select(*_SALE).orderBy(*first).limit(SAMPLE)
 
 
 def bronze_date_range(bronze: Bronze) -> DataFrame:

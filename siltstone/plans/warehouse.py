@@ -35,8 +35,10 @@ COMMENTS = {
 }
 
 # Sales are stored in this order, so files hold narrow date ranges and scans
-# filtered by date skip most of them.
-FACT_ORDER = ("date_key", "player_key", "transaction_id", "skin_key", "price_rp", "quantity")
+# filtered by date skip most of them. The key given in silver comes last: it is
+# unique, so even a large group of identical sales can be split.
+SILVER_KEY = "sale_key"
+FACT_ORDER = ("date_key", "player_key", "transaction_id", SILVER_KEY)
 
 
 @dataclass(frozen=True)
@@ -60,7 +62,7 @@ def build(
     bronze.tables()
     silver = layers.silver(spark, bronze, rules, run.settle_silver, run.check_dimension)
     silver.tables()
-    gold = layers.gold(silver, run.settle_gold, layers.gold_facts)
+    gold = layers.gold(silver, run.settle_gold, lambda s: layers.gold_facts(s, SILVER_KEY))
     run.gold = gold
     gold.tables()
     create_views(gold)
@@ -111,8 +113,9 @@ class _Build:
         assert self.gold is not None
         parents = {n: getattr(self.gold, n) for n in ("dim_player", "dim_skin", "dim_date")}
         facts = self._checked("gold", name, df, layers.gold_fact_constraints(), parents)
+        numbered = dense_index(facts, list(FACT_ORDER), "_gold_key").drop(SILVER_KEY)
         return self._refresh(
-            "gold", name, dense_index(facts, list(FACT_ORDER), "sale_key"), "created_at"
+            "gold", name, numbered.withColumnRenamed("_gold_key", "sale_key"), "created_at"
         )
 
     def _checked(self, layer, name, df, rules, parents=None) -> DataFrame:
