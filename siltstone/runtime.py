@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,14 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path in the folder all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
-    session without one may fall back to a temporary folder of this machine.
+    The cluster names that folder in ``spark.checkpoint.dir``. Where it is
+    unset, the warehouse folder holds the scratch files: tables live there, so
+    every executor sees it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="siltstone-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
