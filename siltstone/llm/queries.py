@@ -4,27 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import mixing, sharding
+from siltstone.llm import bpe, minhash, mixing, sharding, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def vocabulary() -> str:
+    """The vocabulary file; installed in the same place on every machine."""
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_bpe(spark, sf_dir):
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document."""
+    return bpe.digests(documents(spark, sf_dir), vocabulary())
+
+
 def op3_sharding(spark, sf_dir):
     """(doc_id, slot, shard): every document on one of 64 shards."""
     return sharding.place(documents(spark, sf_dir), "doc_id", sharding.shard_names(64))
 
 
+def op5_token_counts(spark, sf_dir):
+    """(doc_id, section, char_start, char_end, n_tokens, n_border) of every line."""
+    return token_counts.attribute(documents(spark, sf_dir), vocabulary(), rule="most")
+
+
 def op7_mixing(spark, sf_dir):
     """(doc_id, size, source_size, target, taken) of every document."""
     return mixing.mixture(documents(spark, sf_dir))
 
 
+def op9_minhash(spark, sf_dir):
+    """(doc_id, n_shingles, component_id, kept) of every document."""
+    return minhash.near_duplicates(documents(spark, sf_dir), minhash.Near(width=3, percent=85))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_bpe": op2_bpe,
         "op3_sharding": op3_sharding,
+        "op5_token_counts": op5_token_counts,
         "op7_mixing": op7_mixing,
+        "op9_minhash": op9_minhash,
     }
