@@ -131,13 +131,14 @@ def index_keys(near: Near) -> Column:
 
 
 def signature_distance(left: str, right: str) -> Column:
-    """Number of differing symbols: 16-bit lanes that aren't zero after xor."""
-    low, high = F.lit(0x7FFF7FFF7FFF7FFF), F.lit(-0x7FFF7FFF7FFF8000)
+    """Number of differing symbols: each 16-bit lane of the xor is folded to one bit."""
     total = F.lit(0)
     for name in SIGNATURE:
         x = F.col(f"{left}.{name}").bitwiseXOR(F.col(f"{right}.{name}"))
-        lanes = ((x.bitwiseAND(low) + low).bitwiseOR(x)).bitwiseAND(high)
-        total = total + F.bit_count(lanes)
+        for shift, mask in ((8, 0x00FF), (4, 0x000F), (2, 0x0003), (1, 0x0001)):
+            lanes = sum(mask << lane for lane in range(0, 64, SYMBOL_BITS))
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift)).bitwiseAND(F.lit(lanes))
+        total = total + F.bit_count(x)
     return total
 
 
