@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import bpe, minhash, mixing, sharding, token_counts
+from siltstone.llm import bpe, minhash, mixing, sharding, substrings, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_substring_dedup(spark, sf_dir):
+    """(doc_id, char_start, char_end, n_words, first_id) of every repeated passage."""
+    return substrings.passages(documents(spark, sf_dir)).drop("_text")
+
+
 def op2_bpe(spark, sf_dir):
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document."""
     return bpe.digests(documents(spark, sf_dir), vocabulary())
@@ -46,6 +51,7 @@ def op9_minhash(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
         "op2_bpe": op2_bpe,
         "op3_sharding": op3_sharding,
         "op5_token_counts": op5_token_counts,
