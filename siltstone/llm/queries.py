@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import bpe, minhash, mixing, sharding, substrings, token_counts
+from siltstone.llm import bpe, minhash, mixing, quality, sharding, substrings, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +44,11 @@ def op7_mixing(spark, sf_dir):
     return mixing.mixture(documents(spark, sf_dir))
 
 
+def op8_quality(spark, sf_dir):
+    """(doc_id, log_weight, key) of the documents drawn as good ones."""
+    return quality.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op9_minhash(spark, sf_dir):
     """(doc_id, n_shingles, component_id, kept) of every document."""
     return minhash.near_duplicates(documents(spark, sf_dir), minhash.Near(width=3, percent=85))
@@ -56,5 +61,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_sharding": op3_sharding,
         "op5_token_counts": op5_token_counts,
         "op7_mixing": op7_mixing,
+        "op8_quality": op8_quality,
         "op9_minhash": op9_minhash,
     }
