@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, minhash, mixing, quality, sharding, substrings, token_counts
+from siltstone.llm import bpe, minhash, mixing, quality, sharding, substrings, token_counts, topk
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def vocabulary() -> str:
     """The vocabulary file; installed in the same place on every machine."""
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -39,6 +44,11 @@ def op5_token_counts(spark, sf_dir):
     return token_counts.attribute(documents(spark, sf_dir), vocabulary(), rule="most")
 
 
+def op6_exact_topk(spark, sf_dir):
+    """(query_id, rank, vec_id, score): 20 best for each id divisible by 20."""
+    return topk.top_k(embeddings(spark, sf_dir), F.col("vec_id") % 20 == 0)
+
+
 def op7_mixing(spark, sf_dir):
     """(doc_id, size, source_size, target, taken) of every document."""
     return mixing.mixture(documents(spark, sf_dir))
@@ -60,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_bpe": op2_bpe,
         "op3_sharding": op3_sharding,
         "op5_token_counts": op5_token_counts,
+        "op6_exact_topk": op6_exact_topk,
         "op7_mixing": op7_mixing,
         "op8_quality": op8_quality,
         "op9_minhash": op9_minhash,
