@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, minhash, mixing, quality, sharding, substrings, token_counts, topk
+from siltstone.llm import bpe, hnsw, minhash, mixing, quality, sharding, substrings, token_counts, topk
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +64,11 @@ def op9_minhash(spark, sf_dir):
     return minhash.near_duplicates(documents(spark, sf_dir), minhash.Near(width=3, percent=85))
 
 
+def op10_hnsw(spark, sf_dir):
+    """(query_id, rank, vec_id, score): 20 nearest found for each id divisible by 20."""
+    return hnsw.nearest(embeddings(spark, sf_dir), F.col("vec_id") % 20 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -74,4 +79,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_mixing": op7_mixing,
         "op8_quality": op8_quality,
         "op9_minhash": op9_minhash,
+        "op10_hnsw": op10_hnsw,
     }

@@ -19,7 +19,7 @@ def narrow_batches(spark: SparkSession) -> None:
         spark.conf.set(name, BATCH_ROWS)
 
 
-def sound(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sound(column: pa.Array, zero: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rows, numbers, lengths): the rows whose vectors hold finite numbers only."""
     rows = np.arange(len(column))
     lengths = np.array(pc.fill_null(pc.list_value_length(column), 0), np.int64)
@@ -31,16 +31,23 @@ def sound(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     broken = np.zeros(len(column), bool)
     broken[owner[bad]] = True
     fine = (lengths > 0) & ~broken
+    if not zero:
+        fine &= np.bincount(owner[numbers != 0], minlength=len(rows)) > 0
     return rows[fine], numbers[fine[owner]], lengths[fine]
 
 
-def packed(df: DataFrame, convert, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(id, dim, vec) of the sound rows; ``convert`` turns finite doubles into the stored numbers."""
+def packed(
+    df: DataFrame, convert, id_col: str = "vec_id", vector: str = "embedding", zero: bool = True
+) -> DataFrame:
+    """(id, dim, vec) of the sound rows; ``convert`` turns finite doubles into the stored numbers.
+
+    ``zero`` tells whether vectors of zeros count as sound.
+    """
     narrow_batches(df.sparkSession)
 
     def run(batches):
         for batch in batches:
-            rows, numbers, lengths = sound(batch.column(1))
+            rows, numbers, lengths = sound(batch.column(1), zero)
             stored = np.ascontiguousarray(convert(numbers))
             ends = np.cumsum(lengths) * stored.itemsize
             offsets = np.append(0, ends).astype(np.int32)
