@@ -137,8 +137,10 @@ def _link_back(x: np.ndarray, links: np.ndarray, nodes: np.ndarray, chosen: np.n
     extra[np.repeat(np.arange(len(unique)), count), np.arange(len(target)) - np.repeat(first, count)] = source
     width = links.shape[1]
     for at in range(0, len(unique), 1024):
-        own = unique[at : at + 1024]
-        ids = np.concatenate([links[own], extra[at : at + 1024]], 1)
+        own, more = unique[at : at + 1024], extra[at : at + 1024]
+        # Nodes of one batch may have chosen each other already.
+        known = (links[own][:, :, None] == more[:, None, :]).any(1)
+        ids = np.concatenate([links[own], np.where(known, -1, more)], 1)
         sims = np.where(ids >= 0, np.einsum("bed,bd->be", x[ids], x[own]), -np.inf).astype(np.float32)
         order = np.argsort(-sims, axis=1, kind="stable")
         ids, sims = np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
@@ -262,7 +264,7 @@ def nearest(
     asked = durable(table.where(is_query).dropDuplicates(["vec_id", "vec"]), "queries")
     blocks = F.lit(max(1, -(-asked.count() // QUERY_BLOCK)))
     queries = asked.withColumn("qb", F.pmod(F.xxhash64("vec_id", "vec"), blocks).cast("long"))
-    places = shards.select("dim", "shard")
+    places = shards.select("dim", (F.col("shard") + 0).alias("shard"))
     every_block = F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1))
     out = pa.schema([("query_id", _KINDS[kind]), ("vec_id", _KINDS[kind]), ("score", pa.float64())])
 
