@@ -1,4 +1,58 @@
+"""From raw documents to training tokens, in five stages.
+
+Documents that the quality classifier doesn't draw go; of each group of near
+duplicates one document stays; passages that stand elsewhere are cut; sources
+are mixed to target weights in training order; what is left is encoded, and the
+tokens are decoded again to see that nothing was lost.
+
+Each stage takes what the one before kept. All but the last return the columns
+of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from siltstone.llm import bpe, minhash, mixing, quality, substrings
+from siltstone.llm.queries import vocabulary
+from siltstone.runtime import durable
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.keep_one(docs, minhash.Near())
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.training_order(docs)
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.encode(docs, vocabulary(), verify=True)
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("substrings", substring_stage),
+    ("mixing", mixing_stage),
+    ("bpe", bpe_stage),
+]
+
+#: SQL can't express the classifier, the signatures, the chunks and the merges.
 ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of all documents that reach training."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = durable(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -287,15 +287,37 @@ def _id_field(df: DataFrame, id_col: str) -> T.StructField:
     return T.StructField(id_col, df.schema[id_col].dataType)
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, token_ids) of every row."""
+def encode(
+    df: DataFrame, path: str, id_col: str = "doc_id", text: str = "text", verify: bool = False
+) -> DataFrame:
+    """(id, n_tokens, token_ids) of every row.
+
+    With ``verify``, ``lossless`` tells whether the tokens decode to the text.
+    """
 
     def run(block: Block) -> pa.RecordBatch:
-        ids, begin = encoder(path).block(block.data, block.offsets)
+        coder = encoder(path)
+        ids, begin = coder.block(block.data, block.offsets)
         lists = pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(ids, pa.int32()))
-        return pa.record_batch([block.rows.column(0), lists], [id_col, "token_ids"])
+        columns = [block.rows.column(0), pa.array(np.diff(begin)), lists]
+        if verify:
+            raw = memoryview(block.data.tobytes())
+            texts = (raw[a:b] for a, b in zip(block.offsets[:-1].tolist(), block.offsets[1:].tolist(), strict=True))
+            back = (
+                "".join(decoded(coder.v, ids[a:b])).encode()
+                for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)
+            )
+            columns.append(pa.array([x == y for x, y in zip(texts, back, strict=True)]))
+        return pa.record_batch(columns, schema.names)
 
-    schema = T.StructType([_id_field(df, id_col), T.StructField("token_ids", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType(
+        [
+            _id_field(df, id_col),
+            T.StructField("n_tokens", T.LongType()),
+            T.StructField("token_ids", T.ArrayType(T.IntegerType())),
+            *([T.StructField("lossless", T.BooleanType())] if verify else []),
+        ]
+    )
     return map_blocks(df.select(id_col, text), run, schema, text)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, hnsw, minhash, mixing, quality, sharding, substrings, token_counts, topk
+from siltstone.llm import bpe, hnsw, licenses, minhash, mixing, quality, sharding, substrings, token_counts, topk
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +39,11 @@ def op3_sharding(spark, sf_dir):
     return sharding.place(documents(spark, sf_dir), "doc_id", sharding.shard_names(64))
 
 
+def op4_licenses(spark, sf_dir):
+    """Words, base places, labels, score and spans of every document."""
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op5_token_counts(spark, sf_dir):
     """(doc_id, section, char_start, char_end, n_tokens, n_border) of every line."""
     return token_counts.attribute(documents(spark, sf_dir), vocabulary(), rule="most")
@@ -74,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_substring_dedup": op1_substring_dedup,
         "op2_bpe": op2_bpe,
         "op3_sharding": op3_sharding,
+        "op4_licenses": op4_licenses,
         "op5_token_counts": op5_token_counts,
         "op6_exact_topk": op6_exact_topk,
         "op7_mixing": op7_mixing,
