@@ -24,7 +24,7 @@ from workload import queries as registered
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 SILVER = (
     "dq_report",
@@ -112,7 +112,7 @@ def main() -> None:
     for name, work in timed.items():
         work()
         taken = []
-        for _ in range(1 if name == "build_warehouse" else RUNS):
+        for _ in range(RUNS):
             start = time.perf_counter()
             work()
             taken.append(time.perf_counter() - start)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whole numbers up to 20 digits leave the quotient 14 decimal places or more,
-# so rounding it to a few places is exact for all practical purposes.
+# Kinds of operands: whole numbers, and amounts in cents.
 WHOLE = "decimal(20,0)"
 CENTS = "decimal(24,2)"
+_DIGITS = "decimal(38,0)"
 
 
 def round_to_long(x: Column) -> Column:
@@ -17,15 +17,28 @@ def round_to_long(x: Column) -> Column:
 
 
 def ratio(numerator: Column, denominator: Column, places: int = 2, kind: str = WHOLE) -> Column:
-    """A decimal quotient rounded half away from zero; NULL over zero."""
-    return F.round(numerator.cast(kind) / F.nullif(denominator.cast(kind), F.lit(0)), places)
+    """An exact quotient rounded half away from zero; NULL over zero.
+
+    Worked out in whole numbers, as a decimal quotient is itself rounded: with
+    u units of the last place, (2 * u * n + d) div 2d.
+    """
+    n, d = _whole(numerator, kind), F.nullif(_whole(denominator, kind), F.lit(0).cast(_DIGITS))
+    top, bottom = 2 * 10**places * F.abs(n) + F.abs(d), 2 * F.abs(d)
+    # Without its remainder the division leaves no fraction to be rounded.
+    units = ((top - top % bottom) / bottom).cast("decimal(30,0)")
+    signed = units * F.when((n < 0) != (d < 0), F.lit(-1)).otherwise(F.lit(1))
+    return (signed / F.lit(10**places)).cast(f"decimal(34,{places})")
 
 
 def percent(part: Column, whole: Column, places: int = 2, kind: str = WHOLE) -> Column:
     """``part`` in percent of ``whole``, rounded; NULL of nothing."""
-    return F.round(
-        part.cast(kind) * F.lit(100) / F.nullif(whole.cast(kind), F.lit(0)), places
-    )
+    return ratio(part * 100, whole, places, kind)
+
+
+def _whole(x: Column, kind: str) -> Column:
+    """A value of this kind in whole units of its last place."""
+    cents = 100 if kind == CENTS else 1
+    return (x.cast(kind) * cents).cast(_DIGITS)
 
 
 def count_where(condition: Column) -> Column:

@@ -119,8 +119,10 @@ def enforce(
     """Apply ``policy``: ``fail`` raises, the others split kept from rejected rows.
 
     Rejected rows carry the names of the constraints they break. Of rows that
-    share a unique value one is kept. ``fail`` runs one counting job and
-    brings one number per constraint to the driver.
+    share a unique value one is kept: of those that break nothing else, if there
+    are any, the first by a hash of all their columns. ``quarantine`` writes the
+    judged rows once, as both results are read. ``fail`` runs one counting job
+    and brings one number per constraint to the driver.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, got {policy!r}")
@@ -132,6 +134,8 @@ def enforce(
         return Enforced(df, df.limit(0).withColumn(VIOLATIONS, _names([])))
 
     marked = _mark(df, constraints, parents)
+    if policy == "quarantine":
+        marked = durable(marked, "judged")
     sound = F.size(VIOLATIONS) == 0
     return Enforced(marked.where(sound).select(*df.columns), marked.where(~sound))
 
@@ -143,20 +147,24 @@ def _mark(df: DataFrame, constraints: Sequence[Constraint], parents) -> DataFram
         # The row number tells copies apart, so it has to be fixed first.
         df = durable(df.withColumn("_row", F.monotonically_increasing_id()), "unique")
     broken: list[tuple[str, Column]] = []
-    for i, c in enumerate(constraints):
+    content = F.xxhash64(*[F.col(f"`{name}`") for name in columns])
+    # Unique values come last: which copy stays depends on everything else.
+    for i, c in enumerate(sorted(constraints, key=lambda c: isinstance(c, Unique))):
         if isinstance(c, Check):
             df = df.withColumn(f"_broken{i}", c.broken())
         elif isinstance(c, Unique):
+            faulty = reduce(lambda x, y: x | y, [flag for _, flag in broken], F.lit(False))
+            df = df.withColumn("_place", F.struct(faulty.alias("faulty"), content.alias("content"), "_row"))
             first = (
                 df.where(F.col(c.column).isNotNull())
                 .groupBy(F.col(c.column).alias("_value"))
-                .agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+                .agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
                 .where("_n > 1")
             )
             df = (
                 df.join(first, F.col(c.column) == F.col("_value"), "left")
-                .withColumn(f"_broken{i}", F.coalesce(F.col("_row") != F.col("_first"), F.lit(False)))
-                .drop("_value", "_first", "_n")
+                .withColumn(f"_broken{i}", F.coalesce(F.col("_place") != F.col("_first"), F.lit(False)))
+                .drop("_value", "_first", "_n", "_place")
             )
         else:
             keys = _keys(c, parents).withColumnRenamed(c.column, "_parent")

@@ -51,11 +51,15 @@ def explode_matches_in_context(
     reach = -(-width // shortest)
     kept = [c for c in docs.columns if c != text]
 
+    def seen(piece: Column) -> Column:
+        return F.right(piece, F.lit(width))
+
     def left_of(i: Column) -> Column:
         first = F.greatest(i - reach, F.lit(0))
         past = F.slice("_pieces", first + 1, i - first)
-        joined = F.concat_ws("", F.transform(past, lambda p: F.concat(p["gap"], p["match"])))
-        return F.right(F.concat(joined, F.get("_gaps", i)), F.lit(width))
+        # No piece is copied beyond the characters that can still be seen.
+        tail = F.transform(past, lambda p: F.concat(seen(p["gap"]), seen(p["match"])))
+        return seen(F.concat(F.concat_ws("", tail), seen(F.get("_gaps", i))))
 
     found = {
         name: F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(group))

@@ -16,6 +16,8 @@ from siltstone.operators.lookups import lookup, with_membership
 from siltstone.schemas import FACT_COLUMNS, MONEY
 
 LIST_PRICE = "list_price"
+# Whether the dimension rows a sale points at are valid; NULL without a row.
+PLAYER_VALID, SKIN_VALID = "player_valid", "skin_valid"
 
 # The tags written to dq_issues, in the order they are written.
 PRICE_FIXED = "price_fixed"
@@ -32,8 +34,9 @@ INVALID_DATE = "invalid_date"
 def load_facts(stg_sales: DataFrame, dim_player: DataFrame, dim_skin: DataFrame) -> DataFrame:
     """Staged sales with a transaction id, keyed to the dimensions.
 
-    The skin's list price travels along as ``list_price``, so the price repair
-    needs no second join with the dimension.
+    The skin's list price travels along as ``list_price``, and the validity of
+    both dimension rows, so neither the price repair nor the gold load needs a
+    second join with a dimension.
     """
     # The date is parsed once, in a projection of its own, before rows move.
     sales = stg_sales.where(F.col("transaction_id").isNotNull()).select(
@@ -44,9 +47,16 @@ def load_facts(stg_sales: DataFrame, dim_player: DataFrame, dim_skin: DataFrame)
         "price_rp",
         "quantity",
     )
-    players = dim_player.select("player_key", F.col("player_id").alias("_dim_player_id"))
+    players = dim_player.select(
+        "player_key",
+        F.col("player_id").alias("_dim_player_id"),
+        F.col("is_valid").alias(PLAYER_VALID),
+    )
     skins = dim_skin.select(
-        "skin_key", F.col("skin_id").alias("_dim_skin_id"), F.col("price_rp").alias(LIST_PRICE)
+        "skin_key",
+        F.col("skin_id").alias("_dim_skin_id"),
+        F.col("price_rp").alias(LIST_PRICE),
+        F.col("is_valid").alias(SKIN_VALID),
     )
     keyed = lookup(sales, players, round_to_long(F.col("player_id")), "_dim_player_id")
     keyed = lookup(keyed, skins, round_to_long(F.col("skin_id")), "_dim_skin_id")
@@ -61,6 +71,8 @@ def load_facts(stg_sales: DataFrame, dim_player: DataFrame, dim_skin: DataFrame)
         F.lit(False).alias("is_valid"),
         F.lit(None).cast("string").alias("dq_issues"),
         F.col(LIST_PRICE).cast(MONEY).alias(LIST_PRICE),
+        PLAYER_VALID,
+        SKIN_VALID,
     )
 
 
@@ -156,4 +168,5 @@ def clean_facts(loaded: DataFrame, calendar: DataFrame) -> DataFrame:
     """Repair, recompute, tag and validate, in that order."""
     fact = recompute_total(repair_price(loaded))
     fact = with_membership(fact, calendar, "date_key", "in_calendar")
-    return mark_valid(tag_issues(fact)).select(*FACT_COLUMNS)
+    carried = [c for c in (PLAYER_VALID, SKIN_VALID) if c in fact.columns]
+    return mark_valid(tag_issues(fact)).select(*FACT_COLUMNS, *carried)

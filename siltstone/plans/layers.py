@@ -1,7 +1,7 @@
 """The three layers as lazy DataFrames.
 
-Nothing here runs a job: each layer is a set of logical plans over the one
-below. :mod:`siltstone.plans.warehouse` writes them and enforces constraints.
+Each layer is a set of logical plans over the one below; only the policy
+``fail`` runs a job, to find out whether there is anything to fail for. :mod:`siltstone.plans.warehouse` writes them and enforces constraints.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from siltstone.functions.numbers import round_to_long
 from siltstone.operators import constraints as c
 from siltstone.operators.calendar import CALENDAR_COLUMNS, calendar
 from siltstone.operators.dims import load_players, load_skins
-from siltstone.operators.facts import clean_facts, load_facts
+from siltstone.operators.facts import PLAYER_VALID, SKIN_VALID, clean_facts, load_facts
 from siltstone.operators.keys import dense_key
 from siltstone.operators.quality import monitor, quarantine
 from siltstone.rules import Rules
@@ -177,36 +177,31 @@ def gold_facts(silver: Silver, *more: str) -> DataFrame:
     )
 
 
-def gold_facts_kept(silver: Silver) -> DataFrame:
-    """Gold facts without those that break a gold constraint.
+def gold_facts_judged(silver: Silver, rules: Rules, *more: str) -> c.Enforced:
+    """Gold facts under the policy for rows that break a gold constraint.
 
     A valid sale may point at an invalid dimension row, which gold does not
-    hold; rounding may also turn a price into 0.
-
-    Valid sales carry keys of silver dimensions and dates of the calendar, so
-    a key is missing from gold exactly if its silver row is invalid. Invalid
-    rows are few: excluding them moves less than looking up the valid ones.
+    hold; rounding may also turn a price into 0. The validity of the dimension
+    rows came with the fact, so nothing is joined here.
     """
-    kept = gold_facts(silver).where(_all_pass(gold_fact_checks()))
-    for dim, key in ((silver.dim_player, "player_key"), (silver.dim_skin, "skin_key")):
-        kept = kept.join(dim.where(~F.col("is_valid")).select(key), key, "left_anti")
-    return kept
+    facts = gold_facts(silver, *more, PLAYER_VALID, SKIN_VALID)
+    judged = c.enforce(facts, gold_load_constraints(), rules.on_violation)
+    return c.Enforced(*(df.drop(PLAYER_VALID, SKIN_VALID) for df in (judged.kept, judged.rejected)))
 
 
 def gold(
     silver: Silver,
+    rules: Rules,
     settle: Settle = as_planned,
-    facts: Callable[[Silver], DataFrame] = gold_facts_kept,
+    facts: Callable[[Silver], DataFrame] | None = None,
 ) -> Gold:
-    """The star over ``silver``."""
-    return Gold(**_settled(gold_dims(silver) | {"fact_sales": lambda: facts(silver)}, settle))
-
+    """The star over ``silver``.
 
-def _all_pass(checks: list[c.Check]):
-    passed = F.lit(True)
-    for check in checks:
-        passed = passed & ~check.broken()
-    return passed
+    With the policy ``fail`` a job looks for breaks when the facts are first
+    asked for; the other policies plan only.
+    """
+    facts = facts or (lambda s: gold_facts_judged(s, rules).kept)
+    return Gold(**_settled(gold_dims(silver) | {"fact_sales": lambda: facts(silver)}, settle))
 
 
 # Declared constraints -------------------------------------------------------
@@ -277,6 +272,19 @@ def gold_fact_checks() -> list[c.Check]:
     ]
 
 
+def gold_load_constraints() -> list[c.Constraint]:
+    """What :func:`gold_fact_constraints` asks for, of facts that carry validity.
+
+    Valid sales carry keys of silver dimensions and dates of the calendar, so a
+    key is missing from gold exactly if its silver row is invalid.
+    """
+    return [
+        *gold_fact_checks(),
+        c.Check("fk_player_key", F.col(PLAYER_VALID)),
+        c.Check("fk_skin_key", F.col(SKIN_VALID)),
+    ]
+
+
 def gold_fact_constraints() -> list[c.Constraint]:
     return [
         *gold_fact_checks(),

@@ -20,7 +20,6 @@ from siltstone.operators.profiles import (
     keep_first,
     removed_by,
     value_counts,
-    with_share,
     with_share_written,
 )
 
@@ -45,7 +44,6 @@ SPECIAL_MARK = "\"Special\"|'Special'"
 COST_ENTRY = r'\["([^"]+)"\]\s*=\s*\{[^}]*\["cost"\]\s*=\s*(\d+)'
 COST_ENTRY_SHORTEST = len('["a"]={["cost"]=1')
 CONTEXT_WIDTH = 100
-FEWEST_SKINS = 500
 ORIGINAL = "Original"
 
 # Price bands and the price lists of the profiles.
@@ -116,11 +114,12 @@ def skin_entries(blocks: DataFrame) -> DataFrame:
 def extract_skins(docs: DataFrame) -> DataFrame:
     """Every skin a catalogue text prices, with its place in the text.
 
-    Entries need an id, and a cost unless they are marked special.
+    Entries need an id, and a cost unless they are marked special. A cost of more
+    than 64 bits is no cost.
     """
     props, name = F.col("props"), F.col("name")
-    stated = extract_or_null(props, ENTRY_COST).cast("int")
-    cost = F.when(name == ORIGINAL, 0).otherwise(F.col("_cost"))
+    stated = extract_or_null(props, ENTRY_COST).try_cast("bigint")
+    cost = F.when(name == ORIGINAL, F.lit(0).cast("bigint")).otherwise(F.col("_cost"))
     rarity = (
         F.when(name == ORIGINAL, "Default")
         .when(F.col("price_rp") == 0, "Special")
@@ -129,7 +128,7 @@ def extract_skins(docs: DataFrame) -> DataFrame:
     return (
         skin_entries(champion_blocks(docs))
         .where(props.rlike(ENTRY_ID))
-        .withColumn("_cost", F.coalesce(stated, F.when(props.rlike(SPECIAL_MARK), 0)))
+        .withColumn("_cost", F.coalesce(stated, F.when(props.rlike(SPECIAL_MARK), F.lit(0).cast("bigint"))))
         .where(F.col("_cost").isNotNull())
         .withColumn("price_rp", cost)
         .select(
@@ -150,7 +149,8 @@ def extract_skins_fallback(docs: DataFrame) -> DataFrame:
 
     The champion is carried forward from the last match that looks like one: a
     single capitalised word behind an id, before its skin list opens. Without
-    a champion, the last word of a longer name stands in for it.
+    a champion, the last word of a longer name stands in for it. A cost of more
+    than 64 bits is no cost, which only the original skin can do without.
     """
     name, current = F.col("name"), F.col("current")
     looks_like_champion = (
@@ -176,8 +176,9 @@ def extract_skins_fallback(docs: DataFrame) -> DataFrame:
     original = (name == ORIGINAL) & current.isNotNull()
     words = F.filter(F.split(name, r"\s+"), lambda w: w != "")
     of_champion = current.isNotNull() & (name != current)
-    cost = F.col("cost").cast("int")
-    return carried.where(original | of_champion | (F.size(words) > 1)).select(
+    cost = F.col("cost").try_cast("bigint")
+    named = original | ((of_champion | (F.size(words) > 1)) & cost.isNotNull())
+    return carried.where(named).select(
         "doc_id",
         F.lit(0).alias("block_pos"),
         "entry_pos",
@@ -185,7 +186,7 @@ def extract_skins_fallback(docs: DataFrame) -> DataFrame:
         .when(of_champion, F.concat_ws(" ", name, current))
         .otherwise(name)
         .alias("skin_name"),
-        F.when(original, 0).otherwise(cost).alias("price_rp"),
+        F.when(original, F.lit(0).cast("bigint")).otherwise(cost).alias("price_rp"),
         F.when(original, "Default").otherwise(price_band_rarity(cost)).alias("rarity"),
         F.when(original | of_champion, current)
         .otherwise(F.try_element_at(words, F.lit(-1)))
@@ -194,16 +195,6 @@ def extract_skins_fallback(docs: DataFrame) -> DataFrame:
     )
 
 
-def extract_with_fallback(docs: DataFrame, fewest: int = FEWEST_SKINS) -> DataFrame:
-    """The main extraction, or the simpler one if it finds fewer than ``fewest``.
-
-    Deciding stops as soon as ``fewest`` rows are found.
-    """
-    main = extract_skins(docs)
-    enough = len(main.select(F.lit(1)).take(fewest)) == fewest
-    return main if enough else extract_skins_fallback(docs)
-
-
 def dedup_and_filter(extracted: DataFrame) -> DataFrame:
     """First row per skin name in text order, special skins left out, normalised.
 
@@ -232,12 +223,15 @@ def match_prices(catalogue: DataFrame, prices: DataFrame) -> DataFrame:
     """Catalogue LEFT JOIN prices on the normalised name.
 
     The catalogue's ``default`` skin is looked up by its champion. A name that
-    occurs twice among the prices yields two rows.
+    occurs twice among the prices yields two rows. A name without letters a-z and
+    digits normalises to nothing and is no name: it finds no price.
     """
     named = F.when(F.col("skin_name") == "default", F.col("champion_name")).otherwise(
         F.col("skin_name")
     )
-    listed = prices.select("skin_name_norm", "price_rp", "rarity", "release_date")
+    listed = prices.where(F.col("skin_name_norm") != "").select(
+        "skin_name_norm", "price_rp", "rarity", "release_date"
+    )
     return catalogue.withColumn("skin_name_norm", normalise_name(named)).join(
         listed, "skin_name_norm", "left"
     )
@@ -299,7 +293,7 @@ def _not_excluded() -> Column:
 
 def share_profile(df: DataFrame, key: str) -> DataFrame:
     """Rows per value, with their share of all rows that have one."""
-    return with_share(value_counts(df, key), places=1).orderBy(F.desc("count"), key)
+    return with_share_written(value_counts(df, key), places=1).orderBy(F.desc("count"), key)
 
 
 def share_of_table(df: DataFrame, key: str) -> DataFrame:
@@ -381,7 +375,7 @@ def sales_by_segment(sales: DataFrame, players: DataFrame) -> DataFrame:
         .agg(F.sum("sales").alias("count"))
     )
     return (
-        with_share(grouped, places=1)
+        with_share_written(grouped, places=1)
         .where(F.col("player_segment").isNotNull())
         .orderBy(F.desc("count"), "player_segment")
     )

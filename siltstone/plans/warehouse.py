@@ -62,8 +62,7 @@ def build(
     bronze.tables()
     silver = layers.silver(spark, bronze, rules, run.settle_silver, run.check_dimension)
     silver.tables()
-    gold = layers.gold(silver, run.settle_gold, lambda s: layers.gold_facts(s, SILVER_KEY))
-    run.gold = gold
+    gold = layers.gold(silver, rules, run.settle_gold, run.judge_gold)
     gold.tables()
     create_views(gold)
     return Warehouse(bronze, silver, gold)
@@ -83,7 +82,6 @@ class _Build:
         self.store = store
         self.rules = rules
         self.keep_log = keep_log
-        self.gold: Gold | None = None
 
     def settle_bronze(self, name: str, df: DataFrame) -> DataFrame:
         rules = layers.stg_constraints(self.rules).get(name, [])
@@ -110,22 +108,24 @@ class _Build:
         # Gold dimensions are rows of checked silver ones; only facts can break.
         if name != "fact_sales":
             return self._refresh("gold", name, df, "created_at")
-        assert self.gold is not None
-        parents = {n: getattr(self.gold, n) for n in ("dim_player", "dim_skin", "dim_date")}
-        facts = self._checked("gold", name, df, layers.gold_fact_constraints(), parents)
-        numbered = dense_index(facts, list(FACT_ORDER), "_gold_key").drop(SILVER_KEY)
+        numbered = dense_index(df, list(FACT_ORDER), "_gold_key").drop(SILVER_KEY)
         return self._refresh(
             "gold", name, numbered.withColumnRenamed("_gold_key", "sale_key"), "created_at"
         )
 
-    def _checked(self, layer, name, df, rules, parents=None) -> DataFrame:
+    def judge_gold(self, silver: Silver) -> DataFrame:
+        judged = layers.gold_facts_judged(silver, self.rules, SILVER_KEY)
+        return self._kept("gold", "fact_sales", judged)
+
+    def _checked(self, layer, name, df, rules) -> DataFrame:
         if not rules:
             return df
-        policy = self.rules.on_violation
-        done = c.enforce(df, rules, policy, parents)
-        if policy == "quarantine":
-            self.store.refresh(layer, f"{name}_rejected", done.rejected, "Rows breaking constraints")
-        return done.kept
+        return self._kept(layer, name, c.enforce(df, rules, self.rules.on_violation))
+
+    def _kept(self, layer: str, name: str, judged: c.Enforced) -> DataFrame:
+        if self.rules.on_violation == "quarantine":
+            self.store.refresh(layer, f"{name}_rejected", judged.rejected, "Rows breaking constraints")
+        return judged.kept
 
     def _refresh(self, layer: str, name: str, df: DataFrame, stamp: str) -> DataFrame:
         stamped = df if stamp in df.columns else df.withColumn(stamp, F.current_timestamp())

@@ -13,18 +13,22 @@ from siltstone import schemas
 CORRUPT = "_corrupt_record"
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> DataFrame:
     """A CSV file with a header, typed by ``schema``; nothing is inferred.
 
     Fields are matched by position after the header; a value that does not fit
     its type becomes NULL and the line is kept in ``_corrupt_record``. An empty
-    field is NULL, a quoted empty field the empty text.
+    field is NULL, a quoted empty field the empty text. With ``multi_line``, quoted
+    fields may hold line breaks; a file is then read by one task.
     """
     loose = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     return (
         spark.read.schema(loose)
         .option("header", True)
         .option("mode", "PERMISSIVE")
+        .option("multiLine", multi_line)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("quote", '"')
         .option("escape", '"')
@@ -33,8 +37,23 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header and no index column; text is kept as it is."""
+def write_csv(df: DataFrame, path: str, multi_line: bool = False) -> None:
+    """CSV with a header and no index column; text is kept as it is.
+
+    A line break in a text can only be read back with ``multi_line``; without
+    it, such a text stops the write.
+    """
+    if not multi_line:
+        df = df.withColumns(
+            {
+                f.name: F.when(
+                    F.col(f.name).rlike(r"[\r\n]"),
+                    F.raise_error(F.lit(f"a line break in {f.name} needs multi_line")).cast("string"),
+                ).otherwise(F.col(f.name))
+                for f in df.schema.fields
+                if isinstance(f.dataType, T.StringType)
+            }
+        )
     (
         df.write.mode("overwrite")
         .option("header", True)
@@ -46,16 +65,16 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def stage_skins(spark: SparkSession, path: str) -> DataFrame:
-    return _staged(read_csv(spark, path, schemas.STG_SKINS))
+def stage_skins(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return _staged(read_csv(spark, path, schemas.STG_SKINS, multi_line))
 
 
-def stage_players(spark: SparkSession, path: str) -> DataFrame:
-    return _staged(read_csv(spark, path, schemas.STG_PLAYERS))
+def stage_players(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return _staged(read_csv(spark, path, schemas.STG_PLAYERS, multi_line))
 
 
-def stage_sales(spark: SparkSession, path: str) -> DataFrame:
-    return _staged(read_csv(spark, path, schemas.STG_SALES))
+def stage_sales(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return _staged(read_csv(spark, path, schemas.STG_SALES, multi_line))
 
 
 def _staged(df: DataFrame) -> DataFrame:

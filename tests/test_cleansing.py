@@ -1,11 +1,13 @@
 """Edge rows of dimension loading, cleansing, quarantine and monitoring."""
 
+from dataclasses import replace
 from datetime import date
 
 import pytest
 from helpers import RULES, players, rows, sales, skins
 from pyspark.sql import functions as F
 
+from siltstone.operators.constraints import ConstraintError
 from siltstone.operators.dims import load_players, load_skins
 from siltstone.operators.keys import dense_key
 from siltstone.operators.facts import recompute_total
@@ -15,6 +17,10 @@ from siltstone.plans import layers, reports
 DAY = "2024-05-06"
 
 
+def under(policy):
+    return replace(RULES, on_violation=policy)
+
+
 @pytest.fixture(scope="module")
 def dims(spark):
     return (
@@ -173,7 +179,26 @@ def test_repeated_transaction_ids_count_in_quarantine(silver_of):
 def test_valid_sale_of_an_invalid_player_stays_out_of_gold(silver_of):
     silver = silver_of((1, 3, 1, DAY, 1350, 1), (2, 1, 7, DAY, 520, 1), (3, 1, 1, DAY, 1350, 1))
     assert all(valid for valid, _ in judged(silver).values())
-    assert rows(layers.gold(silver).fact_sales, "transaction_id") == [(3,)]
+    assert rows(layers.gold(silver, under("drop")).fact_sales, "transaction_id") == [(3,)]
+    judged_rows = layers.gold_facts_judged(silver, under("quarantine"))
+    assert rows(judged_rows.kept, "transaction_id") == [(3,)]
+    assert rows(judged_rows.rejected, "transaction_id", "violations") == [
+        (1, ["fk_player_key"]),
+        (2, ["fk_skin_key"]),
+    ]
+    with pytest.raises(ConstraintError, match="fk_player_key: 1, fk_skin_key: 1"):
+        layers.gold(silver, under("fail")).fact_sales
+
+
+def test_no_join_above_the_silver_fact(silver_of, spark, tmp_path):
+    silver = silver_of((1, 1, 1, DAY, 1350, 1))
+    silver.fact_sale.write.parquet(str(tmp_path / "fact"))
+    stored = layers.Silver(
+        **{n: (lambda n=n: getattr(silver, n)) for n in layers.Silver.TABLES if n != "fact_sale"},
+        fact_sale=spark.read.parquet(str(tmp_path / "fact")),
+    )
+    plan = layers.gold(stored, under("drop")).fact_sales._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
 
 
 def test_rounding_can_break_gold_constraints(silver_of):
@@ -184,7 +209,9 @@ def test_rounding_can_break_gold_constraints(silver_of):
         (2, 2, 3, 5),
         (3, 2, 3, 6),
     ]
-    assert rows(layers.gold(silver).fact_sales, "transaction_id") == [(3,)]
+    assert rows(layers.gold(silver, under("drop")).fact_sales, "transaction_id") == [(3,)]
+    with pytest.raises(ConstraintError):
+        layers.gold(silver, under("fail")).fact_sales
 
 
 def test_monitor_of_an_empty_fact(silver_of):

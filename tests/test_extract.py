@@ -87,56 +87,55 @@ def test_deeply_filled_entries_do_not_overflow(spark):
     assert listed(prep.extract_skins(docs(spark, text))) == [("Red Ann", 520, "Legacy", "Ann", None)]
 
 
-def fallback_by_hand(text):
-    """The simpler extraction, one match after the other."""
-    current, out = None, []
-    for m in re.finditer(prep.COST_ENTRY, text):
-        name, cost = m.group(1), int(m.group(2))
-        before = text[max(0, m.start() - 100) : m.start()]
-        single = " " not in name and len(name) > 2 and name[0].isupper()
-        if single and '"id"]' in before and '"skins"]' not in before:
-            current = name
-        band = {390: "Legacy", 520: "Legacy", 750: "Legacy", 790: "Legacy", 880: "Legacy", 975: "Legacy", 1820: "Legendary"}
-        rarity = "Ultimate" if cost >= 3250 else band.get(cost, "Epic")
-        if current and name == "Original":
-            out.append((current, 0, "Default", current, None))
-        elif current and name != current:
-            out.append((f"{name} {current}", cost, rarity, current, None))
-        elif len(name.split()) > 1:
-            out.append((name, cost, rarity, name.split()[-1], None))
-    return out
-
-
-@settings(max_examples=8, deadline=None)
-@given(
-    st.lists(
-        st.lists(
-            st.tuples(
-                st.sampled_from(["Ann", "Bo", "Original", "Dark Ann", "red", "Zed", "Éva"]),
-                st.sampled_from([0, 520, 1350, 1820, 4000]),
-                st.sampled_from(['["id"] = 1, ', '["id"] = 1, ["skins"] = { ', "", "x" * 60]),
-                st.sampled_from(["", " ", "\n" * 30, '["id"] = 4', "[" * 90, '}, ["skins"] = 1']),
-            ),
-            max_size=12,
-        ),
-        min_size=10,
-        max_size=20,
-    )
-)
-def test_fallback_against_brute_force(spark, cases):
-    texts = ["".join(f'{gap}["{n}"] = {{ {lead}["cost"] = {c} }}' for n, c, lead, gap in case) for case in cases]
+def cost_entry(name, cost, lead=""):
+    return f'["{name}"] = {{ {lead}["cost"] = {cost} }}'
+
+
+# Documents and the rows they hold for the simpler extraction.
+FALLBACK_CASES = [
+    # Without a champion only names of several words count; their last word stands in.
+    ([cost_entry("Ann", 520), cost_entry("Dark Ann", 1350)], [("Dark Ann", 1350, "Epic", "Ann", None)]),
+    # An id just before makes a capitalised word the champion, from itself on.
+    (
+        ['["id"] = 4 ', cost_entry("Zed", 520), cost_entry("red", 4000), cost_entry("Original", 520)],
+        [("red Zed", 4000, "Ultimate", "Zed", None), ("Zed", 0, "Default", "Zed", None)],
+    ),
+    # An id too far away, or a skin list already open, makes no champion.
+    (['["id"] = 4', "\n" * 100, cost_entry("Zed", 520), cost_entry("red", 520)], []),
+    (['["id"] = 4, ["skins"] = ', cost_entry("Zed", 520), cost_entry("red", 520)], []),
+    # Short names and names of several words are no champions; the last one stays.
+    (
+        ['["id"] = 4 ', cost_entry("Éva", 520), '["id"] = 5 ', cost_entry("Bo", 1820)],
+        [("Bo Éva", 1820, "Legendary", "Éva", None)],
+    ),
+    # Costs of more than 64 bits are no costs, but the original needs none.
+    (
+        ['["id"] = 4 ', cost_entry("Zed", 1), cost_entry("Big One", "9" * 25), cost_entry("Original", "9" * 25)],
+        [("Zed", 0, "Default", "Zed", None)],
+    ),
+    # A long gap hides nothing that lies within the last hundred characters.
+    (
+        ["x" * 5000, '["id"] = 4', "y" * 80, cost_entry("Zed", 520), "z" * 9000, cost_entry("Dark", 975)],
+        [("Dark Zed", 975, "Legacy", "Zed", None)],
+    ),
+    ([], []),
+]
+
+
+def test_fallback_on_documents_by_hand(spark):
+    texts = ["".join(parts) for parts, _ in FALLBACK_CASES]
     found = {}
     df = prep.extract_skins_fallback(docs(spark, *texts))
     for r in df.orderBy("doc_id", "entry_pos").collect():
         found.setdefault(r.doc_id, []).append(tuple(r[c] for c in prep.EXTRACTED))
-    want = {i: fallback_by_hand(t) for i, t in enumerate(texts)}
-    assert found == {i: w for i, w in want.items() if w}
+    assert found == {i: want for i, (_, want) in enumerate(FALLBACK_CASES) if want}
 
 
-def test_fallback_is_taken_below_the_limit(spark):
-    frame = docs(spark, TEXT)
-    assert listed(prep.extract_with_fallback(frame, fewest=8)) == listed(prep.extract_skins(frame))
-    assert listed(prep.extract_with_fallback(frame, fewest=9)) == listed(prep.extract_skins_fallback(frame))
+def test_costs_beyond_64_bits_are_no_costs(spark):
+    text = TEXT.replace('["cost"] = 975', '["cost"] = 99999999999999999999')
+    assert "Red Ann" not in [r[0] for r in listed(prep.extract_skins(docs(spark, text)))]
+    large = TEXT.replace('["cost"] = 975', '["cost"] = 99999999999')
+    assert ("Red Ann", 99999999999, "Ultimate", "Ann", None) in listed(prep.extract_skins(docs(spark, large)))
 
 
 def test_dedup_keeps_the_first_and_drops_special(spark):

@@ -85,6 +85,27 @@ def test_policies(spark):
     assert rows(c.enforce(sound, rules, "fail", {"p": parent}).kept, "k") == [(3,)]
 
 
+def test_unique_keeps_a_sound_row(spark):
+    rules = [c.Unique("k"), c.Check("positive", F.col("n") > 0)]
+    df = spark.createDataFrame([(1, -1), (1, 5), (1, 5), (2, -1), (2, -2), (None, 1)], "k int, n int")
+    for policy in ("drop", "quarantine"):
+        for parts in (1, 3):
+            kept = c.enforce(df.repartition(parts), rules, policy).kept
+            assert rows(kept, "k", "n") == [(1, 5), (None, 1)]
+
+
+def test_quotients_are_exact(spark):
+    money = spark.createDataFrame(
+        [(Decimal("10049999999999.99"), Decimal(10**13)), (Decimal("-0.05"), Decimal(10)), (Decimal(1), Decimal(0))],
+        "n decimal(24,2), d decimal(24,2)",
+    )
+    found = money.select(numbers.ratio(F.col("n"), F.col("d"), kind=numbers.CENTS).alias("q"))
+    assert [r.q for r in found.collect()] == [Decimal("1.00"), Decimal("-0.01"), None]
+    whole = spark.createDataFrame([(1, 200), (-1, 200), (2, 3), (1, -8)], "n long, d long")
+    found = whole.select(numbers.percent(F.col("n"), F.col("d"), 0).alias("p"))
+    assert [int(r.p) for r in found.collect()] == [1, -1, 67, -13]
+
+
 def test_lookup_keeps_every_row_and_spreads_missing_keys(spark):
     table = spark.createDataFrame([(1, "one"), (2, "two")], "id long, label string")
     left = spark.range(4000).select(

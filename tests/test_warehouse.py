@@ -115,6 +115,15 @@ def test_csv_round_trip(spark, tmp_path):
     assert back.where("loaded_at IS NULL").count() == 0
 
 
+def test_line_breaks_need_multi_line(spark, tmp_path):
+    source = players(spark, (1, "EU\nW", date(2020, 1, 1), "core"), (2, "NA", None, None))
+    with pytest.raises(Exception, match="needs multi_line"):
+        files.write_csv(source, str(tmp_path / "refused"))
+    files.write_csv(source, str(tmp_path / "players"), multi_line=True)
+    back = files.stage_players(spark, str(tmp_path / "players"), multi_line=True)
+    assert rows(back, *source.columns) == rows(source, *source.columns)
+
+
 def test_faulty_csv_lines_still_load(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text(

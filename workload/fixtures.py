@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from siltstone import schemas
 from siltstone.functions.dates import date_key
 from siltstone.functions.text import normalise_name
-from siltstone.operators.calendar import calendar
+from siltstone.operators.calendar import calendar_covering
 from siltstone.operators.lookups import lookup
 from siltstone.plans import layers, prep
 from siltstone.plans.layers import Bronze, Gold, Settle, as_planned
@@ -35,6 +35,7 @@ RULES = Rules(
 CHUNK = 64
 COSTS = (390, 520, 750, 975, 1350, 1820, 3250, 999)
 PRICES = (520, 750, 975, 1350, 1820, 3250)
+NOT_LATIN = "漆黒"
 
 
 # The given tables, with declared schemas: reading them infers nothing.
@@ -193,7 +194,9 @@ def clean_star(spark: SparkSession, sf_dir: str) -> Gold:
         )
 
     return Gold(
-        dim_date=lambda: calendar(spark, RULES.calendar_start, RULES.calendar_end),
+        dim_date=lambda: calendar_covering(
+            table(spark, sf_dir, "orders"), F.to_date("o_orderdate")
+        ),
         dim_skin=lambda: stg_skins(spark, sf_dir).withColumn("skin_key", F.col("skin_id")),
         dim_player=players,
         fact_sales=facts,
@@ -211,8 +214,8 @@ def pick(values: tuple[int, ...], key: Column) -> Column:
 def catalogue_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text): parts written as catalogue texts, one block per brand.
 
-    Some entries lack an id or a cost, are special or original, or hold a
-    nested list.
+    Some entries lack an id or a cost, are special or original, hold a nested
+    list, or cost more than a whole number of 64 bits.
     """
     k = F.col("p_partkey")
     key = "p_partkey"
@@ -221,7 +224,11 @@ def catalogue_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ", ",
         F.when(~every(key, 19), F.format_string('["id"] = %d', k)),
         F.when(every(key, 13), '["rarity"] = "Special"').when(
-            ~every(key, 17), F.format_string('["cost"] = %d', pick(COSTS, k))
+            ~every(key, 17),
+            F.concat(
+                F.lit('["cost"] = '),
+                F.when(every(key, 29), "9" * 25).otherwise(pick(COSTS, k).cast("string")),
+            ),
         ),
         F.when(~every(key, 5), F.format_string('["release"] = "%s"', released)),
         F.when(every(key, 7), '["colours"] = { "red", "blue" }'),
@@ -291,6 +298,7 @@ def match_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(every(key, 37), "default")
         .when(every(key, 41), F.concat(F.lit("Prestige "), name))
         .when(every(key, 43), None)
+        .when(every(key, 47), NOT_LATIN)
         .when(k % 3 == 0, F.upper(name))
         .when(k % 3 == 1, F.replace(name, F.lit(" "), F.lit("-")))
         .otherwise(F.concat(name, F.lit("!")))
@@ -305,23 +313,27 @@ def match_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One price per part name, dates in several spellings; some names are left out."""
+    """One price per part name, dates in several spellings; some names are left out.
+
+    Some names hold no letter that normalising keeps, as in the catalogue.
+    """
     k = F.col("k")
     released = F.date_add(F.lit(date(2014, 1, 1)), (k % 3000).cast("int"))
     price = pick(PRICES, k)
+    name = F.when(k % 53 == 0, NOT_LATIN).otherwise(F.col("p_name"))
     return (
         table(spark, sf_dir, "part")
         .where(~F.col("p_name").endswith("anvil"))
         .groupBy("p_name")
         .agg(F.min("p_partkey").alias("k"))
         .select(
-            F.col("p_name").alias("skin_name"),
+            name.alias("skin_name"),
             price.alias("price_rp"),
             prep.price_band_rarity(price).alias("rarity"),
             F.when(k % 4 == 0, released.cast("string"))
             .when(k % 4 == 1, F.date_format(released, "MMM d, yyyy"))
             .when(k % 4 == 2, "unknown")
             .alias("release_date"),
-            normalise_name(F.col("p_name")).alias("skin_name_norm"),
+            normalise_name(name).alias("skin_name_norm"),
         )
     )

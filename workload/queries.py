@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from siltstone import schemas
 from siltstone.functions import dates, numbers, text
+from siltstone.operators import constraints
 from siltstone.operators.calendar import calendar_covering
 from siltstone.operators.extract import carry_forward, explode_matches, extract_or_null
 from siltstone.operators.facts import attach_list_price, clean_facts
@@ -71,11 +73,11 @@ def planned_silver(spark: SparkSession, sf_dir: str) -> Silver:
 
 
 def gold(spark: SparkSession, sf_dir: str) -> Gold:
-    return layers.gold(silver(spark, sf_dir))
+    return layers.gold(silver(spark, sf_dir), fx.RULES)
 
 
 def planned_gold(spark: SparkSession, sf_dir: str) -> Gold:
-    return layers.gold(planned_silver(spark, sf_dir))
+    return layers.gold(planned_silver(spark, sf_dir), fx.RULES)
 
 
 def _on(layer: Callable[[SparkSession, str], object], report: Callable) -> Query:
@@ -114,7 +116,7 @@ def gold_dim_date(spark, sf_dir):
         fx.RULES,
         lambda name, df: days if name == "dim_date" else df,
     )
-    return layers.gold(s).dim_date
+    return layers.gold(s, fx.RULES).dim_date
 
 
 def dim_skin(spark, sf_dir):
@@ -131,7 +133,7 @@ def fact_sale_load(spark, sf_dir):
 
 
 def fact_sale_clean(spark, sf_dir):
-    return plain(silver(spark, sf_dir).fact_sale)
+    return plain(silver(spark, sf_dir).fact_sale.select(*schemas.FACT_COLUMNS))
 
 
 def fact_sale_repaired_external(spark, sf_dir):
@@ -142,7 +144,8 @@ def fact_sale_repaired_external(spark, sf_dir):
     foreign = loaded.withColumn(
         "total_rp", F.when(wrong, F.col("total_rp") + 1).otherwise(F.col("total_rp"))
     )
-    return plain(clean_facts(attach_list_price(foreign, s.dim_skin), s.dim_date))
+    cleaned = clean_facts(attach_list_price(foreign, s.dim_skin), s.dim_date)
+    return plain(cleaned.select(*schemas.FACT_COLUMNS))
 
 
 def quarantine(spark, sf_dir):
@@ -155,26 +158,34 @@ def dq_log(spark, sf_dir):
 
 def gold_fact_sales(spark, sf_dir):
     order = ["date_key", "player_key", "transaction_id"]
-    star = layers.gold(silver_stored_fact(spark, sf_dir))
+    star = layers.gold(silver_stored_fact(spark, sf_dir), fx.RULES)
     return dense_index(star.fact_sales, order, "sale_key")
 
 
 def gold_fk_breaks(spark, sf_dir):
-    """Valid sales on an invalid dimension row, found by way of the few invalid rows."""
-    s = silver(spark, sf_dir)
-    facts = layers.gold_facts(s)
-    for dim, key, flag in (
-        (s.dim_player, "player_key", "bad_player"),
-        (s.dim_skin, "skin_key", "bad_skin"),
-    ):
-        invalid = dim.where(~F.col("is_valid")).select(key, F.lit(True).alias(flag))
-        facts = facts.join(invalid, key, "left")
-    return facts.where("bad_player OR bad_skin").select("transaction_id", "player_key", "skin_key")
+    """Valid sales on an invalid dimension row, told by what the fact carries."""
+    facts = layers.gold_facts(silver(spark, sf_dir), "player_valid", "skin_valid")
+    broken = facts.where(~F.col("player_valid") | ~F.col("skin_valid"))
+    return broken.select("transaction_id", "player_key", "skin_key")
+
+
+def gold_rejected(spark, sf_dir):
+    """Valid sales that the policy ``quarantine`` keeps out of gold, and why."""
+    rules = replace(fx.RULES, on_violation="quarantine")
+    rejected = layers.gold_facts_judged(silver(spark, sf_dir), rules).rejected
+    return rejected.select("transaction_id", F.array_join("violations", ",").alias("violations"))
+
+
+def constraint_policy_drop(spark, sf_dir):
+    """Customers that keep an order: one each, a large one if they have any."""
+    large = constraints.Check("large", F.col("o_totalprice") > 100000)
+    rules = [large, constraints.Unique("o_custkey")]
+    return constraints.enforce(fx.table(spark, sf_dir, "orders"), rules, "drop").kept.select("o_custkey")
 
 
 def constraint_audit(spark, sf_dir):
     bronze, s = _silver(spark, sf_dir, _FACT)
-    return reports.constraint_audit(bronze, s, layers.gold(s), fx.RULES)
+    return reports.constraint_audit(bronze, s, layers.gold(s, fx.RULES), fx.RULES)
 
 
 # Scalar functions over whole tables -----------------------------------------
@@ -409,6 +420,8 @@ def queries() -> dict[str, Query]:
         "gold_dim_player": _on(pg, lambda layer: layer.dim_player),
         "gold_fact_sales": gold_fact_sales,
         "gold_fk_breaks": gold_fk_breaks,
+        "gold_rejected": gold_rejected,
+        "constraint_policy_drop": constraint_policy_drop,
         "revenue_by_segment_month": _on(g, views.revenue_by_segment_month),
         "top_selling_skins": _on(g, views.top_selling_skins),
         "weekend_vs_weekday_sales": _on(g, views.weekend_vs_weekday_sales),
