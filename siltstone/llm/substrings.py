@@ -193,13 +193,15 @@ def remove_repeats(docs: DataFrame, how: Chunking = Chunking()) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.collect_list(F.struct("_text", "_spans")).alias("_found"))
     )
-    schema = T.StructType([*docs.schema.fields])
-    names = docs.columns
-    counted = "n_chars" if "n_chars" in names else None
+    # Columns go by number, so that their names can't clash with ours.
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    body = names[docs.columns.index("text")]
+    counted = names[docs.columns.index("n_chars")] if "n_chars" in docs.columns else None
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, docs.schema, strict=True)])
 
     def cut(block: Block) -> pa.RecordBatch:
         found = block.rows.column(block.rows.schema.get_field_index("_found")).to_pylist()
-        column = block.rows.column("text").to_pylist()
+        column = block.rows.column(body).to_pylist()
         changed = {}
         for i, spans_of in enumerate(found):
             if not spans_of or not column[i]:
@@ -216,7 +218,7 @@ def remove_repeats(docs: DataFrame, how: Chunking = Chunking()) -> DataFrame:
         out = block.rows.select(names)
         if changed:
             texts = [changed.get(i, t) for i, t in enumerate(column)]
-            k = names.index("text")
+            k = names.index(body)
             out = out.set_column(k, out.schema.field(k), pa.array(texts, out.schema.field(k).type))
             if counted:
                 k = names.index(counted)
@@ -225,5 +227,8 @@ def remove_repeats(docs: DataFrame, how: Chunking = Chunking()) -> DataFrame:
                 out = out.set_column(k, out.schema.field(k), pa.array(sizes, out.schema.field(k).type))
         return out
 
-    joined = docs.join(spans, "doc_id", "left").select(*names, "_found")
-    return map_blocks(joined, cut, schema, "text")
+    numbered = docs.toDF(*names)
+    key = names[docs.columns.index("doc_id")]
+    spans = spans.withColumnRenamed("doc_id", "_spans_of")
+    joined = numbered.join(spans, F.col(key) == F.col("_spans_of"), "left").select(*names, "_found")
+    return map_blocks(joined, cut, schema, body).toDF(*docs.columns)
