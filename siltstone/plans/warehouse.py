@@ -19,6 +19,8 @@ from siltstone.plans import layers
 from siltstone.plans.layers import Bronze, Gold, Silver
 from siltstone.plans.views import create_views
 from siltstone.rules import Rules
+from siltstone.runtime import passing_scratch
+from siltstone.schemas import FACT_COLUMNS
 from siltstone.sources.tables import Store
 
 COMMENTS = {
@@ -55,6 +57,13 @@ def build(
 
     ``keep_log`` appends this run's metrics to the log instead of replacing it.
     """
+    with passing_scratch(spark):
+        return _built(spark, staged, rules, store, keep_log)
+
+
+def _built(
+    spark: SparkSession, staged: Bronze, rules: Rules, store: Store, keep_log: bool
+) -> Warehouse:
     run = _Build(store, rules, keep_log)
     bronze = layers.bronze(
         {name: (lambda df=df: df) for name, df in staged.tables().items()}, run.settle_bronze
@@ -77,6 +86,15 @@ def open_warehouse(store: Store) -> Warehouse:
     return Warehouse(stored(Bronze, "bronze"), stored(Silver, "silver"), stored(Gold, "gold"))
 
 
+def keyed_facts(fact: DataFrame) -> DataFrame:
+    """Silver sales numbered 1..n in the order of their values.
+
+    Equal rows are interchangeable; their place only lets them be split.
+    """
+    placed = fact.withColumn("_tie", F.monotonically_increasing_id())
+    return dense_index(placed, [*FACT_COLUMNS, "_tie"], SILVER_KEY).drop("_tie")
+
+
 class _Build:
     def __init__(self, store: Store, rules: Rules, keep_log: bool) -> None:
         self.store = store
@@ -93,7 +111,7 @@ class _Build:
 
     def settle_silver(self, name: str, df: DataFrame) -> DataFrame:
         if name == "fact_sale":
-            return self._refresh("silver", name, load_order_index(df, "sale_key"), "created_at")
+            return self._refresh("silver", name, keyed_facts(df), "created_at")
         if name == "fact_sale_quarantine":
             df = self._checked("silver", name, df, layers.quarantine_constraints())
             numbered = load_order_index(df, "quarantine_id")

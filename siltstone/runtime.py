@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path in the folder all executors share.
@@ -17,7 +22,29 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def passing_scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the scratch tables made inside once the block ends, also by an error.
+
+    For work whose results are stored elsewhere when the block ends. Plans that
+    are read later need theirs, so they are made outside of such a block.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def durable(df: DataFrame, label: str = "durable") -> DataFrame:

@@ -17,7 +17,7 @@ from siltstone.operators.extract import carry_forward, explode_matches, extract_
 from siltstone.operators.facts import attach_list_price, clean_facts
 from siltstone.operators.keys import dense_index
 from siltstone.operators.profiles import keep_first
-from siltstone.plans import layers, prep, reports, views
+from siltstone.plans import layers, prep, reports, views, warehouse
 from siltstone.plans.layers import Bronze, Gold, Silver
 from siltstone.runtime import scratch_dir
 from siltstone.sources import files
@@ -136,6 +136,11 @@ def fact_sale_clean(spark, sf_dir):
     return plain(silver(spark, sf_dir).fact_sale.select(*schemas.FACT_COLUMNS))
 
 
+def fact_sale_keyed(spark, sf_dir):
+    keyed = warehouse.keyed_facts(silver(spark, sf_dir).fact_sale)
+    return plain(keyed.select("sale_key", "transaction_id", "is_valid"))
+
+
 def fact_sale_repaired_external(spark, sf_dir):
     """Cleansing of a fact loaded elsewhere: no list price, some totals wrong."""
     bronze, s = _silver(spark, sf_dir, _DIMS)
@@ -396,6 +401,7 @@ def queries() -> dict[str, Query]:
         "dim_player": dim_player,
         "fact_sale_load": fact_sale_load,
         "fact_sale_clean": fact_sale_clean,
+        "fact_sale_keyed": fact_sale_keyed,
         "fact_sale_repaired_external": fact_sale_repaired_external,
         "quarantine": quarantine,
         "dq_log": dq_log,
