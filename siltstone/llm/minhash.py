@@ -157,17 +157,8 @@ def _ordered(left: str, right: str) -> list[Column]:
     return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, near: Near, id_col: str, text: str) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the similarity.
-
-    Texts of documents that are in a pair are set aside first; only these meet
-    the pairs.
-    """
-    wanted = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
-    texts = durable(
-        docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).join(wanted, "_id", "left_semi"),
-        "pair_texts",
-    )
+def confirmed(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach the similarity; ``texts`` is (_id, _text)."""
     both = pairs.join(
         texts.select(F.col("_id").alias("a"), F.col("_text").alias("_text_a")), "a"
     ).join(texts.select(F.col("_id").alias("b"), F.col("_text").alias("_text_b")), "b")
@@ -186,6 +177,25 @@ def confirmed(pairs: DataFrame, docs: DataFrame, near: Near, id_col: str, text:
     return map_blocks(both.select("_text_a", "_text_b", "a", "b"), similar, T.StructType(ends), "_text_a", 1 << 20)
 
 
+def lonely(texts: DataFrame, near: Near) -> DataFrame:
+    """(_id, _lonely): how many shingles of each text are in no other of the texts."""
+
+    def each(block: Block) -> pa.RecordBatch:
+        rows, values = block_shingles(block.data, block.offsets, near)
+        ids = block.rows.column(block.rows.schema.get_field_index("_id")).take(pa.array(rows))
+        return pa.record_batch([ids, pa.array(values.view(np.int64))], ["_id", "_shingle"])
+
+    schema = T.StructType([texts.schema["_id"], T.StructField("_shingle", T.LongType())])
+    return (
+        map_blocks(texts.select("_id", "_text"), each, schema, "_text")
+        .groupBy("_shingle")
+        .agg(F.count(F.lit(1)).alias("_holders"), F.min("_id").alias("_id"))
+        .where(F.col("_holders") == 1)
+        .groupBy("_id")
+        .agg(F.count(F.lit(1)).alias("_lonely"))
+    )
+
+
 def _repeated(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((values, rows))
     rows, values = rows[order], values[order]
@@ -209,26 +219,44 @@ def groups(docs: DataFrame, near: Near, id_col: str = "doc_id", text: str = "tex
     classes = durable(
         sets.where(F.col("_count") > 0)
         .groupBy("_d1", "_d2")
-        .agg(F.min(id_col).alias("_id"), *[F.first(s).alias(s) for s in SIGNATURE]),
+        .agg(
+            F.min(id_col).alias("_id"),
+            F.first("_count").alias("_count"),
+            *[F.first(s).alias(s) for s in SIGNATURE],
+        ),
         "classes",
     )
     keys = classes.select("_id", F.explode(index_keys(near)).alias("_key"))
+    # Two members stand for a bucket. Whole-number ids are shuffled by the key, so
+    # that a group in many buckets has other ones in each.
+    whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
+    place = F.col("_id").cast("long").bitwiseXOR(F.col("_key")) if whole else F.col("_id")
+
+    def member(place: Column) -> Column:
+        return place.bitwiseXOR(F.col("_key")).cast(docs.schema[id_col].dataType) if whole else place
+
     buckets = (
         keys.groupBy("_key")
-        .agg(F.min("_id").alias("_low"), F.max("_id").alias("_high"))
+        .agg(F.min(place).alias("_low"), F.max(place).alias("_high"))
         .where(F.col("_low") < F.col("_high"))
+        .select("_key", member(F.col("_low")).alias("_low"), member(F.col("_high")).alias("_high"))
     )
     members = durable(keys.join(buckets, "_key"), "buckets")
+    shared = members.select("_id").distinct()
+    texts = durable(
+        docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).join(shared, "_id", "left_semi"),
+        "bucket_texts",
+    )
 
     ends = members.select("_id", F.explode(F.array("_low", "_high")).alias("_end"))
     near_ends = ends.where(F.col("_id") != F.col("_end")).select(*_ordered("_id", "_end")).distinct()
     tried = durable(_close(near_ends, classes, near), "pairs")
-    links = durable(confirmed(tried, docs, near, id_col, text), "links")
+    links = durable(confirmed(tried, texts, near), "links")
 
     rest = durable(
-        _across(members, components(links), classes, near).join(tried, ["a", "b"], "left_anti"), "pairs"
+        _across(members, components(links), classes, texts, near).join(tried, ["a", "b"], "left_anti"), "pairs"
     )
-    links = durable(links.union(confirmed(rest, docs, near, id_col, text)).distinct(), "links")
+    links = durable(links.union(confirmed(rest, texts, near)).distinct(), "links")
     found = components(links).withColumnRenamed("node", "_id")
     named_groups = classes.join(found, "_id", "left").select(
         "_d1", "_d2", F.coalesce("component", "_id").alias("component")
@@ -236,10 +264,26 @@ def groups(docs: DataFrame, near: Near, id_col: str = "doc_id", text: str = "tex
     return Groups(sets, links, named_groups)
 
 
-def _across(members: DataFrame, labels: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
-    """Pairs within the distance that share a bucket but no component.
+def _possible(x: str, y: str, near: Near) -> Column:
+    """Whether sizes and lonely shingles leave room for the similarity.
+
+    Two sets share at most what either has besides its lonely shingles, so
+    similarity s asks for (1 + s) * shared >= s * (both sizes).
+    """
+    shared = F.least(*[F.col(f"{n}._count") - F.col(f"{n}._lonely") for n in (x, y)])
+    sizes = F.col(f"{x}._count") + F.col(f"{y}._count")
+    return (100 + near.percent) * shared >= near.percent * sizes
+
+
+def _across(
+    members: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, near: Near
+) -> DataFrame:
+    """Pairs that may be links, share a bucket, but no component.
 
     In each bucket the members outside its largest component meet all others.
+    Where a large group has many outsiders, these have shingles that nobody
+    else has: their number bounds what they can share with anyone, so most of
+    them are seen off before they meet somebody.
     """
     labelled = durable(
         members.select("_key", "_id")
@@ -259,16 +303,27 @@ def _across(members: DataFrame, labels: DataFrame, classes: DataFrame, near: Nea
         .where(F.col("_parts") > 1)
         .select("_key", "_main")
     )
-    mixed = durable(
-        labelled.join(largest, "_key").join(classes.select("_id", *SIGNATURE), "_id"), "mixed"
+    mixed = durable(labelled.join(largest, "_key"), "mixed")
+    ids = mixed.select("_id").distinct()
+    known = durable(
+        classes.join(ids, "_id", "left_semi")
+        .join(lonely(texts.join(ids, "_id", "left_semi"), near), "_id", "left")
+        .select("_id", "_count", F.coalesce("_lonely", F.lit(0)).alias("_lonely"), *SIGNATURE),
+        "known",
     )
-    x, y = mixed.where(F.col("_component") != F.col("_main")).alias("x"), mixed.alias("y")
+    # The smallest partner that similarity allows, or that the bucket has.
+    least = mixed.join(known.select("_id", "_count"), "_id").groupBy("_key").agg(F.min("_count").alias("_least"))
+    outside = mixed.where(F.col("_component") != F.col("_main")).join(known, "_id").join(least, "_key")
+    smallest = F.greatest(F.col("_least"), F.ceil(F.col("_count") * near.percent / 100))
+    room = (100 + near.percent) * (F.col("_count") - F.col("_lonely")) >= near.percent * (F.col("_count") + smallest)
+    x, y = outside.where(room).alias("x"), mixed.join(known, "_id").alias("y")
     once = (F.col("y._component") == F.col("y._main")) | (F.col("x._id") < F.col("y._id"))
     pairs = x.join(
         y,
         (F.col("x._key") == F.col("y._key"))
         & (F.col("x._component") != F.col("y._component"))
         & once
+        & _possible("x", "y", near)
         & (signature_distance("x", "y") <= near.distance),
     )
     return pairs.select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b")).distinct()
