@@ -13,7 +13,7 @@
 4. Pairs are not formed inside a bucket. First its members meet the smallest
    and the largest one only. Confirmed links give components, and then just the
    members of different components that share a bucket meet, with the distance
-   checked inside the join. What is left out could only repeat a connection.
+   checked before texts are. What is left out could only repeat a connection.
 5. A link counts if the full shingle sets, taken from the texts, are similar
    enough. Components of links are the groups.
 
@@ -31,7 +31,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -177,22 +177,34 @@ def confirmed(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
     return map_blocks(both.select("_text_a", "_text_b", "a", "b"), similar, T.StructType(ends), "_text_a", 1 << 20)
 
 
-def lonely(texts: DataFrame, near: Near) -> DataFrame:
-    """(_id, _lonely): how many shingles of each text are in no other of the texts."""
+def rarest(texts: DataFrame, near: Near) -> DataFrame:
+    """(_id, _shingle, _place, _count): each set's rarest shingles, as many as matter.
+
+    In an order shared by all sets, here by how many of the texts hold a
+    shingle, similar sets have one of their first ones in common: with more
+    than 1 - s of a set gone, too little is left for similarity s.
+    """
 
     def each(block: Block) -> pa.RecordBatch:
         rows, values = block_shingles(block.data, block.offsets, near)
         ids = block.rows.column(block.rows.schema.get_field_index("_id")).take(pa.array(rows))
-        return pa.record_batch([ids, pa.array(values.view(np.int64))], ["_id", "_shingle"])
+        counts = np.bincount(rows, minlength=len(block))[rows]
+        return pa.record_batch(
+            [ids, pa.array(values.view(np.int64)), pa.array(counts)], ["_id", "_shingle", "_count"]
+        )
 
-    schema = T.StructType([texts.schema["_id"], T.StructField("_shingle", T.LongType())])
+    schema = T.StructType(
+        [texts.schema["_id"], T.StructField("_shingle", T.LongType()), T.StructField("_count", T.LongType())]
+    )
+    each_shingle = map_blocks(texts.select("_id", "_text"), each, schema, "_text")
+    holders = each_shingle.groupBy("_shingle").agg(F.count(F.lit(1)).alias("_holders"))
+    place = F.row_number().over(Window.partitionBy("_id").orderBy("_holders", "_shingle"))
+    needed = F.col("_count") - F.ceil(F.col("_count") * near.percent / 100) + 1
     return (
-        map_blocks(texts.select("_id", "_text"), each, schema, "_text")
-        .groupBy("_shingle")
-        .agg(F.count(F.lit(1)).alias("_holders"), F.min("_id").alias("_id"))
-        .where(F.col("_holders") == 1)
-        .groupBy("_id")
-        .agg(F.count(F.lit(1)).alias("_lonely"))
+        each_shingle.join(holders, "_shingle")
+        .withColumn("_place", place.cast("long"))
+        .where(F.col("_place") <= needed)
+        .select("_id", "_shingle", "_place", "_count")
     )
 
 
@@ -219,11 +231,7 @@ def groups(docs: DataFrame, near: Near, id_col: str = "doc_id", text: str = "tex
     classes = durable(
         sets.where(F.col("_count") > 0)
         .groupBy("_d1", "_d2")
-        .agg(
-            F.min(id_col).alias("_id"),
-            F.first("_count").alias("_count"),
-            *[F.first(s).alias(s) for s in SIGNATURE],
-        ),
+        .agg(F.min(id_col).alias("_id"), *[F.first(s).alias(s) for s in SIGNATURE]),
         "classes",
     )
     keys = classes.select("_id", F.explode(index_keys(near)).alias("_key"))
@@ -264,26 +272,18 @@ def groups(docs: DataFrame, near: Near, id_col: str = "doc_id", text: str = "tex
     return Groups(sets, links, named_groups)
 
 
-def _possible(x: str, y: str, near: Near) -> Column:
-    """Whether sizes and lonely shingles leave room for the similarity.
-
-    Two sets share at most what either has besides its lonely shingles, so
-    similarity s asks for (1 + s) * shared >= s * (both sizes).
-    """
-    shared = F.least(*[F.col(f"{n}._count") - F.col(f"{n}._lonely") for n in (x, y)])
-    sizes = F.col(f"{x}._count") + F.col(f"{y}._count")
-    return (100 + near.percent) * shared >= near.percent * sizes
-
-
 def _across(
     members: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, near: Near
 ) -> DataFrame:
-    """Pairs that may be links, share a bucket, but no component.
-
-    In each bucket the members outside its largest component meet all others.
-    Where a large group has many outsiders, these have shingles that nobody
-    else has: their number bounds what they can share with anyone, so most of
-    them are seen off before they meet somebody.
+    """Pairs of different components that may be links and share a bucket.
+
+    Outsiders, members outside the largest component of one of their buckets,
+    meet members of other components over the rarest shingles they share. What
+    stands before a shingle in either order isn't shared, if it is the first one
+    that is, so its place bounds the rest: s * (both sizes) must not exceed
+    (1 + s) * (1 + what is left of either set). A large group's outsiders differ
+    from everyone in shingles of their own, which come first, so they are seen
+    off here and not one by one.
     """
     labelled = durable(
         members.select("_key", "_id")
@@ -303,30 +303,29 @@ def _across(
         .where(F.col("_parts") > 1)
         .select("_key", "_main")
     )
-    mixed = durable(labelled.join(largest, "_key"), "mixed")
-    ids = mixed.select("_id").distinct()
-    known = durable(
-        classes.join(ids, "_id", "left_semi")
-        .join(lonely(texts.join(ids, "_id", "left_semi"), near), "_id", "left")
-        .select("_id", "_count", F.coalesce("_lonely", F.lit(0)).alias("_lonely"), *SIGNATURE),
-        "known",
+    mixed = durable(
+        labelled.join(largest, "_key")
+        .groupBy("_id", "_component")
+        .agg(F.max(F.col("_component") != F.col("_main")).alias("_outside")),
+        "mixed",
+    )
+    first = durable(
+        rarest(texts.join(mixed.select("_id"), "_id", "left_semi"), near).join(mixed, "_id"), "rarest"
     )
-    # The smallest partner that similarity allows, or that the bucket has.
-    least = mixed.join(known.select("_id", "_count"), "_id").groupBy("_key").agg(F.min("_count").alias("_least"))
-    outside = mixed.where(F.col("_component") != F.col("_main")).join(known, "_id").join(least, "_key")
-    smallest = F.greatest(F.col("_least"), F.ceil(F.col("_count") * near.percent / 100))
-    room = (100 + near.percent) * (F.col("_count") - F.col("_lonely")) >= near.percent * (F.col("_count") + smallest)
-    x, y = outside.where(room).alias("x"), mixed.join(known, "_id").alias("y")
-    once = (F.col("y._component") == F.col("y._main")) | (F.col("x._id") < F.col("y._id"))
-    pairs = x.join(
-        y,
-        (F.col("x._key") == F.col("y._key"))
-        & (F.col("x._component") != F.col("y._component"))
-        & once
-        & _possible("x", "y", near)
-        & (signature_distance("x", "y") <= near.distance),
+    x, y = first.where("_outside").alias("x"), first.alias("y")
+    left = 1 + F.least(F.col("x._count") - F.col("x._place"), F.col("y._count") - F.col("y._place"))
+    pairs = (
+        x.join(
+            y,
+            (F.col("x._shingle") == F.col("y._shingle"))
+            & (F.col("x._component") != F.col("y._component"))
+            & (~F.col("y._outside") | (F.col("x._id") < F.col("y._id")))
+            & ((100 + near.percent) * left >= near.percent * (F.col("x._count") + F.col("y._count"))),
+        )
+        .select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b"))
+        .distinct()
     )
-    return pairs.select(F.least("x._id", "y._id").alias("a"), F.greatest("x._id", "y._id").alias("b")).distinct()
+    return _close(pairs, classes, near)
 
 
 def near_duplicates(docs: DataFrame, near: Near = Near(), id_col: str = "doc_id", text: str = "text") -> DataFrame:
