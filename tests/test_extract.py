@@ -91,13 +91,16 @@ def cost_entry(name, cost, lead=""):
     return f'["{name}"] = {{ {lead}["cost"] = {cost} }}'
 
 
+# Enough to put an id out of sight of the next entry.
+FAR = "\n" * 100
+
 # Documents and the rows they hold for the simpler extraction.
 FALLBACK_CASES = [
     # Without a champion only names of several words count; their last word stands in.
     ([cost_entry("Ann", 520), cost_entry("Dark Ann", 1350)], [("Dark Ann", 1350, "Epic", "Ann", None)]),
     # An id just before makes a capitalised word the champion, from itself on.
     (
-        ['["id"] = 4 ', cost_entry("Zed", 520), cost_entry("red", 4000), cost_entry("Original", 520)],
+        ['["id"] = 4 ', cost_entry("Zed", 520), cost_entry("red", 4000), FAR, cost_entry("Original", 520)],
         [("red Zed", 4000, "Ultimate", "Zed", None), ("Zed", 0, "Default", "Zed", None)],
     ),
     # An id too far away, or a skin list already open, makes no champion.
@@ -110,7 +113,7 @@ FALLBACK_CASES = [
     ),
     # Costs of more than 64 bits are no costs, but the original needs none.
     (
-        ['["id"] = 4 ', cost_entry("Zed", 1), cost_entry("Big One", "9" * 25), cost_entry("Original", "9" * 25)],
+        ['["id"] = 4 ', cost_entry("Zed", 1), cost_entry("Big One", "9" * 25), FAR, cost_entry("Original", "9" * 25)],
         [("Zed", 0, "Default", "Zed", None)],
     ),
     # A long gap hides nothing that lies within the last hundred characters.
