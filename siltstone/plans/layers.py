@@ -251,6 +251,7 @@ def stg_constraints(rules: Rules) -> dict[str, list[c.Constraint]]:
                 "skin_name": fixed.SKIN_NAME_LENGTH,
                 "rarity": fixed.RARITY_LENGTH,
                 "champion_id": fixed.NAME_LENGTH,
+                "skin_name_norm": fixed.SKIN_NAME_LENGTH,
             }
         ),
         "stg_players": c.max_length(
@@ -263,6 +264,13 @@ def quarantine_constraints() -> list[c.Constraint]:
     return list(c.max_length({"rejection_reason": fixed.REASON_LENGTH}))
 
 
+def log_constraints() -> list[c.Constraint]:
+    return [
+        *c.max_length({"table_name": fixed.LOG_LENGTH, "issue_type": fixed.LOG_LENGTH}),
+        c.Unique("log_id"),
+    ]
+
+
 def gold_fact_checks() -> list[c.Check]:
     return [
         *c.not_null("player_key", "skin_key", "date_key", "price_rp", "quantity", "total_rp"),

@@ -375,6 +375,8 @@ def constraint_audit(bronze: Bronze, silver: Silver, gold: Gold, rules: Rules) -
         "dim_player": c.audit(
             silver.dim_player, [*layers.dim_player_constraints(rules), c.Unique("player_key")]
         ),
+        "fact_sale_quarantine": c.audit(silver.fact_sale_quarantine, layers.quarantine_constraints()),
+        "data_quality_log": c.audit(silver.data_quality_log, layers.log_constraints()),
         "fact_sales": c.audit(
             layers.gold_facts(silver), layers.gold_fact_constraints(), parents
         ),

@@ -151,6 +151,7 @@ class _Build:
 
     def _log(self, df: DataFrame) -> DataFrame:
         name = "data_quality_log"
+        df = self._checked("silver", name, df, layers.log_constraints())
         if not (self.keep_log and self.store.exists("silver", name)):
             return self.store.refresh("silver", name, df, COMMENTS[name])
         logged = self.store.read("silver", name).agg(F.coalesce(F.max("log_id"), F.lit(0)))

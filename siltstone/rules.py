@@ -23,6 +23,7 @@ RARITY_LENGTH = 50
 REGION_LENGTH = 10
 SEGMENT_LENGTH = 20
 REASON_LENGTH = 200
+LOG_LENGTH = 100
 
 POLICIES = ("fail", "drop", "quarantine")
 

@@ -149,7 +149,9 @@ def stg_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze(spark: SparkSession, sf_dir: str, settle: Settle = as_planned) -> Bronze:
     return layers.bronze(
         {
-            "stg_skins": lambda: stg_skins(spark, sf_dir),
+            "stg_skins": lambda: stg_skins(spark, sf_dir).withColumn(
+                "skin_name_norm", normalise_name(F.col("skin_name"))
+            ),
             "stg_players": lambda: stg_players(spark, sf_dir),
             "stg_sales": lambda: stg_sales(spark, sf_dir),
         },
