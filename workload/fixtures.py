@@ -110,12 +110,25 @@ def stg_skins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stg_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = "o_orderkey"
+    """One sale for each order, with the smallest part and quantity of its lines."""
     lines = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
         .agg(F.min("l_partkey").alias("partkey"), F.min("l_quantity").alias("qty"))
     )
+    return _sales(spark, sf_dir, lines)
+
+
+def stg_line_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sale for each line item; the lines of an order share a transaction id."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_partkey").alias("partkey"), F.col("l_quantity").alias("qty")
+    )
+    return _sales(spark, sf_dir, lines)
+
+
+def _sales(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    key = "o_orderkey"
     skins = stg_skins(spark, sf_dir).select("skin_id", F.col("price_rp").alias("skin_price"))
     orders = (
         table(spark, sf_dir, "orders")
@@ -146,14 +159,16 @@ def stg_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze(spark: SparkSession, sf_dir: str, settle: Settle = as_planned) -> Bronze:
+def bronze(
+    spark: SparkSession, sf_dir: str, settle: Settle = as_planned, sales=stg_sales
+) -> Bronze:
     return layers.bronze(
         {
             "stg_skins": lambda: stg_skins(spark, sf_dir).withColumn(
                 "skin_name_norm", normalise_name(F.col("skin_name"))
             ),
             "stg_players": lambda: stg_players(spark, sf_dir),
-            "stg_sales": lambda: stg_sales(spark, sf_dir),
+            "stg_sales": lambda: sales(spark, sf_dir),
         },
         settle,
     )

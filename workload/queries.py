@@ -157,6 +157,13 @@ def quarantine(spark, sf_dir):
     return silver_stored_staging(spark, sf_dir).fact_sale_quarantine
 
 
+def quarantine_lineitem(spark, sf_dir):
+    """As :func:`quarantine`, over every line item: transaction ids repeat."""
+    settle = layers.durable_tables(*_STAGED)
+    bronze = fx.bronze(spark, sf_dir, settle, fx.stg_line_sales)
+    return layers.silver(spark, bronze, fx.RULES, settle).fact_sale_quarantine
+
+
 def dq_log(spark, sf_dir):
     return plain(silver(spark, sf_dir).data_quality_log.drop("run_timestamp"))
 
@@ -404,6 +411,7 @@ def queries() -> dict[str, Query]:
         "fact_sale_keyed": fact_sale_keyed,
         "fact_sale_repaired_external": fact_sale_repaired_external,
         "quarantine": quarantine,
+        "quarantine_lineitem": quarantine_lineitem,
         "dq_log": dq_log,
         "silver_load_status": _on(s, reports.silver_load_status),
         "dq_report": _on(s, reports.dq_report),
