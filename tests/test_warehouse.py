@@ -2,6 +2,7 @@
 
 import json
 from datetime import date
+from pathlib import Path
 
 import pytest
 from helpers import RULES, players, rows, sales, skins
@@ -83,6 +84,22 @@ def test_build_refresh_and_reports(spark, tmp_path):
     ]
 
 
+def scratch_tables(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    return set(folder.iterdir()) if folder.exists() else set()
+
+
+@pytest.mark.parametrize("policy", ["quarantine", "fail"])
+def test_a_build_leaves_no_scratch(spark, tmp_path, policy):
+    before = scratch_tables(spark)
+    store = Store(spark, str(tmp_path), prefix=f"e_{policy}_")
+    try:
+        warehouse.build(spark, staged(spark, *RECORDS), rules(policy), store)
+    except ConstraintError:
+        assert policy == "fail"
+    assert scratch_tables(spark) == before
+
+
 def test_log_history(spark, tmp_path):
     store = Store(spark, str(tmp_path), prefix="b_")
     for _ in range(2):
