@@ -61,5 +61,27 @@ def test_query(spark, duck, name):
     assert canonical(df.collect(), df.columns) == canonical(found.fetchall(), columns)
 
 
+ORDERED = (
+    "bronze_price_dist",
+    "bronze_rarity_dist",
+    "gold_last6_months",
+    "gold_top10_players",
+    "gold_top10_skins",
+    "prep_lowest_prices",
+    "prep_top_prices",
+    "quarantine_share",
+    "rejection_reasons",
+)
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_reports_come_in_order(spark, duck, name):
+    df = queries.queries()[name](spark, SF_DIR)
+    found = duck.execute(oracle.oracle_sql()[name])
+    columns = [d[0] for d in found.description]
+    want = [canonical([r], columns) for r in found.fetchall()]
+    assert [canonical([r], df.columns) for r in df.collect()] == want
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
