@@ -10,8 +10,8 @@
    distance d agree up to d // chunks symbols in some chunk. Enumerating the
    chunk's symbols that may be wrong gives each signature a few exact keys, and
    every pair within the distance meets under one of them.
-4. Pairs are not formed inside a bucket. First its members meet the smallest
-   and the largest one only. Confirmed links give components, and then just the
+4. Pairs are not formed inside a bucket. First its members meet just one of
+   them. Confirmed links give components, and then just the
    members of different components that share a bucket meet, with the distance
    checked before texts are. What is left out could only repeat a connection.
 5. A link counts if the full shingle sets, taken from the texts, are similar
@@ -235,8 +235,8 @@ def groups(docs: DataFrame, near: Near, id_col: str = "doc_id", text: str = "tex
         "classes",
     )
     keys = classes.select("_id", F.explode(index_keys(near)).alias("_key"))
-    # Two members stand for a bucket. Whole-number ids are shuffled by the key, so
-    # that a group in many buckets has other ones in each.
+    # One member stands for a bucket. Whole-number ids are shuffled by the key, so
+    # that a group in many buckets has another one in each.
     whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
     place = F.col("_id").cast("long").bitwiseXOR(F.col("_key")) if whole else F.col("_id")
 
@@ -247,7 +247,7 @@ def groups(docs: DataFrame, near: Near, id_col: str = "doc_id", text: str = "tex
         keys.groupBy("_key")
         .agg(F.min(place).alias("_low"), F.max(place).alias("_high"))
         .where(F.col("_low") < F.col("_high"))
-        .select("_key", member(F.col("_low")).alias("_low"), member(F.col("_high")).alias("_high"))
+        .select("_key", member(F.col("_low")).alias("_first"))
     )
     members = durable(keys.join(buckets, "_key"), "buckets")
     shared = members.select("_id").distinct()
@@ -256,9 +256,8 @@ def groups(docs: DataFrame, near: Near, id_col: str = "doc_id", text: str = "tex
         "bucket_texts",
     )
 
-    ends = members.select("_id", F.explode(F.array("_low", "_high")).alias("_end"))
-    near_ends = ends.where(F.col("_id") != F.col("_end")).select(*_ordered("_id", "_end")).distinct()
-    tried = durable(_close(near_ends, classes, near), "pairs")
+    spokes = members.where(F.col("_id") != F.col("_first")).select(*_ordered("_id", "_first")).distinct()
+    tried = durable(_close(spokes, classes, near), "pairs")
     links = durable(confirmed(tried, texts, near), "links")
 
     rest = durable(
