@@ -123,7 +123,8 @@ def weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text: s
 
     def run(block: Block) -> pa.RecordBatch:
         rows, found = ngrams(block.data, block.offsets)
-        sums = np.bincount(rows, weights=model.value[found], minlength=len(block))
+        # Without any n-gram the sums would be whole numbers.
+        sums = np.bincount(rows, weights=model.value[found], minlength=len(block)).astype(np.float64)
         sizes = np.bincount(rows, minlength=len(block))
         return pa.record_batch(
             [block.rows.column(0), pa.array(sums), pa.array(sizes)], [id_col, "log_weight", "n_grams"]
