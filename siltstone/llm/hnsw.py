@@ -1,6 +1,8 @@
 """Approximate nearest neighbours: a navigable small-world graph for each shard.
 
-Vectors are dealt to shards of bounded size by a hash. Each shard's graph is a
+Equal vectors are one node: copies would fill each other's links and the beam.
+A node keeps its k + 1 smallest ids, as no list has room for more besides the
+query's own. Nodes are dealt to shards of bounded size by a hash. Each shard's graph is a
 hierarchy: every node is in layer 0, one in ``WIDTH`` in layer 1, and so on.
 A layer is a flat array of neighbours, -1 where there is none. Nodes enter in
 batches; a batch searches the graph so far for all its nodes at once, keeps
@@ -12,8 +14,8 @@ Nearness is the largest inner product. For the graph, a vector gets one more
 component that lifts all vectors of a shard to the same length; then the
 nearest ones are those with the largest product, also if lengths differ.
 Every block of queries is searched in every shard, the products of what is
-found are taken again in double precision on the original vectors, and the
-shards' lists are merged.
+found are taken again in double precision on the original vectors, nodes are
+spelled out as their ids, and the shards' lists are merged.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components take no part, nor do rows with a null id; only vectors of the same
@@ -27,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -207,26 +210,40 @@ def search(graph: Graph, queries: np.ndarray, beam: int) -> np.ndarray:
 _KINDS = {"bigint": pa.int64(), "int": pa.int32()}
 
 
+def distinct(table: DataFrame, k: int) -> DataFrame:
+    """(dim, vec, ids, copies): each vector's k + 1 smallest ids, ascending, and how many rows have them."""
+    rows = table.groupBy("dim", "vec", "vec_id").agg(F.count(F.lit(1)).alias("_rows"))
+    place = F.row_number().over(Window.partitionBy("dim", "vec").orderBy("vec_id"))
+    return (
+        rows.withColumn("_place", place)
+        .where(F.col("_place") <= k + 1)
+        .groupBy("dim", "vec")
+        .agg(F.array_sort(F.collect_list(F.struct("vec_id", F.least("_rows", F.lit(k)).alias("copies")))).alias("_own"))
+        .select("dim", "vec", F.col("_own.vec_id").alias("ids"), F.col("_own.copies").alias("copies"))
+    )
+
+
 def index(table: DataFrame, shard_rows: int = SHARD) -> DataFrame:
-    """One row for each shard: its ids, vectors and layers."""
-    kind = table.schema["vec_id"].dataType.simpleString()
+    """One row for each shard of ``distinct`` vectors: ids and copies end to end, sizes, vectors and layers."""
     sizes = table.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("_shards"))
     dealt = (
         table.withColumn("_row", F.monotonically_increasing_id())
         .join(sizes, "dim")
         .withColumn("shard", F.pmod(F.xxhash64("_row"), F.col("_shards")))
-        .select("dim", "shard", "vec_id", "vec")
+        .select("dim", "shard", F.col("ids")[0].alias("_least"), "ids", "copies", "vec")
     )
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("vec_id")
+        rows = rows.sort_by("_least")
         graph = build(matrix(rows["vec"], np.float64))
         layers = [layer.astype(np.int32).tobytes() for layer in graph.layers]
         return pa.table(
             {
                 "dim": rows["dim"][:1],
                 "shard": rows["shard"][:1],
-                "ids": [rows["vec_id"].to_numpy().tobytes()],
+                "ids": [pc.list_flatten(rows["ids"]).to_numpy().tobytes()],
+                "copies": [pc.list_flatten(rows["copies"]).to_numpy().tobytes()],
+                "sizes": [pc.list_value_length(rows["ids"]).to_numpy().tobytes()],
                 "vectors": [b"".join(rows["vec"].to_pylist())],
                 "layers": [layers],
             },
@@ -235,18 +252,44 @@ def index(table: DataFrame, shard_rows: int = SHARD) -> DataFrame:
                     ("dim", pa.int32()),
                     ("shard", pa.int64()),
                     ("ids", pa.binary()),
+                    ("copies", pa.binary()),
+                    ("sizes", pa.binary()),
                     ("vectors", pa.binary()),
                     ("layers", pa.list_(pa.binary())),
                 ]
             ),
         )
 
-    assert kind in _KINDS
     return dealt.groupBy("dim", "shard").applyInArrow(
-        run, "dim int, shard long, ids binary, vectors binary, layers array<binary>"
+        run,
+        "dim int, shard long, ids binary, copies binary, sizes binary, vectors binary, layers array<binary>",
     )
 
 
+def spelled_out(found, scores, ids, copies, sizes, q_ids, k):
+    """(query row, id, score): each query's k best rows among the nodes found, -1 for none.
+
+    Ids of a query are its own and don't count; ties go to the smaller id.
+    """
+    first = np.cumsum(sizes) - sizes
+    r, c = np.nonzero(found >= 0)
+    nodes, scores = found[r, c], scores[r, c]
+    many = sizes[nodes]
+    inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    place = np.repeat(first[nodes], many) + inside
+    r, scores = np.repeat(r, many), np.repeat(scores, many)
+    other = ids[place] != q_ids[r]
+    r, scores, place = r[other], scores[other], place[other]
+    order = np.lexsort((ids[place], -scores, r))
+    r, scores, place = r[order], scores[order], place[order]
+    for repeat in (False, True):
+        if repeat:
+            r, scores, place = (np.repeat(a, copies[place]) for a in (r, scores, place))
+        rank = np.arange(len(r)) - np.searchsorted(r, r)
+        r, scores, place = r[rank < k], scores[rank < k], place[rank < k]
+    return r, ids[place], scores
+
+
 def nearest(
     df: DataFrame,
     is_query: Column,
@@ -258,9 +301,10 @@ def nearest(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest found."""
     named = df.select(F.col(id_col).alias("vec_id"), F.col(vector).alias("embedding"))
-    table = durable(packed(named, lambda x: x, zero=False), "vectors")
+    table = durable(packed(named, lambda x: x + 0.0, zero=False), "vectors")  # -0.0 is 0.0
     kind = table.schema["vec_id"].dataType.simpleString()
-    shards = durable(index(table, shard_rows), "shards")
+    assert kind in _KINDS
+    shards = durable(index(durable(distinct(table, k), "distinct"), shard_rows), "shards")
     asked = durable(table.where(is_query).dropDuplicates(["vec_id", "vec"]), "queries")
     blocks = F.lit(max(1, -(-asked.count() // QUERY_BLOCK)))
     queries = asked.withColumn("qb", F.pmod(F.xxhash64("vec_id", "vec"), blocks).cast("long"))
@@ -273,20 +317,21 @@ def nearest(
             return out.empty_table()
         shard = right.to_pylist()[0]
         ids = np.frombuffer(shard["ids"], np.int64 if kind == "bigint" else np.int32)
-        vectors = np.frombuffer(shard["vectors"], np.float64).reshape(len(ids), -1)
+        copies, sizes = np.frombuffer(shard["copies"], np.int64), np.frombuffer(shard["sizes"], np.int32)
+        vectors = np.frombuffer(shard["vectors"], np.float64).reshape(len(sizes), -1)
         layers = [
-            np.frombuffer(layer, np.int32).reshape(len(ids), -1).astype(np.int64) for layer in shard["layers"]
+            np.frombuffer(layer, np.int32).reshape(len(sizes), -1).astype(np.int64) for layer in shard["layers"]
         ]
         q, q_ids = matrix(left["vec"], np.float64), left["vec_id"].to_numpy()
         found = search(Graph(lifted(vectors), layers, 0), q, max(beam, k + 1))
-        # Ascending candidates, so that a stable sort breaks ties by id.
-        found = np.sort(found, axis=1)
-        scores = np.einsum("bkd,bd->bk", vectors[found], q)
-        scores[(found < 0) | (ids[found] == q_ids[:, None])] = -np.inf
-        order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        scores, found = np.take_along_axis(scores, order, 1), np.take_along_axis(found, order, 1)
-        r, c = np.nonzero(scores > -np.inf)
-        return pa.table({"query_id": q_ids[r], "vec_id": ids[found[r, c]], "score": scores[r, c]}, schema=out)
+        parts = []
+        for at in range(0, len(q), BATCH):
+            some = slice(at, at + BATCH)
+            scores = np.einsum("bkd,bd->bk", vectors[found[some]], q[some])
+            parts.append(spelled_out(found[some], scores, ids, copies, sizes, q_ids[some], k))
+        owner = np.concatenate([q_ids[at * BATCH :][r] for at, (r, _, _) in enumerate(parts)])
+        _, near, scores = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return pa.table({"query_id": owner, "vec_id": near, "score": scores}, schema=out)
 
     keys = ["dim", "shard", "qb"]
     merged = (

@@ -366,3 +366,21 @@ def test_graph_search(spark, lengths):
     for i, found in got.items():
         scores = dict(by_hand([(i, rows[i][1] if i < 1500 else dict((r[0], r[1]) for r in rows)[i], 0)] + [r for r in rows if r[0] in dict(found)], 10, float)[i])
         assert all(scores[j] == pytest.approx(s, abs=1e-9) for j, s in found)
+
+
+def test_graph_search_past_copies(spark):
+    rng = np.random.default_rng(15)
+    x = rng.normal(size=(3000, 24)) + 1
+    x[::3] = x.mean(axis=0)
+    rows = [(i, x[i].tolist(), 0) for i in range(3000)]
+    # A repeated query counts once, a repeated candidate each time, -0.0 is 0.0.
+    rows += [(20, x[20].tolist(), 0)] * 12 + [(3001, [0.0, 9.0], 0)] * 3 + [(3020, [-0.0, 9.0], 0), (3002, [-0.0, 9.0], 0)]
+    found = hnsw.nearest(vectors(spark, rows), F.col("vec_id") % 20 == 0, k=10)
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    want = by_hand(rows, 10, float, zero=False)
+    assert got.keys() == want.keys()
+    assert [i for i, _ in got[3020]] == [3001, 3001, 3001, 3002]
+    hits = {i: sum(g[0] in dict(w) for g in got[i]) / len(w) for i, w in want.items()}
+    assert len(got[60]) == 10 and sum(hits.values()) / len(hits) >= 0.98
