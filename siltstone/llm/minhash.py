@@ -82,16 +82,25 @@ def block_shingles(data: np.ndarray, offsets: np.ndarray, near: Near):
     return distinct(*shingles(rows, hashes, near.width))
 
 
+def _digests(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Two numbers for each row's set of shingles; rows have ``counts`` of them in turn."""
+    filled = np.flatnonzero(counts)
+    first = (np.cumsum(counts) - counts)[filled]
+    digests = np.zeros((2, len(counts)), _U)
+    if len(values):
+        digests[0, filled] = np.add.reduceat(mix(values ^ _XOR[0]), first)
+        digests[1, filled] = np.add.reduceat(mix(values ^ _XOR[1]), first)
+    return digests
+
+
 def _sketch(block: Block, near: Near, id_col: str) -> pa.RecordBatch:
     rows, values = block_shingles(block.data, block.offsets, near)
     counts = np.bincount(rows, minlength=len(block))
     filled = np.flatnonzero(counts)
     first = (np.cumsum(counts) - counts)[filled]
-    digests = np.zeros((2, len(block)), _U)
+    digests = _digests(values, counts)
     signature = np.zeros((len(SIGNATURE), len(block)), _U)
     if len(values):
-        digests[0, filled] = np.add.reduceat(mix(values ^ _XOR[0]), first)
-        digests[1, filled] = np.add.reduceat(mix(values ^ _XOR[1]), first)
         for i in range(SYMBOLS):
             least = np.minimum.reduceat((values ^ _XOR[i]) * _MULTIPLY[i], first)
             symbol = mix(least) & _U((1 << SYMBOL_BITS) - 1)
@@ -150,6 +159,7 @@ def _close(pairs: DataFrame, classes: DataFrame, near: Near) -> DataFrame:
         .join(signed.alias("y"), F.col("b") == F.col("y._id"))
         .where(signature_distance("x", "y") <= near.distance)
         .select("a", "b")
+        .distinct()
     )
 
 
@@ -157,6 +167,30 @@ def _ordered(left: str, right: str) -> list[Column]:
     return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
 
 
+def _one_of_each(docs: DataFrame, near: Near) -> DataFrame:
+    """(_id, _set, _text) of ``docs`` (_id, _text, _again): one row for each id and set of shingles.
+
+    Just the rows whose ids are ``_again``, stored several times, are compared.
+    """
+
+    def named(block: Block) -> pa.RecordBatch:
+        rows, values = block_shingles(block.data, block.offsets, near)
+        digests = _digests(values, np.bincount(rows, minlength=len(block)))
+        return pa.record_batch(
+            [
+                block.rows.column(block.rows.schema.get_field_index("_id")),
+                pa.array([d.tobytes() for d in np.ascontiguousarray(digests.T)], pa.binary()),
+                block.rows.column(block.rows.schema.get_field_index("_text")),
+            ],
+            ["_id", "_set", "_text"],
+        )
+
+    kinds = [docs.schema["_id"], T.StructField("_set", T.BinaryType()), docs.schema["_text"]]
+    again = map_blocks(docs.where("_again").select("_id", "_text"), named, T.StructType(kinds), "_text")
+    once = docs.where(~F.col("_again")).select("_id", F.lit(b"").alias("_set"), "_text")
+    return once.union(again.dropDuplicates(["_id", "_set"]))
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the similarity; ``texts`` is (_id, _text)."""
     both = pairs.join(
@@ -180,6 +214,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
 def rarest(texts: DataFrame, near: Near) -> DataFrame:
     """(_id, _shingle, _place, _count): each set's rarest shingles, as many as matter.
 
+    ``texts`` is (_id, _set, _text), with one row for each id and set.
+
     In an order shared by all sets, here by how many of the texts hold a
     shingle, similar sets have one of their first ones in common: with more
     than 1 - s of a set gone, too little is left for similarity s.
@@ -188,17 +224,23 @@ def rarest(texts: DataFrame, near: Near) -> DataFrame:
     def each(block: Block) -> pa.RecordBatch:
         rows, values = block_shingles(block.data, block.offsets, near)
         ids = block.rows.column(block.rows.schema.get_field_index("_id")).take(pa.array(rows))
+        sets = block.rows.column(block.rows.schema.get_field_index("_set")).take(pa.array(rows))
         counts = np.bincount(rows, minlength=len(block))[rows]
         return pa.record_batch(
-            [ids, pa.array(values.view(np.int64)), pa.array(counts)], ["_id", "_shingle", "_count"]
+            [ids, sets, pa.array(values.view(np.int64)), pa.array(counts)], ["_id", "_set", "_shingle", "_count"]
         )
 
     schema = T.StructType(
-        [texts.schema["_id"], T.StructField("_shingle", T.LongType()), T.StructField("_count", T.LongType())]
+        [
+            texts.schema["_id"],
+            texts.schema["_set"],
+            T.StructField("_shingle", T.LongType()),
+            T.StructField("_count", T.LongType()),
+        ]
     )
-    each_shingle = map_blocks(texts.select("_id", "_text"), each, schema, "_text")
+    each_shingle = map_blocks(texts.select("_id", "_set", "_text"), each, schema, "_text")
     holders = each_shingle.groupBy("_shingle").agg(F.count(F.lit(1)).alias("_holders"))
-    place = F.row_number().over(Window.partitionBy("_id").orderBy("_holders", "_shingle"))
+    place = F.row_number().over(Window.partitionBy("_id", "_set").orderBy("_holders", "_shingle"))
     needed = F.col("_count") - F.ceil(F.col("_count") * near.percent / 100) + 1
     return (
         each_shingle.join(holders, "_shingle")
@@ -250,11 +292,10 @@ def groups(docs: DataFrame, near: Near, id_col: str = "doc_id", text: str = "tex
         .select("_key", member(F.col("_low")).alias("_first"))
     )
     members = durable(keys.join(buckets, "_key"), "buckets")
-    shared = members.select("_id").distinct()
-    texts = durable(
-        docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).join(shared, "_id", "left_semi"),
-        "bucket_texts",
-    )
+    again = sets.groupBy(F.col(id_col).alias("_id")).agg((F.count(F.lit(1)) > 1).alias("_again"))
+    shared = durable(members.select("_id").distinct().join(again, "_id"), "shared")
+    named_texts = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
+    texts = durable(_one_of_each(named_texts.join(shared, "_id"), near), "bucket_texts")
 
     spokes = members.where(F.col("_id") != F.col("_first")).select(*_ordered("_id", "_first")).distinct()
     tried = durable(_close(spokes, classes, near), "pairs")

@@ -199,6 +199,25 @@ def test_near_duplicates_against_all_pairs(spark, near):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (_, c) in want.items() if i == c)
 
 
+def test_near_duplicates_stored_twice_in_mixed_buckets(spark):
+    rng = random.Random(9)
+    near = minhash.Near(width=1, percent=85)
+    core = [f"c{i}" for i in range(95)]
+    # Every bucket of a pair also holds texts of smaller id that are linked to neither.
+    rows = [
+        (f"0{i:02}", " ".join([*rng.sample(core, 80), *(f"r{i}x{j}" for j in range(20))])) for i in range(60)
+    ]
+    for pair in ("p", "q"):
+        rows += [(pair + side, " ".join([*core, *(f"{pair}{side}{j}" for j in range(5))])) for side in "ab"]
+    rows.append(("z", prose(rng, 40)))
+    want = grouped(rows, near)
+    assert want["pb"][1] == "pa" and want["059"][1] == "059"
+    docs = spark.createDataFrame(rows + rows, "doc_id string, text string")
+    found = minhash.near_duplicates(docs, near).collect()
+    assert len(found) == 2 * len(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == want
+
+
 def test_pigeonhole_finds_every_signature_within_the_distance(spark):
     """All pairs within the distance share a key, whatever symbols differ."""
     near, rng = minhash.Near(3, 85), np.random.default_rng(9)
