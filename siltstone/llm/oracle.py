@@ -58,6 +58,63 @@ SELECT * FROM ranked WHERE rank <= 20
 """
 
 
+OP11 = """
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(
+           list_concat([i], range(8)), lambda c, _: xor(c >> 1, CASE WHEN (c & 1) = 1 THEN 3988292384 ELSE 0 END))) AS t),
+fields AS (
+  SELECT doc_id, lang,
+         COALESCE(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') AS f1,
+         COALESCE(strlen(source) || ':' || source, '-') AS f2,
+         COALESCE(strlen(lang) || ':' || lang, '-') AS f3,
+         COALESCE(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS f4,
+         COALESCE(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') AS f4_more,
+         COALESCE(strlen(text) || ':' || text, '-') AS f5,
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 7 = 0 AS hit
+  FROM documents, crc_table),
+leaves AS (
+  SELECT doc_id, lang, sha256(f1 || f2 || f3 || f4 || f5) AS leaf,
+         CASE WHEN hit THEN sha256(f1 || f2 || f3 || f4_more || f5) ELSE sha256(f1 || f2 || f3 || f4 || f5) END AS start,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, sha256(f1 || f2 || f3 || f4 || f5)) - 1 AS pos
+  FROM fields),
+tree AS (
+  SELECT 0 AS level, lang, pos, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+  UNION ALL
+  SELECT level + 1, lang, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2
+  FROM tree WHERE n > 1 GROUP BY level, lang, pos // 2, n),
+subroots AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM tree WHERE n = 1),
+top AS (
+  SELECT 0 AS level, pos, subroot AS h, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2
+  FROM top WHERE n > 1 GROUP BY level, pos // 2, n),
+steps AS (
+  SELECT l.doc_id, l.leaf, l.start, l.pos, l.lang, t.level, (l.pos >> t.level) AS place, s.h AS sibling
+  FROM leaves l JOIN tree t ON t.lang IS NOT DISTINCT FROM l.lang AND t.pos = (l.pos >> t.level) AND t.n > 1
+  LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM l.lang AND s.level = t.level AND s.pos = xor(t.pos, 1)
+  UNION ALL
+  SELECT l.doc_id, l.leaf, l.start, l.pos, l.lang, 1000 + t.level, (r.pos >> t.level), s.h
+  FROM leaves l JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.lang
+  JOIN top t ON t.pos = (r.pos >> t.level) AND t.n > 1
+  LEFT JOIN top s ON s.level = t.level AND s.pos = xor(t.pos, 1)),
+paths AS (
+  SELECT lang, pos,
+         string_agg(COALESCE(sibling, ''), '' ORDER BY level) AS proof,
+         list(CASE WHEN (place & 1) = 1 THEN 'L' ELSE 'R' END || COALESCE(sibling, '') ORDER BY level) AS path
+  FROM steps GROUP BY lang, pos),
+folds AS (
+  SELECT l.doc_id, l.leaf, r.subroot, (SELECT h FROM top WHERE n = 1) AS root,
+         sha256(COALESCE(p.proof, '')) AS proof_sha256,
+         list_reduce(list_concat([l.start], COALESCE(p.path, [])),
+           lambda node, s: CASE WHEN s[1] = 'L' THEN sha256(s[2:] || node) ELSE sha256(node || s[2:]) END) AS folded_root
+  FROM leaves l JOIN subroots r ON r.lang IS NOT DISTINCT FROM l.lang
+  LEFT JOIN paths p ON p.lang IS NOT DISTINCT FROM l.lang AND p.pos = l.pos)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folds
+"""
+
+
 def op3() -> str:
     table = ",".join(map(str, sharding.fill_table(sharding.shard_names(64))))
     return f"""
@@ -69,4 +126,4 @@ FROM (SELECT doc_id,
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_sharding": op3(), "op6_exact_topk": OP6, "op7_mixing": OP7}
+    return {"op3_sharding": op3(), "op6_exact_topk": OP6, "op7_mixing": OP7, "op11_manifest": OP11}

@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import bpe, hnsw, licenses, minhash, mixing, quality, sharding, substrings, token_counts, topk
+from siltstone.llm import (
+    bpe,
+    hnsw,
+    licenses,
+    manifest,
+    minhash,
+    mixing,
+    quality,
+    sharding,
+    substrings,
+    token_counts,
+    topk,
+)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +86,11 @@ def op10_hnsw(spark, sf_dir):
     return hnsw.nearest(embeddings(spark, sf_dir), F.col("vec_id") % 20 == 0)
 
 
+def op11_manifest(spark, sf_dir):
+    """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) of every document."""
+    return manifest.audit(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -86,4 +103,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_minhash": op9_minhash,
         "op10_hnsw": op10_hnsw,
+        "op11_manifest": op11_manifest,
     }
