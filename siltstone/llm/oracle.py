@@ -115,6 +115,38 @@ SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = roo
 """
 
 
+OP12 = """
+WITH bytes AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(COALESCE(text, ''))) AS h, strlen(COALESCE(text, ''))::BIGINT AS n
+  FROM documents),
+slices AS (
+  SELECT r, doc_id, n, c, substr(h, 2 * c + 1, 2 * (1024 + 49)) AS s
+  FROM (SELECT *, unnest(range(0, n, 1024)) AS c FROM bytes WHERE doc_id IS NOT NULL)),
+strings AS (
+  SELECT r, doc_id, c + i AS p, substr(s, 2 * i + 1, 100) AS s
+  FROM (SELECT *, unnest(range(0, 1024)) AS i FROM slices)
+  WHERE c + i + 50 <= n),
+firsts AS (
+  SELECT s, min(doc_id) AS first_id FROM strings GROUP BY s),
+hits AS (
+  SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before
+  FROM strings JOIN firsts USING (s) WHERE first_id < doc_id),
+runs AS (
+  SELECT r, p, sum(CASE WHEN before >= p - 50 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY p) AS run FROM hits),
+spans AS (
+  SELECT r, min(p) AS b, max(p) + 50 AS e FROM runs GROUP BY r, run),
+pieces AS (
+  SELECT *, COALESCE(lag(e) OVER (PARTITION BY r ORDER BY b), 0) AS since FROM spans),
+cut AS (
+  SELECT r, sum(e - b) AS n_removed, count(*) AS n_spans, max(e) AS last,
+         string_agg(substr(h, 2 * since + 1, 2 * (b - since)), '' ORDER BY b) AS front
+  FROM pieces JOIN bytes USING (r) GROUP BY r)
+SELECT doc_id, n AS n_bytes, COALESCE(n_removed, 0)::BIGINT AS n_removed, COALESCE(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(COALESCE(front, '') || substr(h, 2 * COALESCE(last, 0) + 1))) AS kept_sha256
+FROM bytes LEFT JOIN cut USING (r)
+"""
+
+
 def op3() -> str:
     table = ",".join(map(str, sharding.fill_table(sharding.shard_names(64))))
     return f"""
@@ -126,4 +158,10 @@ FROM (SELECT doc_id,
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_sharding": op3(), "op6_exact_topk": OP6, "op7_mixing": OP7, "op11_manifest": OP11}
+    return {
+        "op3_sharding": op3(),
+        "op6_exact_topk": OP6,
+        "op7_mixing": OP7,
+        "op11_manifest": OP11,
+        "op12_suffix_dedup": OP12,
+    }

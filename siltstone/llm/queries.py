@@ -18,6 +18,7 @@ from siltstone.llm import (
     quality,
     sharding,
     substrings,
+    suffixes,
     token_counts,
     topk,
 )
@@ -91,6 +92,11 @@ def op11_manifest(spark, sf_dir):
     return manifest.audit(documents(spark, sf_dir))
 
 
+def op12_suffix_dedup(spark, sf_dir):
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
+    return suffixes.digests(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -104,4 +110,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_minhash": op9_minhash,
         "op10_hnsw": op10_hnsw,
         "op11_manifest": op11_manifest,
+        "op12_suffix_dedup": op12_suffix_dedup,
     }
