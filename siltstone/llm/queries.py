@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import (
+    alignment,
     bpe,
     hnsw,
     licenses,
@@ -37,6 +38,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def pieces() -> str:
+    """The second vocabulary."""
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_substring_dedup(spark, sf_dir):
     """(doc_id, char_start, char_end, n_words, first_id) of every repeated passage."""
     return substrings.passages(documents(spark, sf_dir)).drop("_text")
@@ -97,6 +103,11 @@ def op12_suffix_dedup(spark, sf_dir):
     return suffixes.digests(documents(spark, sf_dir))
 
 
+def op13_alignment(spark, sf_dir):
+    """Tokens, groups and links of every document, and digests of its groups."""
+    return alignment.summary(documents(spark, sf_dir), vocabulary(), pieces())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -111,4 +122,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_hnsw": op10_hnsw,
         "op11_manifest": op11_manifest,
         "op12_suffix_dedup": op12_suffix_dedup,
+        "op13_alignment": op13_alignment,
     }
