@@ -1,27 +1,31 @@
 """Exact substring dedup: every stretch of bytes that a document before has, too.
 
 A byte goes if a string of ``length`` bytes that covers it also starts in a
-document of smaller id. Three steps, none of which holds more than its part:
+document of smaller id. No step holds more than its part of the texts:
 
-1. **Shards.** Texts are gathered into shards of at most ``SHARD`` bytes. Each gets
-   a suffix array: suffixes are ordered by their first bytes, and groups that are
-   still alike are refined by the ranks of the suffixes behind them, the known
-   depth doubling each round (Larsson and Sadakane), until they are ordered by
+1. **Shards.** Texts are dealt to shards of bounded size. Each gets a suffix
+   array: suffixes are ordered by their first bytes, and groups that are still
+   alike are refined by the ranks of the suffixes behind them, the known depth
+   doubling each round (Larsson and Sadakane), until they are ordered by
    ``length`` bytes. Common prefixes follow by Kasai's rule: a suffix shares with
    its neighbour at most one byte less than the suffix before it; many places of
    the text walk at once. Neighbours that share ``length`` bytes are one string,
-   and the smallest id that has it is known in the shard.
-2. **Merging.** What a shard holds and no smaller id of it does goes to bins, as
-   stretches of text: every string belongs to the bin of the smallest hash among
-   the ``GRAM`` bytes long pieces in it, so equal strings meet wherever they
-   come from, and neighbouring strings mostly go together (about 20 of them in
-   70 bytes). A bin cuts its strings into parts, sorts each by fingerprint and
-   merges the sorted parts by binary search; a hit counts if all bytes agree. A
-   string that stands in a third of all documents comes once from each shard.
-3. **Cutting.** Spans found on the way are gathered for each document.
-
-The number of bins follows from the bytes, so a bin is as large at any scale.
-Texts longer than a shard are read in overlapping pieces.
+   and the smallest id that has it is known in the shard. Only that one matters
+   outside, so what stands in a third of all documents leaves a shard once.
+2. **Marks.** A string's mark is the smallest hash among the pieces of
+   ``MARK_GRAM`` bytes in it; neighbouring strings mostly share theirs. Shards
+   exchange their marks, a few bytes for each, cut to a width that follows from
+   the number of marks. Strings whose mark no other shard has are unique.
+3. **Merging.** The other strings go to bins as stretches of text, by the smallest
+   hash of shorter pieces (about 20 strings in 70 bytes), so equal strings meet
+   wherever they come from. A bin cuts its strings into parts, sorts each by
+   fingerprint and merges the sorted parts by binary search; a hit counts if all
+   bytes agree.
+4. **Cutting.** Spans return to the shards, where the texts still are: the texts
+   are shuffled once, and that exchange serves the steps 1, 3 and 4.
+
+The numbers of shards and bins follow from the bytes, so each is as large at any
+scale. Texts longer than a shard are read in overlapping pieces.
 
 Defined results: null and empty texts, and those shorter than ``length``, lose
 nothing; rows with a null id are left as they are and not compared; rows that
@@ -32,6 +36,7 @@ ties can't occur, as only a smaller id takes a byte. Other columns aren't read.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,15 +45,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltstone.llm.arrow_text import flat, map_blocks, narrow_batches
 
 LENGTH = 50
-#: Bytes of a shard; places in it fit into 21 bits.
-SHARD = (1 << 21) - 4096
-#: Bytes of the pieces whose smallest hash picks the bin.
-GRAM = 12
-#: Bytes of text for each bin, and strings sorted at once in it.
-BIN_BYTES, PART = 2 << 20, 1 << 19
+#: Bytes that a suffix array takes (places in it fit into 21 bits), and mean bytes of a shard.
+UNIT, SHARD_BYTES = (1 << 21) - 4096, 3 << 19
+#: Bytes of the pieces whose smallest hash marks a string, and of those that pick its bin.
+MARK_GRAM, GRAM = 24, 12
+#: Bytes of text for each bin of marks and of strings, and strings sorted at once in one.
+MARKS_BYTES, BIN_BYTES, PART = 16 << 20, 4 << 20, 1 << 19
 
 _BITS = np.uint64(21)
 _MASK = np.uint64((1 << 21) - 1)
@@ -57,86 +61,87 @@ _MASK = np.uint64((1 << 21) - 1)
 # Suffix arrays ----------------------------------------------------------------
 
 
-def words(data: np.ndarray, size: int) -> np.ndarray:
-    """The ``size`` bytes from each place as a big-endian number; zeros follow the end."""
-    found, have = np.append(data, np.zeros(size, np.uint8)).astype(np.uint64), 1
-    done = np.zeros(len(found), np.uint64)
-    taken = 0
-    # Numbers of 1, 2, 4 and 8 bytes; those in the binary form of ``size`` are joined.
-    while True:
-        if size & have:
-            part = np.zeros_like(done)
-            part[: len(done) - taken] = found[taken:] if taken else found
-            done = (done << np.uint64(8 * have)) | part if taken else part
-            taken += have
-        if taken == size:
-            return done[: len(data)]
-        ahead = np.zeros_like(found)
-        ahead[: len(found) - have] = found[have:]
-        found = (found << np.uint64(8 * have)) | ahead
-        have *= 2
-
-
-def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
-    """The places of ``data``, ordered by the ``depth`` bytes that begin there.
+def words(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place as a big-endian number; zeros follow the end."""
+    n = len(data)
+    out = np.zeros(n + 8, np.uint64)
+    out[:n] = data
+    for have in (1, 2, 4):
+        ahead = out[have:].copy()
+        out <<= np.uint64(8 * have)
+        out[: len(ahead)] |= ahead
+    return out[:n]
+
+
+def suffix_array(word: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of a text, given by its :func:`words`, in order of the ``depth`` bytes that begin there, and where in it the last round was.
 
     Keys and places are packed into one number, so that plain sorting orders
-    places; that bounds a shard to 2**21 bytes.
+    places; that bounds a shard to 2**21 bytes. A suffix that isn't refined in the
+    last round, or earlier, shares fewer than ``depth`` bytes with all others.
     """
-    n = len(data)
+    n = len(word)
     assert n <= 1 << 21
     known = min(5, depth)
-    packed = (words(data, known) << _BITS) | np.arange(n, dtype=np.uint64)
+    packed = ((word >> np.uint64(64 - 8 * known)) << _BITS) | np.arange(n, dtype=np.uint64)
     packed.sort()
     order = (packed & _MASK).astype(np.int32)
-    key = packed >> _BITS
-    first = np.append(True, key[1:] != key[:-1])
+    packed >>= _BITS
+    first = np.empty(n, bool)
+    first[:1] = True
+    np.not_equal(packed[1:], packed[:-1], out=first[1:])
     # The rank of a suffix is the place of its group in the order, counted from 1.
     rank = np.zeros(n + depth, np.int32)
-    start = np.maximum.accumulate(np.where(first, np.arange(n, dtype=np.int32), 0))
-    rank[order] = start + 1
-    alone = first & np.append(first[1:], True)
-    active = np.flatnonzero(~alone)
+    rank[order] = np.maximum.accumulate(np.where(first, np.arange(1, n + 1, dtype=np.int32), 0))
+    alone = first.copy()
+    alone[:-1] &= first[1:]
+    active = np.flatnonzero(~alone).astype(np.int32)
     while known < depth and len(active):
         step = min(known, depth - known)
         members = order[active]
         begins = first[active]
-        group = (np.cumsum(begins) - 1).astype(np.uint64)
-        behind = rank[members + step].astype(np.uint64)
         # A group has two members at least: 20 bits, and 22 bits for a rank.
-        packed = (((group << np.uint64(22)) | behind) << _BITS) | np.arange(len(active), dtype=np.uint64)
+        packed = (np.cumsum(begins, dtype=np.int64) - 1).astype(np.uint64)
+        packed <<= np.uint64(22)
+        packed |= rank[members + np.int32(step)].astype(np.uint64)
+        packed <<= _BITS
+        packed |= np.arange(len(active), dtype=np.uint64)
         packed.sort()
-        members = members[(packed & _MASK).astype(np.int64)]
-        key = packed >> _BITS
-        begins = np.append(True, key[1:] != key[:-1])
+        members = members[(packed & _MASK).astype(np.int32)]
+        packed >>= _BITS
+        begins = np.append(True, packed[1:] != packed[:-1])
         order[active] = members
         first[active] = begins
-        start = np.maximum.accumulate(np.where(begins, active, 0))
-        rank[members] = start + 1
-        ends = np.append(begins[1:], True)
-        active = active[~(begins & ends)]
+        rank[members] = np.maximum.accumulate(np.where(begins, active + np.int32(1), 0))
         known += step
-    return order
+        if known < depth:
+            active = active[~(begins & np.append(begins[1:], True))]
+    return order, active
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int, stride: int = 256) -> np.ndarray:
-    """How many bytes each suffix of the order shares with the one before it, up to ``depth``.
+def common_prefixes(word: np.ndarray, order: np.ndarray, depth: int, wanted: np.ndarray, lanes: int = 4096) -> np.ndarray:
+    """How many bytes the suffixes at ``wanted`` places of the order share with the ones before them, up to ``depth``.
 
-    Kasai's rule in text order: one byte less than the place before. It holds
-    for prefixes below ``depth``, to which the suffixes are ordered; after a full
-    one the count starts anew. Every ``stride`` places begin a walk of their own.
+    Kasai's rule, in order of the text: one byte less than the place before. It
+    holds for prefixes below ``depth``, to which the suffixes are ordered; after a
+    full one the count starts anew, as it does behind a place that isn't wanted.
+    Several parts of the text are walked at once.
     """
-    n = len(data)
-    before = np.full(n, -1, np.int32)
-    before[order[1:]] = order[:-1]
-    word = np.append(words(data, 8), np.zeros(depth + 8, np.uint64))
-    shared = np.zeros(n, np.int32)
-    at = np.arange(0, n, stride)
-    h = np.zeros(len(at), np.int64)
+    n = len(word)
+    shared = np.zeros(len(wanted), np.int32)
+    if not len(wanted):
+        return shared
+    # In order of the text; the first suffix of all has none before it.
+    in_text = np.argsort(order[wanted])
+    places = order[wanted][in_text]
+    before = np.where(wanted > 0, order[np.maximum(wanted - 1, 0)], -1)[in_text]
+    follows = np.append(False, np.diff(places) == 1)
+    stride = -(-len(places) // lanes)
+    lane = np.arange(0, len(places), stride)
+    h = np.zeros(len(lane), np.int64)
     for _ in range(stride):
-        other = before[at]
-        h = np.where(h >= depth, 0, np.maximum(h - 1, 0))
-        h[other < 0] = 0
+        at, other = places[lane], before[lane]
+        h = np.where((h < depth) & follows[lane] & (other >= 0), np.maximum(h - 1, 0), 0)
         # Zeros behind the end agree with each other; bytes that don't exist don't count.
         room = np.minimum(depth, n - np.maximum(at, other))
         live = np.flatnonzero((other >= 0) & (h < room))
@@ -148,100 +153,148 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int, stride: int
             h[live] += equal
             live = live[(equal == 8) & (h[live] < room[live])]
         h = np.minimum(h, room)
-        shared[at] = h
-        inside = at + 1 < n
-        at, h = at[inside] + 1, h[inside]
-    return shared[order]
+        shared[in_text[lane]] = h
+        inside = lane + 1 < len(places)
+        lane, h = lane[inside] + 1, h[inside]
+    return shared
 
 
-def least_of_equal(data: np.ndarray, owner: np.ndarray, valid: np.ndarray, depth: int) -> np.ndarray:
+def least_of_equal(word: np.ndarray, owner: np.ndarray, valid: np.ndarray, depth: int) -> np.ndarray:
     """For each place the smallest owner of an equal string; ``valid`` places count only."""
     least = owner.copy()
-    if not valid.any():
-        return least
-    order = suffix_array(data, depth)
-    group = np.cumsum(common_prefixes(data, order, depth) < depth)
-    counted = valid[order]
-    order, group = order[counted], group[counted]
-    begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-    smallest = np.minimum.reduceat(owner[order], begin)
-    least[order] = np.repeat(smallest, np.diff(np.append(begin, len(order))))
+    order, refined = suffix_array(word, depth)
+    alike = common_prefixes(word, order, depth, refined) >= depth
+    # A suffix that is alike stands right behind one that was refined with it.
+    grouped = alike.copy()
+    grouped[:-1] |= alike[1:]
+    places, group = order[refined[grouped]], np.cumsum(~alike[grouped])
+    counted = valid[places]
+    places, group = places[counted], group[counted]
+    if len(places):
+        begin = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        smallest = np.minimum.reduceat(owner[places], begin)
+        least[places] = np.repeat(smallest, np.diff(np.append(begin, len(places))))
     return least
 
 
 # Shards -----------------------------------------------------------------------
 
 
-def shards(batches: Iterable[pa.RecordBatch], limit: int, overlap: int) -> Iterator[tuple]:
-    """(ids, codes, first byte of each piece, bytes, offsets) of at most ``limit`` bytes.
+@dataclass
+class Unit:
+    """Pieces of texts end to end: what one suffix array takes."""
+
+    ids: pa.Array
+    codes: np.ndarray
+    at: np.ndarray
+    data: np.ndarray
+    offsets: np.ndarray
 
-    The pieces of a text share ``overlap`` bytes.
+    def __post_init__(self) -> None:
+        self.text = np.repeat(np.arange(len(self.codes), dtype=np.int32), np.diff(self.offsets))
+        self.word = words(self.data)
+
+    def strings(self, length: int) -> np.ndarray:
+        """Where a string of ``length`` bytes ends inside its piece."""
+        return np.arange(len(self.data)) + length <= self.offsets[1:][self.text]
+
+
+def units(texts: pa.Table, limit: int, overlap: int) -> Iterator[Unit]:
+    """The distinct texts of a shard, (id, code, text), in at most ``limit`` bytes at once.
+
+    The pieces of a long text share ``overlap`` bytes.
     """
-    held, size = [], 0
-    for batch in batches:
-        data, offsets = flat(batch.column(2))
-        for i in range(batch.num_rows):
-            text, at = data[offsets[i] : offsets[i + 1]], 0
-            while len(text) - at > overlap:
-                piece = text[at : at + limit]
-                if size + len(piece) > limit:
-                    yield _joined(held)
-                    held, size = [], 0
-                # A copy, so that a piece doesn't keep its batch.
-                held.append((batch.column(0)[i], batch.column(1)[i].as_py(), at, piece.copy()))
-                size += len(piece)
-                at += len(piece) - overlap
+    order = np.lexsort((texts["code"].to_numpy(), ranks(texts["id"])))
+    held, size, last = [], 0, None
+    for i in order.tolist():
+        key = texts["id"][i].as_py(), texts["code"][i].as_py()
+        if key == last:
+            continue
+        last = key
+        text, at = np.frombuffer(texts["text"][i].as_buffer(), np.uint8), 0
+        while len(text) - at > overlap:
+            piece = text[at : at + limit]
+            if size + len(piece) > limit:
+                yield _unit(held, texts.schema.field("id").type)
+                held, size = [], 0
+            held.append((*key, at, piece))
+            size += len(piece)
+            at += len(piece) - overlap
     if held:
-        yield _joined(held)
+        yield _unit(held, texts.schema.field("id").type)
 
 
-def _joined(held: list) -> tuple:
+def _unit(held: list, kind: pa.DataType) -> Unit:
     ids, codes, at, pieces = zip(*held, strict=True)
     offsets = np.append(0, np.cumsum([len(p) for p in pieces]))
-    return pa.array([i.as_py() for i in ids], ids[0].type), np.array(codes, np.int64), np.array(at, np.int64), np.concatenate(pieces), offsets
+    return Unit(pa.array(ids, kind), np.array(codes, np.int64), np.array(at, np.int64), np.concatenate(pieces), offsets)
 
 
-def ranks(ids: pa.Array) -> np.ndarray:
+def ranks(ids: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Numbers that order and compare as the ids do."""
+    ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
     return np.unique(ids.to_numpy(zero_copy_only=False), return_inverse=True)[1].astype(np.int32)
 
 
-def smallest_hashes(data: np.ndarray, length: int) -> np.ndarray:
-    """The smallest hash of a piece of ``GRAM`` bytes within ``length`` bytes from each place."""
-    gram = words(data, 8) * np.uint64(0x9E3779B97F4A7C15)
-    tail = np.zeros(len(data), np.uint64)
-    tail[: max(0, len(data) - 8)] = words(data, GRAM - 8)[8:]
-    gram = (gram ^ (gram >> np.uint64(29)) ^ tail) * np.uint64(0xBF58476D1CE4E5B9)
-    h = ((gram ^ (gram >> np.uint64(32))) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    width, have = length - GRAM + 1, 1
+def smallest_hashes(word: np.ndarray, gram: int, length: int) -> np.ndarray:
+    """The smallest hash of a piece of ``gram`` bytes within ``length`` bytes from each place."""
+    h = np.zeros(len(word), np.uint64)
+    for step in range(0, gram, 8):
+        ahead = word[step:]
+        h[: len(ahead)] ^= ahead >> np.uint64(8 * max(0, step + 8 - gram))
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(31)
+    width, have, other = length - gram + 1, 1, np.empty_like(h)
+    while have < width and have < len(h):
+        shift = min(have, width - have)
+        np.minimum(h[:-shift], h[shift:], out=other[:-shift])
+        other[-shift:] = h[-shift:]
+        h, other, have = other, h, have + shift
+    return h
+
 
-    def least(h: np.ndarray, shift: int) -> np.ndarray:
-        out = h.copy()
-        if shift < len(h):
-            np.minimum(h[:-shift], h[shift:], out=out[:-shift])
-        return out
+def mixed(hashes: np.ndarray) -> np.ndarray:
+    """Smallest hashes are small; these are spread over all 64 bits again."""
+    h = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
 
-    while 2 * have <= width:
-        h, have = least(h, have), 2 * have
-    return least(h, width - have) if width > have else h
 
+def mark_bytes(total: int) -> int:
+    """Bytes of a mark: at most one unique mark in a hundred should meet another by chance."""
+    marks = max(1, 2 * total // (LENGTH - MARK_GRAM + 2))
+    return min(8, max(4, -(-(marks.bit_length() + 7) // 8)))
 
-def bins_of(hashes: np.ndarray, bins: int) -> np.ndarray:
-    mixed = hashes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return ((mixed >> np.uint64(32)) % np.uint64(bins)).astype(np.int64)
 
+def to_bytes(marks: np.ndarray, size: int) -> bytes:
+    return np.ascontiguousarray(marks.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]).tobytes()
 
-def spans_of(places: np.ndarray, edges: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(begin, end) of what strings at the ascending ``places`` cover; none crosses an edge."""
+
+def from_bytes(blob: bytes, size: int) -> np.ndarray:
+    out = np.zeros((len(blob) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(blob, np.uint8).reshape(-1, size)
+    return out.reshape(-1).view("<u8")
+
+
+def marks_of(unit: Unit, length: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(marks, counts): the marks of the strings at all places, and at how many in a row."""
+    smallest = smallest_hashes(unit.word, MARK_GRAM, length)
+    first = np.flatnonzero(np.append(True, smallest[1:] != smallest[:-1]))
+    marks = mixed(smallest[first])
+    marks = marks & np.uint64((1 << (8 * size)) - 1) if size < 8 else marks
+    return marks, np.diff(np.append(first, len(smallest)))
+
+
+def runs_of(places: np.ndarray, edges: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(begin, end) of the strings at ascending ``places``, neighbours together; none crosses an edge."""
     if not len(places):
         return places, places
     text = np.searchsorted(edges, places, side="right")
-    new = np.append(True, (np.diff(places) > length) | (np.diff(text) > 0))
+    new = np.append(True, (np.diff(places) > 1) | (np.diff(text) > 0))
     last = np.append(np.flatnonzero(new)[1:] - 1, len(places) - 1)
     return places[new], places[last] + length
 
 
-def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+def _lists(values: np.ndarray | pa.Array, sizes: np.ndarray) -> pa.Array:
     offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), values if isinstance(values, pa.Array) else pa.array(values))
 
@@ -254,57 +307,115 @@ def _blobs(data: np.ndarray, begin: np.ndarray, size: np.ndarray, count: np.ndar
     return pa.BinaryArray.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(offsets), pa.py_buffer(data[take])])
 
 
-PIECES = ["bin", "ids", "codes", "begins", "sizes", "bytes"]
+#: What travels between shards and bins: spans of texts, and bytes. Marks have
+#: bytes only, known spans have none, stretches have both.
+PIECES = ["bin", "shard", "ids", "codes", "begins", "sizes", "bytes"]
 
 
-def shard_rows(shard: tuple, bins: int, length: int) -> Iterator[pa.RecordBatch]:
-    """Spans that a smaller id of the shard has, and the strings left, dealt to bins.
+def _pieces(unit: Unit, shard: int, bins: np.ndarray, begin: np.ndarray, size: np.ndarray, count: np.ndarray, blobs):
+    of = unit.text[begin]
+    return pa.record_batch(
+        [
+            pa.array(bins),
+            pa.array(np.full(len(bins), shard)),
+            _lists(unit.ids.take(pa.array(of)), count),
+            _lists(unit.codes[of], count),
+            _lists(begin - unit.offsets[of] + unit.at[of], count),
+            _lists(size.astype(np.int32), count),
+            blobs,
+        ],
+        PIECES,
+    )
 
-    A row with bytes holds stretches for its bin; one without holds spans.
-    """
-    ids, codes, at, data, offsets = shard
-    owner_of = ranks(ids)
-    sizes = np.diff(offsets)
-    text = np.repeat(np.arange(len(sizes)), sizes)
-    place = np.arange(len(data))
-    valid = place + length <= offsets[1:][text]
-    owner = owner_of[text]
-    known = valid & (least_of_equal(data, owner, valid, length) < owner)
-
-    def row(bin_: np.ndarray, begin: np.ndarray, size: np.ndarray, count: np.ndarray, blobs: pa.Array):
-        of = text[begin]
-        return pa.record_batch(
-            [
-                pa.array(bin_),
-                _lists(ids.take(pa.array(of)), count),
-                _lists(codes[of], count),
-                _lists(begin - offsets[of] + at[of], count),
-                _lists(size.astype(np.int32), count),
-                blobs,
-            ],
-            PIECES,
-        )
 
-    begin, end = spans_of(np.flatnonzero(known), offsets[1:], length)
-    if len(begin):
-        one = np.array([len(begin)])
-        somewhere = bins_of(np.array([int(codes[0]) & 0xFFFFFFFF]), bins)
-        yield row(somewhere, begin, end - begin, one, pa.nulls(1, pa.binary()))
-
-    open_ = valid & ~known
-    smallest = smallest_hashes(data, length)
-    new = open_.copy()
-    new[1:] &= ~open_[:-1] | (smallest[1:] != smallest[:-1]) | (text[1:] != text[:-1])
-    begin = np.flatnonzero(new)
-    if not len(begin):
+def shard_marks(texts: pa.Table, bins: int, size: int, length: int, limit: int = UNIT) -> Iterator[pa.RecordBatch]:
+    """Strings that a smaller id of the shard has, and the marks of all others."""
+    shard = texts["shard"][0].as_py() if texts.num_rows else 0
+    for unit in units(texts, limit, length - 1):
+        valid = unit.strings(length)
+        owner = ranks(unit.ids)[unit.text]
+        known = valid & (least_of_equal(unit.word, owner, valid, length) < owner)
+        begin, end = runs_of(np.flatnonzero(known), unit.offsets[1:], length)
+        if len(begin):
+            one = np.array([len(begin)])
+            yield _pieces(unit, shard, np.array([shard % bins]), begin, end - begin, one, pa.nulls(1, pa.binary()))
+        marks, counts = marks_of(unit, length, size)
+        open_ = np.add.reduceat((valid & ~known).astype(np.int32), np.cumsum(counts) - counts)
+        marks = np.unique(marks[open_ > 0])
+        if len(marks):
+            bin_ = (marks % np.uint64(bins)).astype(np.int64)
+            order = np.argsort(bin_, kind="stable")
+            edge = np.flatnonzero(np.append(True, np.diff(bin_[order]) > 0))
+            blobs = [to_bytes(part, size) for part in np.split(marks[order], edge[1:])]
+            none = np.empty(0, np.int64)
+            yield _pieces(unit, shard, bin_[order][edge], none, none, np.zeros(len(edge), np.int64), pa.array(blobs, pa.binary()))
+
+
+def shared_marks(pieces: pa.Table, size: int) -> pa.Table:
+    """The rows of one bin with the marks only that several units have."""
+    blobs = pieces["bytes"].to_pylist()
+    marks = [from_bytes(b or b"", size) for b in blobs]
+    every = np.sort(np.concatenate(marks))
+    shared = every[1:][every[1:] == every[:-1]]
+    kept = [b if b is None else to_bytes(m[_among(m, shared)], size) for b, m in zip(blobs, marks, strict=True)]
+    at = pieces.schema.get_field_index("bytes")
+    return pieces.set_column(at, pieces.schema.field(at), pa.array(kept, pa.binary()))
+
+
+def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
+    return ordered[at] == values
+
+
+def shard_strings(
+    texts: pa.Table, replies: pa.Table, bins: int, size: int, length: int, limit: int = UNIT
+) -> Iterator[pa.RecordBatch]:
+    """The strings of a shard with shared marks, dealt to bins; what was known goes along."""
+    if not replies.num_rows:
         return
-    strings = np.add.reduceat(open_.astype(np.int64), begin)  # open ones follow each other
-    bin_ = bins_of(smallest[begin], bins)
-    by_bin = np.argsort(bin_, kind="stable")
-    bin_, begin, size = bin_[by_bin], begin[by_bin], strings[by_bin] + length - 1
-    edge = np.flatnonzero(np.append(True, bin_[1:] != bin_[:-1]))
-    count = np.diff(np.append(edge, len(bin_)))
-    yield row(bin_[edge], begin, size, count, _blobs(data, begin, size, count))
+    marks = replies.filter(pc.is_valid(replies["bytes"]))
+    shared = np.unique(from_bytes(b"".join(marks["bytes"].to_pylist()), size))
+    known = replies.filter(pc.is_null(replies["bytes"])).select(PIECES)
+    spans = _table(known["shard"], known["ids"], known["codes"], known["begins"], known["sizes"])
+    shard = texts["shard"][0].as_py()
+    yield from known.set_column(0, "bin", pa.array(np.full(known.num_rows, shard % bins))).to_batches()
+    if not len(shared):
+        return
+    for unit in units(texts, limit, length - 1):
+        marks, counts = marks_of(unit, length, size)
+        open_ = unit.strings(length) & np.repeat(_among(marks, shared), counts)
+        open_[_places(unit, spans, length)] = False
+        smallest = smallest_hashes(unit.word, GRAM, length)
+        new = open_.copy()
+        new[1:] &= ~open_[:-1] | (smallest[1:] != smallest[:-1]) | (unit.text[1:] != unit.text[:-1])
+        begin = np.flatnonzero(new)
+        if not len(begin):
+            continue
+        strings = np.add.reduceat(open_.astype(np.int64), begin)  # open ones follow each other
+        bin_ = (mixed(smallest[begin]) % np.uint64(bins)).astype(np.int64)
+        by_bin = np.argsort(bin_, kind="stable")
+        bin_, begin, long = bin_[by_bin], begin[by_bin], strings[by_bin] + length - 1
+        edge = np.flatnonzero(np.append(True, bin_[1:] != bin_[:-1]))
+        count = np.diff(np.append(edge, len(bin_)))
+        yield _pieces(unit, shard, bin_[edge], begin, long, count, _blobs(unit.data, begin, long, count))
+
+
+def _places(unit: Unit, spans: pa.Table, length: int) -> np.ndarray:
+    """Where the strings of ``spans`` begin in the unit."""
+    of = {}
+    for i, key in enumerate(zip(unit.ids.to_pylist(), unit.codes.tolist(), strict=True)):
+        of.setdefault(key, []).append(i)
+    out = [np.empty(0, np.int64)]
+    columns = [spans[c].to_pylist() for c in SPANS[1:]]
+    for id_, code, begin, end in zip(*columns, strict=True):
+        for i in of.get((id_, code), ()):
+            # A text cut into pieces has several; each holds the strings within.
+            low, high = unit.at[i], unit.at[i] + unit.offsets[i + 1] - unit.offsets[i]
+            if begin >= low and end <= high:
+                out.append(np.arange(begin, end - length + 1) - low + unit.offsets[i])
+    return np.concatenate(out)
 
 
 # Bins -------------------------------------------------------------------------
@@ -313,7 +424,7 @@ def shard_rows(shard: tuple, bins: int, length: int) -> Iterator[pa.RecordBatch]
 def fingerprints(data: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
     """A 64-bit number for the ``length`` bytes from each place of a part."""
     low = places[0] if len(places) else 0
-    word = words(data[low : (places[-1] if len(places) else 0) + length], 8)
+    word = words(data[low : (places[-1] if len(places) else 0) + length])
     places = places - low
     out = np.zeros(len(places), np.uint64)
     for step in [*range(0, length - 8, 8), length - 8]:
@@ -406,14 +517,15 @@ class Merged:
 
 
 def bin_spans(pieces: pa.Table, length: int) -> pa.Table:
-    """(id, code, begin, end) of what smaller ids have, of all pieces of one bin."""
+    """(shard, id, code, begin, end) of what smaller ids have, of all pieces of one bin."""
     blank = pc.is_null(pieces["bytes"])
     known, stretches = pieces.filter(blank), pieces.filter(pc.invert(blank))
-    parts = [_table(known["ids"], known["codes"], known["begins"], known["sizes"])]
+    parts = [_table(known["shard"], known["ids"], known["codes"], known["begins"], known["sizes"])]
     if stretches.num_rows:
         ids = pc.list_flatten(stretches["ids"]).combine_chunks()
         begins, sizes = (pc.list_flatten(stretches[c]).to_numpy() for c in ("begins", "sizes"))
         codes = pc.list_flatten(stretches["codes"])
+        shards = np.repeat(stretches["shard"].to_numpy(), pc.list_value_length(stretches["sizes"]).to_numpy())
         data = np.frombuffer(b"".join(stretches["bytes"].to_pylist()), np.uint8)
         ends = np.cumsum(sizes, dtype=np.int64)
         first = ends - sizes
@@ -425,70 +537,103 @@ def bin_spans(pieces: pa.Table, length: int) -> pa.Table:
             number = np.arange(at, min(at + PART, total[-1]))
             of = np.searchsorted(total, number, side="right")
             merged.add(first[of] + number - (total[of] - strings[of]), owner[of])
-        taken = merged.taken()
-        begin, end = spans_of(taken, ends, length)
+        begin, end = runs_of(merged.taken(), ends, length)
         of = np.searchsorted(ends, begin, side="right")
+        moved = begins[of] - first[of]
         parts.append(
-            pa.table(
-                [ids.take(pa.array(of)), codes.take(pa.array(of)), begin - first[of] + begins[of], end - first[of] + begins[of]],
-                SPANS,
-            )
+            pa.table([pa.array(shards[of]), ids.take(pa.array(of)), codes.take(pa.array(of)), begin + moved, end + moved], SPANS)
         )
     return pa.concat_tables(parts)
 
 
-SPANS = ["id", "code", "begin", "end"]
+SPANS = ["shard", "id", "code", "begin", "end"]
 
 
-def _table(ids, codes, begins, sizes) -> pa.Table:
+def _table(shard, ids, codes, begins, sizes) -> pa.Table:
+    many = pc.fill_null(pc.list_value_length(sizes), 0).to_numpy()
     ids, codes, begins, sizes = (pc.list_flatten(c) for c in (ids, codes, begins, sizes))
-    return pa.table([ids, codes, begins, pc.add(begins, sizes.cast(pa.int64()))], SPANS)
+    return pa.table(
+        [pa.array(np.repeat(shard.to_numpy(), many)), ids, codes, begins, pc.add(begins, sizes.cast(pa.int64()))], SPANS
+    )
 
 
 # Plans ------------------------------------------------------------------------
 
 
-def _keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(id, code, text); the code tells texts of one id apart."""
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("code"), F.col(text).alias("text"))
+def _dealt(docs: DataFrame, id_col: str, text: str, total: int) -> DataFrame:
+    """(shard, id, code, text) of texts; the code tells texts of one id apart.
 
+    The partition a row comes from spreads even equal rows.
+    """
+    shards = max(1, -(-total // SHARD_BYTES))
+    keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("code"), F.col(text).alias("text"))
+    place = F.pmod(F.xxhash64("id", "code", F.spark_partition_id()), F.lit(shards).cast("long"))
+    return keyed.select(place.alias("shard"), "id", "code", "text")
 
-def repeats(
-    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text: str = "text", shard: int = SHARD
-) -> DataFrame:
-    """(id, code, begin, end) in bytes: what is to go; spans may touch, overlap or repeat."""
-    assert GRAM < length
-    named = _keyed(docs, id_col, text).where(F.col("id").isNotNull() & (F.octet_length("text") >= length))
-    bins = max(1, -(-(named.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0) // BIN_BYTES))
-    narrow_batches(docs.sparkSession)
-    kind = docs.schema[id_col].dataType
+
+def _total_bytes(docs: DataFrame, text: str) -> int:
+    return docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+
+
+def _spans(dealt: DataFrame, total: int, length: int, unit: int = UNIT) -> DataFrame:
+    """(shard, id, code, begin, end) in bytes: what is to go; spans may touch, overlap or repeat."""
+    assert GRAM < MARK_GRAM < length
+    kind = dealt.schema["id"].dataType
     long = T.LongType()
+    lists = {"ids": kind, "codes": long, "begins": long, "sizes": T.IntegerType()}
     pieces = T.StructType(
         [
             T.StructField("bin", long),
-            T.StructField("ids", T.ArrayType(kind)),
-            T.StructField("codes", T.ArrayType(long)),
-            T.StructField("begins", T.ArrayType(long)),
-            T.StructField("sizes", T.ArrayType(T.IntegerType())),
+            T.StructField("shard", long),
+            *[T.StructField(n, T.ArrayType(k)) for n, k in lists.items()],
             T.StructField("bytes", T.BinaryType()),
         ]
     )
-    spans = T.StructType([T.StructField(n, k) for n, k in zip(SPANS, [kind, long, long, long], strict=True)])
+    spans = T.StructType([T.StructField(n, k) for n, k in zip(SPANS, [long, kind, long, long, long], strict=True)])
+    size, mark_bins, bins = mark_bytes(total), max(1, -(-total // MARKS_BYTES)), max(1, -(-total // BIN_BYTES))
 
-    def sharded(batches):
-        for part in shards(batches, shard, length - 1):
-            yield from shard_rows(part, bins, length)
+    def long_enough(texts: pa.Table) -> pa.Table:
+        enough = pc.greater_equal(pc.binary_length(texts["text"]), length)
+        return texts.filter(pc.and_(pc.is_valid(texts["id"]), pc.fill_null(enough, False))).combine_chunks()
 
-    return (
-        named.mapInArrow(sharded, pieces)
+    def joined(texts: pa.Table, batches: Iterable[pa.RecordBatch]) -> pa.Table:
+        whole, ids = pa.int64(), pa.list_(texts.schema.field("id").type)
+        kinds = [whole, whole, ids, pa.list_(whole), pa.list_(whole), pa.list_(pa.int32()), pa.binary()]
+        schema = pa.schema(list(zip(PIECES, kinds, strict=True)))
+        return pa.Table.from_batches([b.cast(schema) for b in batches], schema)
+
+    def mark(texts: pa.Table) -> pa.Table:
+        return joined(texts, shard_marks(long_enough(texts), mark_bins, size, length, unit))
+
+    def deal(texts: pa.Table, replies: pa.Table) -> pa.Table:
+        return joined(texts, shard_strings(long_enough(texts), replies, bins, size, length, unit))
+
+    replies = (
+        dealt.groupBy("shard")
+        .applyInArrow(mark, pieces)
         .groupBy("bin")
-        .applyInArrow(lambda table: bin_spans(table, length), spans)
+        .applyInArrow(lambda t: shared_marks(t, size), pieces)
+        .withColumn("shard", F.col("shard") + 0)  # a column of its own
     )
+    strings = dealt.groupBy("shard").cogroup(replies.groupBy("shard")).applyInArrow(deal, pieces)
+    return strings.groupBy("bin").applyInArrow(lambda t: bin_spans(t, length), spans)
 
 
-def merged_spans(spans: list[dict]) -> list[tuple[int, int]]:
+def repeats(
+    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text: str = "text", unit: int = UNIT
+) -> DataFrame:
+    """(id, code, begin, end) in bytes: what is to go; spans may touch, overlap or repeat.
+
+    ``code`` is the 64-bit hash of the text, as xxhash64 gives it.
+    """
+    total = _total_bytes(docs, text)
+    found = _spans(_dealt(docs, id_col, text, total), total, length, unit)
+    return found.select(F.col("id").alias(id_col), "code", "begin", "end").distinct()
+
+
+def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
-    for begin, end in sorted((s["begin"], s["end"]) for s in spans):
+    for begin, end in sorted(spans):
         if out and begin <= out[-1][1]:
             out[-1] = (out[-1][0], max(end, out[-1][1]))
         else:
@@ -500,48 +645,40 @@ def without_repeats(
     docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(id, n_bytes, removed, kept): maximal removed spans in bytes, and the bytes that stay."""
-    gathered = (
-        repeats(docs, length, id_col, text)
-        .groupBy("id", "code")
-        .agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
-        .select(F.col("id").alias("_id"), F.col("code").alias("_code"), "spans")
-    )
-    joined = _keyed(docs, id_col, text).join(
-        gathered, (F.col("id") == F.col("_id")) & (F.col("code") == F.col("_code")), "left"
-    )
-    span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+    total = _total_bytes(docs, text)
+    dealt = _dealt(docs, id_col, text, total)
+    spans = _spans(dealt, total, length).withColumn("shard", F.col("shard") + 0)  # a column of its own
+    long = T.LongType()
+    ends = T.StructType([T.StructField("begin", long), T.StructField("end", long)])
     out = T.StructType(
         [
             T.StructField(id_col, docs.schema[id_col].dataType),
-            T.StructField("n_bytes", T.LongType()),
-            T.StructField("removed", T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))),
+            T.StructField("n_bytes", long),
+            T.StructField("removed", T.ArrayType(ends)),
             T.StructField("kept", T.BinaryType()),
         ]
     )
+    span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
-    def cut(block):
-        removed, kept = [], []
-        raw = memoryview(block.data)
-        for i, spans in enumerate(block.rows.column(1).to_pylist()):
-            text = raw[block.offsets[i] : block.offsets[i + 1]]
-            found = merged_spans(spans or [])
+    def cut(texts: pa.Table, spans: pa.Table) -> pa.Table:
+        found: dict[tuple, list[tuple[int, int]]] = {}
+        for id_, code, begin, end in zip(*[spans[c].to_pylist() for c in SPANS[1:]], strict=True):
+            found.setdefault((id_, code), []).append((begin, end))
+        sizes, removed, kept = [], [], []
+        for id_, code, text in zip(texts["id"].to_pylist(), texts["code"].to_pylist(), texts["text"], strict=True):
+            raw = memoryview(text.as_buffer()) if text.is_valid else memoryview(b"")
+            gone = merged_spans(found.get((id_, code), []))
             at, left = 0, []
-            for begin, end in found:
-                left.append(text[at:begin])
+            for begin, end in gone:
+                left.append(raw[at:begin])
                 at = end
-            kept.append(b"".join([*left, text[at:]]))
-            removed.append([{"begin": b, "end": e} for b, e in found])
-        return pa.record_batch(
-            [
-                block.rows.column(0),
-                pa.array(np.diff(block.offsets)),
-                pa.array(removed, span),
-                pa.array(kept, pa.binary()),
-            ],
-            out.names,
-        )
+            sizes.append(len(raw))
+            kept.append(b"".join([*left, raw[at:]]))
+            removed.append([{"begin": b, "end": e} for b, e in gone])
+        columns = [texts["id"], pa.array(sizes, pa.int64()), pa.array(removed, span), pa.array(kept, pa.binary())]
+        return pa.table(columns, out.names)
 
-    return map_blocks(joined.select("id", "spans", "text"), cut, out)
+    return dealt.groupBy("shard").cogroup(spans.groupBy("shard")).applyInArrow(cut, out)
 
 
 def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -20,7 +20,10 @@ TEXTS = st.binary(max_size=120) | st.text("ab", max_size=200).map(str.encode) |
 @given(TEXTS, st.sampled_from([3, 5, 8, 13, 50]))
 def test_suffixes_are_ordered(text, depth):
     data = np.frombuffer(text, np.uint8)
-    order = suffixes.suffix_array(data, depth).tolist()
+    order, refined = suffixes.suffix_array(suffixes.words(data), depth)
+    alike = {text[i : i + depth] for i in range(len(text) - depth + 1) if text.find(text[i : i + depth], i + 1) >= 0}
+    assert {i for i in range(len(text)) if text[i : i + depth] in alike} <= set(order[refined].tolist()) or depth <= 5
+    order = order.tolist()
     assert sorted(order) == list(range(len(text)))
     heads = [text[i : i + depth] for i in order]
     whole = [h for h in heads if len(h) == depth]
@@ -29,14 +32,16 @@ def test_suffixes_are_ordered(text, depth):
 
 @settings(max_examples=80, deadline=None)
 @given(TEXTS, st.sampled_from([3, 5, 8, 13, 50]), st.sampled_from([1, 7, 256]))
-def test_common_prefixes_of_whole_strings(text, depth, stride):
+def test_common_prefixes_of_whole_strings(text, depth, lanes):
     data = np.frombuffer(text, np.uint8)
-    order = suffixes.suffix_array(data, depth)
-    shared = suffixes.common_prefixes(data, order, depth, stride).tolist()
+    order, refined = suffixes.suffix_array(suffixes.words(data), depth)
+    shared = suffixes.common_prefixes(suffixes.words(data), order, depth, np.arange(len(data)), lanes).tolist()
+    some = suffixes.common_prefixes(suffixes.words(data), order, depth, refined, lanes).tolist()
     for k in range(1, len(order)):
         a, b = (text[order[j] : order[j] + depth] for j in (k - 1, k))
         if len(a) == len(b) == depth:
             assert shared[k] == next((i for i in range(depth) if a[i] != b[i]), depth)
+            assert k not in refined or some[refined.tolist().index(k)] == shared[k]
 
 
 @settings(max_examples=60, deadline=None)
@@ -46,7 +51,7 @@ def test_least_owner_of_equal_strings(texts, depth):
     owner = np.repeat(np.arange(len(texts), dtype=np.int32)[::-1], [len(t) for t in texts])
     ends = np.repeat(np.cumsum([len(t) for t in texts]), [len(t) for t in texts])
     valid = np.arange(len(data)) + depth <= ends
-    least = suffixes.least_of_equal(data, owner, valid, depth)
+    least = suffixes.least_of_equal(suffixes.words(data), owner, valid, depth)
     raw = data.tobytes()
     for i in np.flatnonzero(valid):
         same = [owner[j] for j in np.flatnonzero(valid) if raw[j : j + depth] == raw[i : i + depth]]
@@ -54,10 +59,9 @@ def test_least_owner_of_equal_strings(texts, depth):
 
 
 def test_words():
-    data = np.frombuffer(b"abcdefghij", np.uint8)
-    for size in range(1, 9):
-        got = suffixes.words(data, size).tolist()
-        assert got == [int.from_bytes((data.tobytes() + bytes(8))[i : i + size], "big") for i in range(10)]
+    for text in (b"", b"a", b"abcdefghij", b"\0\xff" * 9):
+        got = suffixes.words(np.frombuffer(text, np.uint8)).tolist()
+        assert got == [int.from_bytes((text + bytes(8))[i : i + 8], "big") for i in range(len(text))]
 
 
 @pytest.mark.parametrize("width", [64, 2])
@@ -138,17 +142,26 @@ def test_long_texts_cross_shards_and_bins(spark, monkeypatch):
     long = "".join(rng.choice("abcdefgh ") for _ in range(9000))
     rows = [(5, long), (7, long[:3000] + "X" + long[3000:]), (2, long[4000:4080]), (9, long * 2), *corpus(3, 30)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    monkeypatch.setattr(suffixes, "BIN_BYTES", 4000)
-    spans = suffixes.repeats(docs, shard=700).collect()
+    for name in ("BIN_BYTES", "MARKS_BYTES", "SHARD_BYTES"):
+        monkeypatch.setattr(suffixes, name, 4000)
+    spans = suffixes.repeats(docs, unit=700).collect()
     gone = {}
     for s in spans:
-        gone.setdefault((s.id, s.code), set()).update(range(s.begin, s.end))
+        gone.setdefault((s.doc_id, s.code), set()).update(range(s.begin, s.end))
     codes = docs.select("doc_id", F.xxhash64("text").alias("code"), F.octet_length("text").alias("n")).distinct().collect()
     got = sorted((r.doc_id, r.n, len(gone.get((r.doc_id, r.code), ()))) for r in codes if r.doc_id is not None and r.n)
     want = sorted({(i, n, removed) for i, n, removed, _, _ in by_hand(rows) if i is not None and n})
     assert sorted(set(got)) == want
 
 
+def test_marks():
+    marks = np.array([1, 2**20, 2**40 + 7], np.uint64)
+    for size in (4, 5, 8):
+        kept = marks & np.uint64((1 << (8 * size)) - 1) if size < 8 else marks
+        assert (suffixes.from_bytes(suffixes.to_bytes(kept, size), size) == kept).all()
+    assert [suffixes.mark_bytes(n) for n in (0, 10**6, 10**10, 10**14, 10**18)] == [4, 4, 5, 7, 8]
+
+
 def test_spans_are_real(spark):
     docs = spark.createDataFrame([(1, "x" + "0123456789" * 6), (2, "0123456789" * 6 + "y")], "doc_id long, text string")
     rows = {r.doc_id: r for r in suffixes.without_repeats(docs).collect()}
