@@ -14,7 +14,7 @@ from siltstone.operators import constraints as c
 from siltstone.operators.calendar import calendar, calendar_covering
 from siltstone.operators.keys import dense_index, dense_key, load_order_index
 from siltstone.operators.lookups import lookup
-from siltstone.operators.profiles import first_per_group, frequency, removed_by, value_counts
+from siltstone.operators.profiles import first_per_group, frequency, removed_by, value_counts, with_share
 from siltstone.plans import prep
 from siltstone.rules import Rules
 
@@ -106,6 +106,31 @@ def test_quotients_are_exact(spark):
     assert [int(r.p) for r in found.collect()] == [1, -1, 67, -13]
 
 
+def test_shares_of_large_numbers(spark):
+    """Counts and amounts that leave 64 bits when multiplied by a hundred."""
+    counts = spark.createDataFrame([("a", 2 * 10**17), ("b", 10**17), ("c", 0)], "k string, n long")
+    assert rows(with_share(counts, "n"), "k", "pct") == [
+        ("a", Decimal("66.67")),
+        ("b", Decimal("33.33")),
+        ("c", Decimal("0.00")),
+    ]
+    most = spark.createDataFrame([("a", 2**63 - 1)], "k string, n long")
+    assert rows(most.select(numbers.percent(F.col("n"), F.col("n")).alias("p")), "p") == [(Decimal("100.00"),)]
+    money = spark.createDataFrame([(Decimal("3") * 10**19, Decimal(9) * 10**19)], "a decimal(24,2), b decimal(24,2)")
+    found = money.select(numbers.percent(F.col("a"), F.col("b"), kind=numbers.CENTS).alias("p"))
+    assert rows(found, "p") == [(Decimal("33.33"),)]
+
+
+def test_quotients_as_text(spark):
+    values = [(1, 3), (-2, 3), (5, -8), (7, 0), (None, 1), (10**18, 7), (0, 5)]
+    df = spark.createDataFrame(values, "n long, d long")
+    for kind in (numbers.WHOLE, numbers.CENTS):
+        text = F.expr(numbers.ratio_sql("n", "d", 2, kind))
+        both = df.select(text.alias("x"), numbers.ratio(F.col("n"), F.col("d"), 2, kind).alias("y"))
+        assert both.schema["x"].dataType == both.schema["y"].dataType
+        assert both.where("NOT (x <=> y)").isEmpty()
+
+
 def test_lookup_keeps_every_row_and_spreads_missing_keys(spark):
     table = spark.createDataFrame([(1, "one"), (2, "two")], "id long, label string")
     left = spark.range(4000).select(
