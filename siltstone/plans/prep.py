@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.dates import lenient_date
@@ -22,6 +22,7 @@ from siltstone.operators.profiles import (
     value_counts,
     with_share_written,
 )
+from siltstone.sources.files import read_in_pieces
 
 # The grammar of a catalogue text. A champion block holds an id
 # and a list of skin entries and ends at a closing brace indented by four; an
@@ -31,6 +32,10 @@ CHAMPION_BLOCK = (
     r'(?s)\["([A-Z][^"]+)"\]\s*=\s*\{[^{]*\["id"\]\s*=\s*\d+[^{]*'
     r'\["skins"\]\s*=\s*\{(.*?)\n\s{4}\}'
 )
+# A block ends behind this text, and nothing that is a block crosses such a place
+# if another key than a skin list opens a brace next: see :func:`read_catalogues`.
+BLOCK_END = "\n    }"
+BLOCK_STARTS = r'^[\s},]*+(?:return\s*+\{\s*+)?\["(?!skins"\]|\])[^"]++"\]\s*+=\s*+\{'
 _ENTRY_END = r'\s*,?\s*(?:\["|$)'
 SKIN_ENTRY = (
     r'\["([^"]+)"\]\s*=\s*\{'
@@ -101,6 +106,18 @@ def full_name(name: Column, champion: Column) -> Column:
 # Text extraction ------------------------------------------------------------
 
 
+def read_catalogues(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, piece, text) of catalogue files, cut between blocks so that many tasks share a file.
+
+    The extraction finds the same blocks in the pieces as in the whole text. A
+    block being read ends at the next :data:`BLOCK_END`, so it doesn't go on
+    behind one. Before its skin list, the only brace a block may come to is the
+    list's own; where another key or a new document opens the next brace, no block
+    has begun.
+    """
+    return read_in_pieces(spark, path, BLOCK_END, BLOCK_STARTS)
+
+
 def champion_blocks(docs: DataFrame) -> DataFrame:
     """(doc_id, text) to (doc_id, block_pos, champion, block)."""
     return explode_matches(docs, "text", CHAMPION_BLOCK, {"champion": 1, "block": 2}, "block_pos")
@@ -115,8 +132,10 @@ def extract_skins(docs: DataFrame) -> DataFrame:
     """Every skin a catalogue text prices, with its place in the text.
 
     Entries need an id, and a cost unless they are marked special. A cost of more
-    than 64 bits is no cost.
+    than 64 bits is no cost. Texts may be whole or in pieces; a column ``piece``
+    comes along.
     """
+    piece = [c for c in docs.columns if c == "piece"]
     props, name = F.col("props"), F.col("name")
     stated = extract_or_null(props, ENTRY_COST).try_cast("bigint")
     cost = F.when(name == ORIGINAL, F.lit(0).cast("bigint")).otherwise(F.col("_cost"))
@@ -133,6 +152,7 @@ def extract_skins(docs: DataFrame) -> DataFrame:
         .withColumn("price_rp", cost)
         .select(
             "doc_id",
+            *piece,
             "block_pos",
             "entry_pos",
             full_name(name, F.col("champion")).alias("skin_name"),

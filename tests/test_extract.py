@@ -1,12 +1,14 @@
 """Text extraction against brute force on small documents."""
 
 import re
+from contextlib import contextmanager
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from siltstone.plans import prep
+from siltstone.sources import files
 from siltstone.sources.nested import flatten_catalogue
 
 # Fixed value: the entry grammar as specified, with a backtracking loop. Ours
@@ -141,6 +143,70 @@ def test_costs_beyond_64_bits_are_no_costs(spark):
     assert ("Red Ann", 99999999999, "Ultimate", "Ann", None) in listed(prep.extract_skins(docs(spark, large)))
 
 
+@contextmanager
+def small_parts(spark, size):
+    """Files are read in parts of so many bytes."""
+    names = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "1"}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+
+
+def test_a_file_is_read_by_several_tasks(spark, tmp_path):
+    blocks = [TEXT.replace('"Ann"', f'"Ann{i}"').replace('"Bob Two"', f'"Bob {i}"') for i in range(200)]
+    (tmp_path / "a.txt").write_text("".join(blocks))
+    (tmp_path / "b.txt").write_text(TEXT)
+    whole = listed(prep.extract_skins(files.read_documents(spark, str(tmp_path))))
+    assert len(whole) == 201 * 8
+    with small_parts(spark, 2_000):
+        pieces = prep.read_catalogues(spark, str(tmp_path)).cache()
+        assert pieces.groupBy("doc_id").count().where("count >= 300").count() == 1
+        assert pieces.agg(F.max(F.length("text"))).first()[0] < 2 * len(TEXT)
+        found = prep.extract_skins(pieces).orderBy("doc_id", "piece", "block_pos", "entry_pos")
+        assert [tuple(r) for r in found.select(*prep.EXTRACTED).collect()] == whole
+        # Put together, the pieces are the files.
+        texts = {r.doc_id[-5:]: [] for r in pieces.select("doc_id").distinct().collect()}
+        for r in pieces.orderBy("doc_id", "piece").collect():
+            texts[r.doc_id[-5:]].append(r.text)
+        assert {k: "".join(v) for k, v in texts.items()} == {"a.txt": "".join(blocks), "b.txt": TEXT}
+
+
+broken = st.lists(
+    st.sampled_from(
+        ['["Ann"] = {', '["id"] = 1', '["skins"] = {', '["Red"] = { ["id"] = 1, ["cost"] = 520 }', "\n    }", "\n  }", ",\n"]
+        + ['\n  ["Bob"] = {', "return {", '"', "{", "}", "x", '["', "\n    }\n", " = ", '["skins"] = ', "\r\n    }", "é"]
+    ),
+    max_size=30,
+)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(broken, min_size=6, max_size=12), st.sampled_from([7, 40]))
+def test_pieces_hold_the_blocks_of_the_whole_text(spark, tmp_path_factory, cases, size):
+    """Also where braces and quotes don't match, and a part ends anywhere."""
+    folder = tmp_path_factory.mktemp("docs")
+    texts = {f"{i:02}.txt": "".join(c) for i, c in enumerate(cases) if c}
+    for name, text in texts.items():
+        (folder / name).write_bytes(text.encode())
+
+    def blocks(docs, *order):
+        found = prep.champion_blocks(docs).orderBy("doc_id", *order, "block_pos").collect()
+        return [(r.doc_id, r.champion, r.block) for r in found]
+
+    whole = blocks(files.read_documents(spark, str(folder)))
+    with small_parts(spark, size):
+        pieces = prep.read_catalogues(spark, str(folder))
+        assert blocks(pieces, "piece") == whole
+        put_together = {}
+        for r in pieces.orderBy("doc_id", "piece").collect():
+            put_together[r.doc_id[-6:]] = put_together.get(r.doc_id[-6:], "") + r.text
+        assert put_together == texts
+
+
 def test_dedup_keeps_the_first_and_drops_special(spark):
     again = TEXT.replace('["cost"] = 975', '["cost"] = 520')
     kept = prep.dedup_and_filter(prep.extract_skins(docs(spark, TEXT, again)))
