@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.rules import POLICIES
 from siltstone.runtime import durable
@@ -84,30 +85,49 @@ def audit(
 ) -> DataFrame:
     """One row per constraint: its name and the number of rows breaking it.
 
-    All row checks share one aggregation. Keys are counted per value before
-    anything is shuffled or joined, so a hot value moves as a single row.
+    One scan serves all of them. A row becomes a pair (constraint, value) for each
+    value that has to be unique or known, and one without a value for each check it
+    breaks. Pairs are counted inside each task before they are shuffled, so a hot
+    value or a check that many rows break moves as a single row. The keys of all
+    parents meet the counted pairs in one join.
     """
-    checks = [c for c in constraints if isinstance(c, Check)]
-    counts = []
-    if checks:
-        totals = df.agg(*[F.count_if(c.broken()).alias(f"_{i}") for i, c in enumerate(checks)])
-        pairs = [
-            F.struct(F.lit(c.name).alias("constraint"), F.col(f"_{i}").alias(VIOLATIONS))
-            for i, c in enumerate(checks)
+    value = T.StringType()
+    pairs = [
+        F.when(c.broken(), F.struct(F.lit(i).alias("_which"), F.lit(None).cast(value).alias("_value")))
+        if isinstance(c, Check)
+        else F.when(
+            F.col(c.column).isNotNull(),
+            F.struct(F.lit(i).alias("_which"), F.col(c.column).cast(value).alias("_value")),
+        )
+        for i, c in enumerate(constraints)
+    ]
+    counted = (
+        df.select(F.inline(F.array_compact(F.array(*pairs))))
+        .groupBy("_which", "_value")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    known = [
+        _keys(c, parents).select(F.lit(i).alias("_of"), F.col(c.column).cast(value).alias("_key"))
+        for i, c in enumerate(constraints)
+        if isinstance(c, ForeignKey)
+    ]
+    orphan = F.lit(True)
+    if known:
+        keys = reduce(DataFrame.union, known)
+        counted = counted.join(keys, (F.col("_which") == F.col("_of")) & (F.col("_value") == F.col("_key")), "left")
+        orphan = F.col("_key").isNull()
+    breaking = {Check: F.col("_n"), Unique: F.col("_n") - 1, ForeignKey: F.when(orphan, F.col("_n"))}
+    totals = counted.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("_which") == i, breaking[type(c)])), F.lit(0)).alias(f"_{i}")
+            for i, c in enumerate(constraints)
         ]
-        counts.append(totals.select(F.inline(F.array(*pairs))))
-    for c in constraints:
-        if isinstance(c, Unique):
-            surplus = _per_value(df, c.column).agg(F.sum(F.col("_n") - 1).alias("_surplus"))
-            counts.append(_count_row(surplus, c.name, "_surplus"))
-        elif isinstance(c, ForeignKey):
-            orphans = (
-                _per_value(df, c.column)
-                .join(_keys(c, parents), c.column, "left_anti")
-                .agg(F.sum("_n").alias("_orphans"))
-            )
-            counts.append(_count_row(orphans, c.name, "_orphans"))
-    return reduce(DataFrame.unionByName, counts)
+    )
+    found = [
+        F.struct(F.lit(c.name).alias("constraint"), F.col(f"_{i}").alias(VIOLATIONS))
+        for i, c in enumerate(constraints)
+    ]
+    return totals.select(F.inline(F.array(*found)))
 
 
 def enforce(
@@ -183,18 +203,6 @@ def _names(broken: list[tuple[str, Column]]) -> Column:
     return F.array_compact(F.array(*[F.when(flag, F.lit(name)) for name, flag in broken]))
 
 
-def _per_value(df: DataFrame, column: str) -> DataFrame:
-    return (
-        df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    )
-
-
-def _count_row(total: DataFrame, name: str, column: str) -> DataFrame:
-    return total.select(
-        F.lit(name).alias("constraint"), F.coalesce(F.col(column), F.lit(0)).alias(VIOLATIONS)
-    )
-
-
 def _keys(c: ForeignKey, parents: Mapping[str, DataFrame] | None) -> DataFrame:
     if not parents or c.parent not in parents:
         raise ValueError(f"{c.name} needs the table {c.parent!r}")
