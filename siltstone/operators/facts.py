@@ -19,6 +19,9 @@ LIST_PRICE = "list_price"
 # Whether the dimension rows a sale points at are valid; NULL without a row.
 PLAYER_VALID, SKIN_VALID = "player_valid", "skin_valid"
 
+# The values as staged, which quarantine reports.
+STAGED = "staged"
+
 # The tags written to dq_issues, in the order they are written.
 PRICE_FIXED = "price_fixed"
 TOTAL_RECALCULATED = "total_recalculated"
@@ -36,7 +39,9 @@ def load_facts(stg_sales: DataFrame, dim_player: DataFrame, dim_skin: DataFrame)
 
     The skin's list price travels along as ``list_price``, and the validity of
     both dimension rows, so neither the price repair nor the gold load needs a
-    second join with a dimension.
+    second join with a dimension. So do the staged values, read as whole numbers
+    and a date, as one struct ``staged``: quarantine needs no second look at
+    staging.
     """
     # The date is parsed once, in a projection of its own, before rows move.
     sales = stg_sales.where(F.col("transaction_id").isNotNull()).select(
@@ -47,6 +52,13 @@ def load_facts(stg_sales: DataFrame, dim_player: DataFrame, dim_skin: DataFrame)
         "price_rp",
         "quantity",
     )
+    staged = F.struct(
+        round_to_long(F.col("player_id")).alias("player_id"),
+        round_to_long(F.col("skin_id")).alias("skin_id"),
+        F.col("_day").alias("purchase_date"),
+        round_to_long(F.col("price_rp")).alias("price_rp"),
+        round_to_long(F.col("quantity")).alias("quantity"),
+    )
     players = dim_player.select(
         "player_key",
         F.col("player_id").alias("_dim_player_id"),
@@ -73,6 +85,7 @@ def load_facts(stg_sales: DataFrame, dim_player: DataFrame, dim_skin: DataFrame)
         F.col(LIST_PRICE).cast(MONEY).alias(LIST_PRICE),
         PLAYER_VALID,
         SKIN_VALID,
+        staged.alias(STAGED),
     )
 
 
@@ -168,5 +181,5 @@ def clean_facts(loaded: DataFrame, calendar: DataFrame) -> DataFrame:
     """Repair, recompute, tag and validate, in that order."""
     fact = recompute_total(repair_price(loaded))
     fact = with_membership(fact, calendar, "date_key", "in_calendar")
-    carried = [c for c in (PLAYER_VALID, SKIN_VALID) if c in fact.columns]
+    carried = [c for c in (PLAYER_VALID, SKIN_VALID, STAGED) if c in fact.columns]
     return mark_valid(tag_issues(fact)).select(*FACT_COLUMNS, *carried)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone import rules as fixed
@@ -18,7 +18,7 @@ from siltstone.operators.calendar import CALENDAR_COLUMNS, calendar
 from siltstone.operators.dims import load_players, load_skins
 from siltstone.operators.facts import PLAYER_VALID, SKIN_VALID, clean_facts, load_facts
 from siltstone.operators.keys import dense_key
-from siltstone.operators.quality import monitor, quarantine
+from siltstone.operators.quality import monitor, quarantine, with_id_rows
 from siltstone.rules import Rules
 from siltstone.runtime import durable
 
@@ -85,7 +85,20 @@ class Silver(Layer):
 
 
 class Gold(Layer):
+    """The star. ``parts`` lists a stored table's partition values; None where nothing is stored."""
+
     TABLES = ("dim_date", "dim_skin", "dim_player", "fact_sales")
+    parts: Callable[[str], list[dict[str, str]]] | None = None
+
+
+# The partitions of stored gold facts: the month of the sale.
+GOLD_PARTS = ("sale_year", "sale_month")
+
+
+def gold_parts() -> dict[str, Column]:
+    key = F.col("date_key")
+    month = F.floor(key / 100).cast("int")
+    return {"sale_year": F.floor(month / 100).cast("int"), "sale_month": (month % 100).cast("int")}
 
 
 Settle = Callable[[str, DataFrame], DataFrame]
@@ -95,6 +108,10 @@ def as_planned(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
+def same(df: DataFrame) -> DataFrame:
+    return df
+
+
 def durable_tables(*names: str) -> Settle:
     """Settle the named tables by writing them once to the shared scratch folder.
 
@@ -144,7 +161,7 @@ def silver(
             "dim_player", load_players(bronze.stg_players, rules), "player_id", "player_key"
         ),
         "fact_sale": lambda: clean_facts(silver_fact_load(bronze, layer), layer.dim_date),
-        "fact_sale_quarantine": lambda: quarantine(layer.fact_sale, bronze.stg_sales),
+        "fact_sale_quarantine": lambda: quarantine(with_id_rows(layer.fact_sale, bronze.stg_sales)),
         "data_quality_log": lambda: monitor(layer.fact_sale, rules),
     }
     layer = Silver(**_settled(planned, settle))
@@ -260,8 +277,15 @@ def stg_constraints(rules: Rules) -> dict[str, list[c.Constraint]]:
     }
 
 
-def quarantine_constraints() -> list[c.Constraint]:
-    return list(c.max_length({"rejection_reason": fixed.REASON_LENGTH}))
+def silver_fact_constraints() -> list[c.Constraint]:
+    """Of sales that have been keyed."""
+    return [*c.not_null("sale_key"), c.Unique("sale_key")]
+
+
+def quarantine_constraints(keyed: bool = False) -> list[c.Constraint]:
+    """The key is declared, too, but given last, to the rows that are kept."""
+    key = [*c.not_null("quarantine_id"), c.Unique("quarantine_id")] if keyed else []
+    return [*c.max_length({"rejection_reason": fixed.REASON_LENGTH}), *key]
 
 
 def log_constraints() -> list[c.Constraint]:
@@ -293,9 +317,10 @@ def gold_load_constraints() -> list[c.Constraint]:
     ]
 
 
-def gold_fact_constraints() -> list[c.Constraint]:
+def gold_fact_constraints(keyed: bool = False) -> list[c.Constraint]:
     return [
         *gold_fact_checks(),
+        *([*c.not_null("sale_key"), c.Unique("sale_key")] if keyed else []),
         c.ForeignKey("player_key", "dim_player", "player_key"),
         c.ForeignKey("skin_key", "dim_skin", "skin_key"),
         c.ForeignKey("date_key", "dim_date", "date_key"),

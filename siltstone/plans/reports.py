@@ -286,9 +286,24 @@ def gold_top10_skins(gold: Gold) -> DataFrame:
     )
 
 
+def recent_months(gold: Gold, n: int) -> Gold:
+    """``gold`` with the facts of its last ``n`` months only.
+
+    Stored facts are partitioned by month, so the catalog knows the months that
+    have any, and the scan opens their partitions only. Where nothing is stored,
+    the facts stay as they are.
+    """
+    if gold.parts is None:
+        return gold
+    months = sorted({tuple(int(part[c]) for c in layers.GOLD_PARTS) for part in gold.parts("fact_sales")})
+    year, month = (F.col(c) for c in layers.GOLD_PARTS)
+    wanted = reduce(lambda x, y: x | y, [(year == y) & (month == m) for y, m in months[-n:]], F.lit(False))
+    return Gold(**(gold.tables() | {"fact_sales": gold.fact_sales.where(wanted)}))
+
+
 def gold_last6_months(gold: Gold) -> DataFrame:
     return (
-        views.revenue_trends(gold)
+        views.revenue_trends(recent_months(gold, LAST_MONTHS))
         .orderBy(F.desc("year"), F.desc("month"))
         .limit(LAST_MONTHS)
         .select(
@@ -362,9 +377,12 @@ def constraint_audit(bronze: Bronze, silver: Silver, gold: Gold, rules: Rules) -
     """Rows breaking each declared constraint: table_name, constraint, violations.
 
     The gold fact is judged as it leaves silver, before a policy is applied.
+    Tables that have been keyed are judged by their keys, too. Each table is
+    scanned once for all its constraints.
     """
     stg = layers.stg_constraints(rules)
     parents = {"dim_player": gold.dim_player, "dim_skin": gold.dim_skin, "dim_date": gold.dim_date}
+    keyed = "sale_key" in silver.fact_sale.columns
     audits = {
         "stg_skins": c.audit(bronze.stg_skins, stg["stg_skins"]),
         "stg_players": c.audit(bronze.stg_players, stg["stg_players"]),
@@ -375,12 +393,19 @@ def constraint_audit(bronze: Bronze, silver: Silver, gold: Gold, rules: Rules) -
         "dim_player": c.audit(
             silver.dim_player, [*layers.dim_player_constraints(rules), c.Unique("player_key")]
         ),
-        "fact_sale_quarantine": c.audit(silver.fact_sale_quarantine, layers.quarantine_constraints()),
+        "fact_sale_quarantine": c.audit(
+            silver.fact_sale_quarantine,
+            layers.quarantine_constraints("quarantine_id" in silver.fact_sale_quarantine.columns),
+        ),
         "data_quality_log": c.audit(silver.data_quality_log, layers.log_constraints()),
         "fact_sales": c.audit(
-            layers.gold_facts(silver), layers.gold_fact_constraints(), parents
+            layers.gold_facts(silver, *(["sale_key"] if keyed else [])),
+            layers.gold_fact_constraints(keyed),
+            parents,
         ),
     }
+    if keyed:
+        audits["fact_sale"] = c.audit(silver.fact_sale, layers.silver_fact_constraints())
     return reduce(
         DataFrame.unionByName,
         [

@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.functions.numbers import CENTS, ratio
+from siltstone.functions.numbers import CENTS, ratio, ratio_sql
 from siltstone.plans.layers import Gold
+from siltstone.sources.tables import Store
 
 MONTH = ("year", "month", "month_name")
 
@@ -132,12 +133,78 @@ VIEWS = {
     "revenue_trends": (revenue_trends, "Monthly revenue and key figures"),
 }
 
+# The same views as text over the tables of a database: what the catalog keeps.
+# They fold facts before they meet a dimension, as the functions above do.
+VIEW_SQL = {
+    "revenue_by_segment_month": """
+        SELECT player_segment, year, month, month_name, sum(n) AS transaction_count,
+          sum(amount) AS total_revenue, CAST(sum(amount) AS DOUBLE) / sum(n) AS avg_transaction,
+          count(player_key) AS unique_players
+        FROM (SELECT player_key, year, month, month_name, count(*) AS n, sum(total_rp) AS amount
+              FROM {fact_sales} JOIN {dim_date} USING (date_key)
+              GROUP BY player_key, year, month, month_name)
+        JOIN {dim_player} USING (player_key)
+        GROUP BY player_segment, year, month, month_name
+        ORDER BY year, month, player_segment""",
+    "top_selling_skins": """
+        SELECT skin_id, champion_name, skin_name, rarity, price_rp, times_purchased, total_revenue, unique_buyers
+        FROM (SELECT skin_key, sum(n) AS times_purchased, sum(amount) AS total_revenue,
+                count(player_key) AS unique_buyers
+              FROM (SELECT skin_key, player_key, count(*) AS n, sum(total_rp) AS amount
+                    FROM {fact_sales} GROUP BY skin_key, player_key)
+              GROUP BY skin_key)
+        JOIN {dim_skin} USING (skin_key)
+        ORDER BY total_revenue DESC NULLS FIRST, skin_id""",
+    "weekend_vs_weekday_sales": """
+        SELECT CASE WHEN is_weekend THEN 'Weekend' ELSE 'Weekday' END AS day_type,
+          count(*) AS transaction_count, sum(total_rp) AS total_revenue,
+          CAST(sum(total_rp) AS DOUBLE) / count(*) AS avg_transaction
+        FROM {fact_sales} JOIN {dim_date} USING (date_key)
+        GROUP BY is_weekend
+        ORDER BY day_type""",
+    "player_lifetime_value": """
+        SELECT player_key, player_id, player_segment, region, n AS total_purchases, amount AS lifetime_value,
+          CAST(amount AS DOUBLE) / n AS avg_purchase_value, first_purchase_date, last_purchase_date,
+          datediff(last_purchase_date, first_purchase_date) AS purchase_span_days
+        FROM (SELECT player_key, count(*) AS n, sum(total_rp) AS amount, min(date) AS first_purchase_date,
+                max(date) AS last_purchase_date
+              FROM {fact_sales} JOIN {dim_date} USING (date_key) GROUP BY player_key)
+        JOIN {dim_player} USING (player_key)
+        ORDER BY lifetime_value DESC NULLS FIRST, player_id""",
+    "revenue_trends": f"""
+        SELECT year, month, month_name, transactions, revenue,
+          CAST(revenue AS DOUBLE) / priced AS avg_transaction, active_players,
+          {ratio_sql("revenue", "active_players", kind=CENTS)} AS revenue_per_player
+        FROM (SELECT year, month, month_name, count(*) AS transactions, sum(total_rp) AS revenue,
+                count(total_rp) AS priced, count(DISTINCT player_key) AS active_players
+              FROM {{fact_sales}} JOIN {{dim_date}} USING (date_key) GROUP BY year, month, month_name)
+        ORDER BY year, month""",
+}
+
+
+def create_views(star: Gold, store: Store | None = None, prefix: str = "") -> dict[str, DataFrame]:
+    """Register every view and return them.
 
-def create_views(star: Gold, prefix: str = "") -> dict[str, DataFrame]:
-    """Register every view as a temporary view and return them."""
+    Each becomes a temporary view of the session. With a ``store`` it also becomes
+    a view of the gold database over its published tables, with its comment, so
+    any session that knows the catalog finds it.
+    """
     views = {}
-    for name, (build, _) in VIEWS.items():
+    for name, (build, comment) in VIEWS.items():
         view = build(star)
         view.createOrReplaceTempView(prefix + name)
+        if store:
+            tables = {table: store.name("gold", table) for table in star.TABLES}
+            store.create_view("gold", name, VIEW_SQL[name].format(**tables), comment)
         views[name] = view
     return views
+
+
+def view_catalog(store: Store) -> DataFrame:
+    """(view_name, comment, n_columns) of the analytical views in the catalog."""
+    rows = []
+    for name in VIEWS:
+        described = store.spark.catalog.getTable(store.name("gold", name))
+        if described.tableType == "VIEW":
+            rows.append((name, described.description, len(store.read("gold", name).columns)))
+    return store.spark.createDataFrame(rows, "view_name string, comment string, n_columns int")

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 from helpers import RULES, players, rows, sales, skins
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone import schemas
@@ -109,6 +110,78 @@ def test_log_history(spark, tmp_path):
     assert log.select("run_timestamp").distinct().count() == 2
 
 
+def test_a_repeated_run_replaces_its_log_rows(spark, tmp_path):
+    store = Store(spark, str(tmp_path), prefix="f_")
+    for run_id in ("one", "one"):
+        built = warehouse.build(spark, staged(spark, *RECORDS), rules("drop"), store, True, run_id)
+    assert rows(built.silver.data_quality_log, "run_id", "log_id") == [("one", i) for i in range(1, 6)]
+    assert rows(built.gold.fact_sales, "sale_key") == [(1,), (2,), (3,)]
+    built = warehouse.build(spark, staged(spark, *RECORDS), rules("drop"), store, True, "two")
+    log = [("one", i) for i in range(1, 6)] + [("two", i) for i in range(6, 11)]
+    assert sorted(rows(built.silver.data_quality_log, "run_id", "log_id")) == log
+    # Without keep_log only the new run's metrics stay.
+    built = warehouse.build(spark, staged(spark, *RECORDS), rules("drop"), store)
+    assert rows(built.silver.data_quality_log, "log_id") == [(i,) for i in range(1, 6)]
+    with pytest.raises(ValueError, match="run id"):
+        store.run("not a name")
+
+
+def test_a_build_that_stops_leaves_the_old_warehouse_whole(spark, tmp_path):
+    store = Store(spark, str(tmp_path), prefix="g_")
+    warehouse.build(spark, staged(spark, *RECORDS[:4]), rules("fail"), store, True, "first")
+    before = {
+        (layer, name): rows(table, *table.columns)
+        for layer, tables in vars(warehouse.open_warehouse(store)).items()
+        for name, table in tables.tables().items()
+    }
+    # Record 5 breaks a constraint of gold, when bronze and silver have been written.
+    with pytest.raises(ConstraintError):
+        warehouse.build(spark, staged(spark, *RECORDS), rules("fail"), store, True, "second")
+    opened = warehouse.open_warehouse(store)
+    assert before == {
+        (layer, name): rows(table, *table.columns)
+        for layer, tables in vars(opened).items()
+        for name, table in tables.tables().items()
+    }
+    assert store.read("silver", "fact_sale").count() == 4 and store.read("gold", "top_selling_skins").count() == 2
+    # Repeating the stopped run replaces what it had written, and older versions go.
+    built = warehouse.build(spark, staged(spark, *RECORDS), rules("drop"), store, True, "second")
+    assert built.silver.fact_sale.count() == 5 and built.gold.fact_sales.count() == 3
+    warehouse.build(spark, staged(spark, *RECORDS), rules("drop"), store, True, "third")
+    assert set(store._versions("gold", "fact_sales")) == {"second", "third"}
+    folders = {p.name for p in (tmp_path / "gold").iterdir() if p.name.startswith("fact_sales__")}
+    assert folders == {"fact_sales__second", "fact_sales__third"}
+
+
+def test_views_live_in_the_catalog(spark, tmp_path):
+    store = Store(spark, str(tmp_path), prefix="h_")
+    built = warehouse.build(spark, staged(spark, *RECORDS), rules("drop"), store)
+    other = Store(spark.newSession(), str(tmp_path), prefix="h_")
+    listed = rows(views.view_catalog(other), "view_name", "comment")
+    assert listed == sorted((name, comment) for name, (_, comment) in views.VIEWS.items())
+    opened = warehouse.open_warehouse(other)
+    for name, (view, _) in views.VIEWS.items():
+        shown, made = other.read("gold", name), view(opened.gold)
+        assert shown.schema == made.schema
+        assert [tuple(r) for r in shown.collect()] == [tuple(r) for r in made.collect()]
+    assert rows(opened.gold.fact_sales, "sale_key") == rows(built.gold.fact_sales, "sale_key")
+
+
+def test_opening_needs_a_published_build(spark, tmp_path):
+    with pytest.raises(ValueError, match="no warehouse"):
+        warehouse.open_warehouse(Store(spark, str(tmp_path), prefix="none_"))
+
+
+def test_single_tables_are_swapped_too(spark, tmp_path):
+    for store in (Store(spark, str(tmp_path), "i_"), Store(spark, None, "j_")):
+        assert store.published("bronze", "t") is None
+        store.refresh("bronze", "t", spark.range(3), "it's \\ three")
+        five = spark.range(5).withColumn("v", F.lit(1))
+        assert store.refresh("bronze", "t", five, "five", ("id",)).count() == 5
+        run = store.published("bronze", "t")
+        assert sorted(int(p["id"]) for p in store.partitions("bronze", "t", run)) == list(range(5))
+
+
 def test_fail_policy_stops_the_build(spark, tmp_path):
     store = Store(spark, str(tmp_path), prefix="c_")
     with pytest.raises(ConstraintError, match="fk_player_key: 1"):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +17,14 @@ from siltstone.operators import constraints
 from siltstone.operators.calendar import calendar_covering
 from siltstone.operators.extract import carry_forward, explode_matches, extract_or_null
 from siltstone.operators.facts import attach_list_price, clean_facts
-from siltstone.operators.keys import dense_index
+from siltstone.operators.keys import dense_index, ordered_key
 from siltstone.operators.profiles import keep_first
 from siltstone.plans import layers, prep, reports, views, warehouse
 from siltstone.plans.layers import Bronze, Gold, Silver
 from siltstone.runtime import scratch_dir
 from siltstone.sources import files
 from siltstone.sources.nested import flatten_catalogue
+from siltstone.sources.tables import Store
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,10 +199,95 @@ def constraint_policy_drop(spark, sf_dir):
 
 
 def constraint_audit(spark, sf_dir):
-    bronze, s = _silver(spark, sf_dir, _FACT)
+    """Also of the keys: sales and quarantined rows are numbered first."""
+    keyed = {
+        "fact_sale": lambda df: ordered_key(df, "transaction_id", "sale_key", "id_rows"),
+        "fact_sale_quarantine": lambda df: ordered_key(df, "transaction_id", "quarantine_id"),
+    }
+    settle = layers.durable_tables(*_FACT)
+    bronze = fx.bronze(spark, sf_dir, settle)
+    s = layers.silver(spark, bronze, fx.RULES, lambda name, df: settle(name, keyed.get(name, layers.same)(df)))
     return reports.constraint_audit(bronze, s, layers.gold(s, fx.RULES), fx.RULES)
 
 
+# The stored warehouse -------------------------------------------------------
+
+_stores: dict[tuple[str, str], Store] = {}
+
+
+def store_of(spark: SparkSession, sf_dir: str) -> Store:
+    """A stored build over the given tables, made when first asked for in an application."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _stores:
+        prefix = f"w{hashlib.md5(sf_dir.encode(), usedforsecurity=False).hexdigest()[:12]}_"
+        store = Store(spark, scratch_dir(spark, "warehouse"), prefix)
+        warehouse.build(spark, fx.bronze(spark, sf_dir), fx.RULES, store)
+        _stores[key] = store
+    return _stores[key]
+
+
+def stored(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
+    return warehouse.open_warehouse(store_of(spark, sf_dir))
+
+
+def stored_fact_sale(spark, sf_dir):
+    fact = stored(spark, sf_dir).silver.fact_sale
+    return plain(fact.select("sale_key", "transaction_id", "is_valid", "dq_issues", "id_rows"))
+
+
+def stored_quarantine(spark, sf_dir):
+    return stored(spark, sf_dir).silver.fact_sale_quarantine.drop("rejection_timestamp")
+
+
+def stored_fact_sales(spark, sf_dir):
+    return stored(spark, sf_dir).gold.fact_sales.drop("created_at")
+
+
+def stored_last6_months(spark, sf_dir):
+    return plain(reports.gold_last6_months(stored(spark, sf_dir).gold))
+
+
+def stored_stamps(spark, sf_dir):
+    """Rows of each stored table, and how many of them lack the time they were written."""
+    built = stored(spark, sf_dir)
+    stamps = {"fact_sale_quarantine": "rejection_timestamp", "data_quality_log": "run_timestamp"}
+    counts = []
+    for layer, stamp in ((built.bronze, "loaded_at"), (built.silver, "created_at"), (built.gold, "created_at")):
+        for name, table in layer.tables().items():
+            lacking = numbers.count_where(F.col(stamps.get(name, stamp)).isNull())
+            label = F.lit(f"{type(layer).__name__.lower()}.{name}").alias("table_name")
+            rows = table.agg(F.count(F.lit(1)).alias("n_rows"), lacking.alias("unstamped"))
+            counts.append(rows.select(label, "n_rows", "unstamped"))
+    return reduce(DataFrame.unionByName, counts)
+
+
+def view_catalog(spark, sf_dir):
+    """The views of the catalog, their comments and how many rows they show."""
+    store = store_of(spark, sf_dir)
+    found = [
+        store.read("gold", row.view_name).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(row.view_name).alias("view_name"), F.lit(row.comment).alias("comment"), "n_rows"
+        )
+        for row in views.view_catalog(store).collect()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def catalog_view(name: str) -> Query:
+    return lambda spark, sf_dir: plain(store_of(spark, sf_dir).read("gold", name))
+
+
+def log_history(spark, sf_dir):
+    """The metrics of two runs, the first of which wrote its rows twice."""
+    metrics = silver(spark, sf_dir).data_quality_log
+    path = scratch_dir(spark, "log")
+    store = Store(spark, path, f"log{path[-12:]}_")
+    for run in ("first", "second", "first"):
+        warehouse.keep_metrics(store, run, metrics)
+    log = store.read("silver", warehouse.LOG)
+    return plain(log.select("run_id", "log_id", "table_name", "issue_type", "issue_count", "issue_pct"))
+
+
 # Scalar functions over whole tables -----------------------------------------
 
 
@@ -289,6 +377,13 @@ def prep_extract(spark, sf_dir):
     return prep.extract_skins(fx.catalogue_texts(spark, sf_dir)).select(*prep.EXTRACTED)
 
 
+def prep_extract_files(spark, sf_dir):
+    """As :func:`prep_extract`, over files that hold many catalogues each and are read in pieces."""
+    path = scratch_dir(spark, "catalogues")
+    fx.catalogue_texts(spark, sf_dir).select("text").write.text(path)
+    return prep.extract_skins(prep.read_catalogues(spark, path)).select(*prep.EXTRACTED)
+
+
 def prep_extract_fallback(spark, sf_dir):
     return prep.extract_skins_fallback(fx.catalogue_texts(spark, sf_dir)).select(*prep.EXTRACTED)
 
@@ -436,6 +531,15 @@ def queries() -> dict[str, Query]:
         "gold_fk_breaks": gold_fk_breaks,
         "gold_rejected": gold_rejected,
         "constraint_policy_drop": constraint_policy_drop,
+        # stored
+        "stored_fact_sale": stored_fact_sale,
+        "stored_quarantine": stored_quarantine,
+        "stored_fact_sales": stored_fact_sales,
+        "stored_last6_months": stored_last6_months,
+        "stored_stamps": stored_stamps,
+        "log_history": log_history,
+        "view_catalog": view_catalog,
+        **{f"view_{name}": catalog_view(name) for name in views.VIEWS},
         "revenue_by_segment_month": _on(g, views.revenue_by_segment_month),
         "top_selling_skins": _on(g, views.top_selling_skins),
         "weekend_vs_weekday_sales": _on(g, views.weekend_vs_weekday_sales),
@@ -464,6 +568,7 @@ def queries() -> dict[str, Query]:
         "scalar_text": scalar_text,
         # source preparation
         "prep_extract": prep_extract,
+        "prep_extract_files": prep_extract_files,
         "prep_extract_fallback": prep_extract_fallback,
         "prep_dedup_filter": prep_dedup_filter,
         "page_links": page_links,
