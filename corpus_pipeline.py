@@ -7,6 +7,13 @@ tokens are decoded again to see that nothing was lost.
 
 Each stage takes what the one before kept. All but the last return the columns
 of ``documents``.
+
+Defined results: the operators state theirs, and the stages follow. Rows with a
+null id or text pass the filters (a null text has no n-grams, no near duplicates
+and no passages), are mixed with size 0 and end with no tokens. Rows that share an
+id are judged each by its own text, but are one document for near duplicates.
+Texts of any length are worked on whole. An empty table gives an empty result.
+Further columns are carried to the last stage, whatever their names.
 """
 
 from __future__ import annotations
