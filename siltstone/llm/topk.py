@@ -16,8 +16,10 @@ candidates in blocks, as asked for; no group grows with the table.
 Defined results: vectors that are null, empty or hold null or non-finite
 components take no part, nor do rows with a null id; only vectors of the same
 length are compared; rows that share a query's id are its own; repeated queries
-count once, repeated candidates each; ties go to the smaller id. Components
-beyond 2**28 after scaling count as that, so that scores fit into 64 bits.
+count once, repeated candidates each; ties go to the smaller id. Scores are
+exact whole numbers of any size on the way; only a score among a query's best
+that is no 64-bit number stops the query, as does a component whose scaled value
+is no double (from 2.8e306). Ids are 32 or 64 bit numbers, others are refused.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.vectors import best, matrix, packed
+from siltstone.llm.vectors import ID_KINDS, best, id_kind, matrix, packed
 from siltstone.runtime import durable
 
 BLOCK = 4096
@@ -36,30 +38,72 @@ QUERY_BLOCK = 1024
 FACTOR = 0.9
 #: Cosine from which coordinates prune, and how many of them.
 COORDINATES_FROM, COORDINATES = 0.8, 4
-LARGEST = float(1 << 28)
+#: Fixed value: the first number that is no signed 64-bit one.
+TOO_LONG = 1 << 63
+#: What doubles compare in place of even larger scores.
+FAR = 10**300
 
 
 def whole_numbers(scale: float):
-    return lambda x: np.clip(np.floor(scale * x), -LARGEST, LARGEST).astype(np.int64)
+    """Scaled and rounded down; a double holds the floor of a double exactly."""
+
+    def convert(x: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            scaled = np.floor(scale * x) + 0.0  # -0.0 is 0.0
+        if not np.isfinite(scaled).all():
+            raise ValueError("a scaled component is beyond the range of doubles")
+        return scaled
+
+    return convert
+
+
+def _norm(v: np.ndarray) -> float:
+    """The length, scaled on the way so that squares don't overflow; at most the largest double."""
+    largest = float(np.abs(v).max())
+    length = largest * float(np.sqrt(((v / largest) ** 2).sum())) if largest else 0.0
+    return min(length, float(np.finfo(np.float64).max))
 
 
 def _lengths(df: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
-            norms = [np.sqrt((np.frombuffer(v, np.int64).astype(float) ** 2).sum()) for v in batch.column(2).to_pylist()]
+            norms = [_norm(np.frombuffer(v, np.float64)) for v in batch.column(2).to_pylist()]
             yield pa.record_batch([*batch.columns, pa.array(norms, pa.float64())], [*batch.schema.names, "norm"])
 
     return df.mapInArrow(run, f"{df.schema.names[0]} {df.schema[0].dataType.simpleString()}, dim int, vec binary, norm double")
 
 
 def products(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Whole-number inner products; doubles hold them exactly where the sums fit."""
+    """Exact inner products of whole numbers: doubles or 64-bit numbers where every sum fits, else Python's."""
     if not len(queries) or not len(candidates):
         return np.zeros((len(queries), len(candidates)))
     bound = float(np.abs(queries).max()) * float(np.abs(candidates).max()) * queries.shape[1]
     if bound < 2.0**53:
-        return queries.astype(np.float64) @ candidates.astype(np.float64).T
-    return (queries @ candidates.T).astype(object)
+        return queries @ candidates.T
+    if bound < 2.0**62:
+        return queries.astype(np.int64) @ candidates.T.astype(np.int64)
+    # Mostly a few rows are large; the others are worked out as above.
+    out = np.empty((len(queries), len(candidates)), object)
+    large_q, large_c = (_larger(x, queries.shape[1]) for x in (queries, candidates))
+    small = products_of_small(queries[~large_q], candidates[~large_c])
+    out[np.ix_(~large_q, ~large_c)] = small
+    for rows, columns in ((large_q, np.ones(len(candidates), bool)), (~large_q, large_c)):
+        out[np.ix_(rows, columns)] = _integers(queries[rows]) @ _integers(candidates[columns]).T
+    return out
+
+
+def _larger(x: np.ndarray, dim: int) -> np.ndarray:
+    return np.abs(x).max(1) >= np.sqrt(2.0**61 / dim)
+
+
+def products_of_small(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
+    return (queries.astype(np.int64) @ candidates.T.astype(np.int64)).astype(object)
+
+
+def _integers(x: np.ndarray) -> np.ndarray:
+    out = np.empty(x.shape, object)
+    out[:] = [[int(v) for v in row] for row in x.tolist()] if x.size else out
+    return out
 
 
 def block_best(q_ids, q, q_norm, bound, c_ids, c, c_norm, k):
@@ -100,42 +144,54 @@ def _by_coordinates(unit: np.ndarray, cosine: float, c: np.ndarray, c_norm: np.n
 def _verified(rows, keep, q_ids, q, c_ids, c, k):
     scores = products(q[rows], c[keep])
     own = q_ids[rows][:, None] == c_ids[keep][None, :]
-    if scores.dtype == object:
-        out = [[], [], []]
-        for r, i in enumerate(rows.tolist()):
-            order = sorted((-scores[r, j], c_ids[keep[j]], keep[j]) for j in range(len(keep)) if not own[r, j])[:k]
-            for score, _, j in order:
-                out[0].append(i), out[1].append(int(j)), out[2].append(-score)
-        return np.array(out[0], int), np.array(out[1], int), np.array(out[2], dtype=np.int64)
-    scores = np.where(own, -np.inf, scores)
-    r, j = best(scores, k)
-    return rows[r], keep[j], scores[r, j].astype(np.int64)
+    if scores.dtype == np.float64:
+        scores = np.where(own, -np.inf, scores)
+        r, j = best(scores, k)
+        return rows[r], keep[j], scores[r, j].astype(np.int64)
+    # Doubles pick what may be among the k best, exact numbers decide.
+    near = np.where(own, -np.inf, np.clip(scores, -FAR, FAR).astype(np.float64))
+    out: tuple[list[int], list[int], list[int]] = ([], [], [])
+    for r, i in enumerate(rows.tolist()):
+        least = np.partition(near[r], -k)[-k] if near.shape[1] > k else -np.inf
+        some = np.flatnonzero((near[r] >= least - abs(least) * 1e-12) & ~own[r])
+        order = sorted((-int(scores[r, j]), c_ids[keep[j]], int(keep[j])) for j in some.tolist())[:k]
+        for score, _, j in order:
+            out[0].append(i), out[1].append(j), out[2].append(-score)
+    return np.array(out[0], np.int64), np.array(out[1], np.int64), np.array(out[2], object)
+
+
+def _as_long(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The scores, those beyond 64 bits cut, and which way they are beyond."""
+    if scores.dtype != object:
+        return scores, np.zeros(len(scores), np.int8)
+    beyond = np.array([(v >= TOO_LONG) - (v < -TOO_LONG) for v in scores], np.int8)
+    return np.array([min(max(int(v), -TOO_LONG), TOO_LONG - 1) for v in scores], np.int64), beyond
 
 
 def _meet(queries: DataFrame, candidates: DataFrame, keys: list[str], k: int, id_type: str) -> DataFrame:
     """Each query's k best of each block; both sides come by ``keys``."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = {"query_id": [], "vec_id": [], "score": []}
         if not left.num_rows or not right.num_rows:
-            return pa.table(empty, schema=out)
+            return out.empty_table()
         right = right.sort_by("vec_id")
-        q, c = matrix(left["vec"], np.int64), matrix(right["vec"], np.int64)
+        q, c = matrix(left["vec"], np.float64), matrix(right["vec"], np.float64)
         q_ids, c_ids = left["vec_id"].to_numpy(), right["vec_id"].to_numpy()
         parts = block_best(
             q_ids, q, left["norm"].to_numpy(), left["bound"].to_numpy(), c_ids, c, right["norm"].to_numpy(), k
         )
         if not parts:
-            return pa.table(empty, schema=out)
+            return out.empty_table()
         r, j, s = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pa.table({"query_id": q_ids[r], "vec_id": c_ids[j], "score": s}, schema=out)
+        score, beyond = _as_long(s)
+        return pa.table({"query_id": q_ids[r], "vec_id": c_ids[j], "score": score, "beyond": beyond}, schema=out)
 
-    kind = {"bigint": pa.int64(), "int": pa.int32()}[id_type]
-    out = pa.schema([("query_id", kind), ("vec_id", kind), ("score", pa.int64())])
+    kind = ID_KINDS[id_type]
+    out = pa.schema([("query_id", kind), ("vec_id", kind), ("score", pa.int64()), ("beyond", pa.int8())])
     return (
         queries.groupBy(*keys)
         .cogroup(candidates.groupBy(*keys))
-        .applyInArrow(run, f"query_id {id_type}, vec_id {id_type}, score long")
+        .applyInArrow(run, f"query_id {id_type}, vec_id {id_type}, score long, beyond byte")
     )
 
 
@@ -148,8 +204,8 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k best by floor(scale * x) vectors."""
     named = df.select(F.col(id_col).alias("vec_id"), F.col(vector).alias("embedding"))
+    id_type = id_kind(named, "vec_id")
     table = durable(_lengths(packed(named, whole_numbers(scale))), "vectors")
-    id_type = table.schema["vec_id"].dataType.simpleString()
     asked = table.where(is_query).dropDuplicates(["vec_id", "vec"])
     n_queries = F.lit(max(1, -(-asked.count() // QUERY_BLOCK)))
     queries = durable(asked.withColumn("qb", F.pmod(F.xxhash64("vec_id", "vec"), n_queries)), "queries")
@@ -179,7 +235,7 @@ def top_k(
     first = _meet(queries.withColumn("bound", F.lit(float("-inf"))), seeds, ["dim", "qb"], k, id_type)
     bounds = (
         first.groupBy("query_id")
-        .agg(F.sort_array(F.collect_list("score"), asc=False).alias("_scores"))
+        .agg(F.sort_array(F.collect_list(_comparable()), asc=False).alias("_scores"))
         .select("query_id", F.when(F.size("_scores") >= k, F.element_at("_scores", k)).cast("double").alias("bound"))
     )
     bounded = durable(
@@ -199,9 +255,14 @@ def top_k(
     found = _meet(
         bounded.join(pairs, ["dim", "qb"]), blocks.join(pairs, ["dim", "bucket", "part"]), keys, k, id_type
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id").orderBy(F.desc("beyond"), F.desc("score"), "vec_id")
+    whole = F.when(F.col("beyond") == 0, F.col("score")).otherwise(F.raise_error(F.lit("a score is no 64-bit number")))
     return (
         found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .select("query_id", "rank", "vec_id", whole.cast("long").alias("score"))
     )
+
+
+def _comparable() -> Column:
+    return F.when(F.col("beyond") < 0, F.lit(float("-inf"))).otherwise(F.col("score").cast("double"))

@@ -13,6 +13,17 @@ from pyspark.sql import types as T
 BATCH_ROWS = "2048"
 
 
+ID_KINDS = {"bigint": pa.int64(), "int": pa.int32()}
+
+
+def id_kind(df: DataFrame, id_col: str) -> str:
+    """The type of the ids, which searches return and break ties by."""
+    kind = df.schema[id_col].dataType.simpleString()
+    if kind not in ID_KINDS:
+        raise TypeError(f"ids must be of type {' or '.join(ID_KINDS)}, {id_col} is {kind}")
+    return kind
+
+
 def narrow_batches(spark: SparkSession) -> None:
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(name)) <= 0 or int(spark.conf.get(name)) > int(BATCH_ROWS):
