@@ -305,13 +305,36 @@ def groups(docs: DataFrame, near: Near, id_col: str = "doc_id", text: str = "tex
         _across(members, components(links), classes, texts, near).join(tried, ["a", "b"], "left_anti"), "pairs"
     )
     links = durable(links.union(confirmed(rest, texts, near)).distinct(), "links")
-    found = components(links).withColumnRenamed("node", "_id")
+    joined = links.select("a", "b").union(_same_id(sets, classes, id_col))
+    found = components(joined).withColumnRenamed("node", "_id")
     named_groups = classes.join(found, "_id", "left").select(
         "_d1", "_d2", F.coalesce("component", "_id").alias("component")
     )
     return Groups(sets, links, named_groups)
 
 
+def _same_id(sets: DataFrame, classes: DataFrame, id_col: str) -> DataFrame:
+    """(a, b) that tie the sets of one id together, each named by its class.
+
+    Rows that share an id are one document, whatever their texts: it belongs to
+    one group. Few ids have several sets, and only theirs meet the classes.
+    """
+    held = sets.where(F.col("_count") > 0)
+    several = (
+        held.groupBy(F.col(id_col).alias("_several"))
+        .agg(F.min(F.struct("_d1", "_d2")).alias("_low"), F.max(F.struct("_d1", "_d2")).alias("_high"))
+        .where(F.col("_low") != F.col("_high"))
+    )
+    return (
+        held.join(several, F.col(id_col) == F.col("_several"))
+        .select("_several", "_d1", "_d2")
+        .distinct()
+        .join(classes.select("_d1", "_d2", "_id"), ["_d1", "_d2"])
+        .select(F.least("_several", "_id").alias("a"), F.greatest("_several", "_id").alias("b"))
+        .where(F.col("a") != F.col("b"))
+    )
+
+
 def _across(
     members: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, near: Near
 ) -> DataFrame:
