@@ -9,16 +9,20 @@ n-grams of the log ratio of target to raw counts. Counts are smoothed with
 Documents are drawn without replacement by Gumbel top-k: a standard Gumbel
 number, made from a hash of the id, is added to the weight, and the k largest
 sums stay. k is the number of documents that the weights call good: a cut on
-the weight is set on labelled documents that took no part in the target model,
-as low as loses at most ``LOST`` of the good ones.
+the weight is set on labelled documents of both kinds that took no part in the
+target model, where the shares of good ones lost and bad ones kept are least
+together, and at most ``LOST`` of the good ones are lost.
 
 Only the labelled sample is bounded (``LABELLED`` documents a label, those of the
 smallest hashes); it is small enough to be broadcast, so texts aren't shuffled.
 Models have ``BUCKETS`` numbers, whatever the corpus; each task adds up its own.
 
-Defined results: a null or empty text has no n-grams and weight 0; rows with a
-null id get the noise of an empty id; repeated rows are drawn alike; without
-labels of either kind every document stays.
+Defined results: a null or empty text has no n-grams and weight 0, a text of any
+length is a block of its own at most; rows are drawn one by one, whatever other
+rows share their id, and rows with a null id get the noise of an empty one; rows
+that tie with the last one drawn are drawn, too, so copies of a row are drawn
+alike; without held-out labels of either kind, and from an empty table, every
+document stays. Other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -45,7 +49,8 @@ for _part in (slice(0x30, 0x3A), slice(0x41, 0x5B), slice(0x61, 0x7B), slice(0x8
 BUCKETS = 1 << 15
 PRIOR = 50.0
 LABELLED = 10_000
-LOST = 0.001
+#: Share of the labelled good documents that the cut may lose.
+LOST = 0.01
 
 
 def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,27 +122,20 @@ def log_ratios(counted: DataFrame) -> np.ndarray:
     return np.log((target + PRIOR) / (expected + PRIOR))
 
 
-def weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, log_weight, n_grams) of every row."""
+def weights(docs: DataFrame, ratios: np.ndarray, text: str = "text") -> DataFrame:
+    """``docs`` with the weight of each row in front of its columns, which go by number: (_w, _0, _1, ...)."""
     model = docs.sparkSession.sparkContext.broadcast(ratios)
+    names = [f"_{i}" for i in range(len(docs.columns))]
 
     def run(block: Block) -> pa.RecordBatch:
         rows, found = ngrams(block.data, block.offsets)
         # Without any n-gram the sums would be whole numbers.
         sums = np.bincount(rows, weights=model.value[found], minlength=len(block)).astype(np.float64)
-        sizes = np.bincount(rows, minlength=len(block))
-        return pa.record_batch(
-            [block.rows.column(0), pa.array(sums), pa.array(sizes)], [id_col, "log_weight", "n_grams"]
-        )
+        return pa.record_batch([pa.array(sums), *block.rows.columns], ["_w", *names])
 
-    schema = T.StructType(
-        [
-            T.StructField(id_col, docs.schema[id_col].dataType),
-            T.StructField("log_weight", T.DoubleType()),
-            T.StructField("n_grams", T.LongType()),
-        ]
-    )
-    return map_blocks(docs.select(id_col, text), run, schema, text)
+    fields = [T.StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields, strict=True)]
+    schema = T.StructType([T.StructField("_w", T.DoubleType()), *fields])
+    return map_blocks(docs.toDF(*names), run, schema, names[docs.columns.index(text)])
 
 
 def labelled_sample(labels: DataFrame, id_col: str = "doc_id", quality: str = "quality") -> DataFrame:
@@ -159,36 +157,66 @@ def gumbel(id_col: Column) -> Column:
     return -F.log(-F.log(uniform))
 
 
-def scored(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
-    """Stored weights of all documents, and the cut."""
+def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
+    """The weight from which documents count as good: least shares of good below and bad above.
+
+    Cuts lie halfway between neighbouring weights. Of equal ones the lowest is
+    taken, and none that loses more than ``LOST`` of the good ones.
+    """
+    if not len(good) or not len(bad):
+        return float("-inf")
+    values = np.unique(np.concatenate([good, bad]))
+    cuts = np.append(-np.inf, (values[1:] + values[:-1]) / 2)
+    lost = np.searchsorted(np.sort(good), cuts) / len(good)
+    kept = 1 - np.searchsorted(np.sort(bad), cuts) / len(bad)
+    return float(cuts[np.argmin(np.where(lost <= LOST, lost + kept, np.inf))])
+
+
+def model(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, DataFrame, float]:
+    """The log ratios, the stored (doc_id, log_weight) of all rows, and the cut."""
     sample = durable(labelled_sample(labels), "labelled")
     target = sample.where(F.col("good") & F.col("fits")).select("doc_id", F.lit(True).alias("_target"))
     marked = docs.select("doc_id", "text").join(F.broadcast(target), "doc_id", "left")
     ratios = log_ratios(counts(marked.select("text", F.coalesce("_target", F.lit(False)).alias("_target")), "_target"))
-    found = durable(weights(docs, ratios), "weights")
-    # At most 2 * LABELLED rows.
-    held = found.join(F.broadcast(sample.where(~F.col("fits"))), "doc_id").select("log_weight", "good").toPandas()
-    good, bad = held.log_weight[held.good], held.log_weight[~held.good]
-    if not len(good) or not len(bad):
-        return found, float("-inf")
-    return found, float(np.quantile(good, LOST, method="lower"))
+    weighed = weights(docs.select("doc_id", "text"), ratios)
+    found = durable(weighed.select(F.col("_0").alias("doc_id"), F.col("_w").alias("log_weight")), "weights")
+    # At most 2 * LABELLED rows: an id counts once, with its lowest weight.
+    held = (
+        found.join(F.broadcast(sample.where(~F.col("fits"))), "doc_id")
+        .groupBy("doc_id", "good")
+        .agg(F.min("log_weight").alias("log_weight"))
+        .toPandas()
+    )
+    good = held.good.astype(bool)
+    return ratios, found, best_cut(held.log_weight[good].to_numpy(), held.log_weight[~good].to_numpy())
+
+
+def key(log_weight: Column, id_col: Column) -> Column:
+    return log_weight + gumbel(id_col)
 
 
-def _ranked(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int]:
-    found, cut = scored(docs, labels)
-    keyed = found.withColumn("key", F.col("log_weight") + gumbel(F.col("doc_id")))
+def least_key(found: DataFrame, cut: float) -> float:
+    """The k-th largest key, where k rows reach the cut; all keys if that is as many as there are."""
     k = found.where(F.col("log_weight") >= cut).count()
-    return dense_index(keyed, [F.col("key").desc(), F.col("doc_id")], "_rank"), k
+    if not k:
+        return float("inf")
+    keyed = found.select(key(F.col("log_weight"), F.col("doc_id")).alias("key"), "doc_id")
+    # Rows of one key are told apart, so that a large group of copies splits.
+    order = [F.col("key").desc(), "doc_id", F.monotonically_increasing_id()]
+    return dense_index(keyed, order, "_rank").where(F.col("_rank") == k).first()["key"]
 
 
 def resample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, log_weight, key) of the documents drawn."""
-    ranked, k = _ranked(docs, labels)
-    return ranked.where(F.col("_rank") <= k).select("doc_id", "log_weight", "key")
+    """(doc_id, log_weight, key) of the rows drawn."""
+    _, found, cut = model(docs, labels)
+    least = least_key(found, cut)
+    return found.withColumn("key", key(F.col("log_weight"), F.col("doc_id"))).where(F.col("key") >= least)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents that weren't drawn."""
-    ranked, k = _ranked(docs, labels)
-    out = ranked.where(F.col("_rank") > k).select("doc_id").distinct()
-    return docs.join(out, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the rows that weren't drawn."""
+    ratios, found, cut = model(docs, labels)
+    least = least_key(found, cut)
+    weighed = weights(docs, ratios)
+    id_col = F.col(f"_{docs.columns.index('doc_id')}")
+    return weighed.where(key(F.col("_w"), id_col) >= least).drop("_w").toDF(*docs.columns)
