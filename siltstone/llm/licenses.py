@@ -6,7 +6,9 @@ length give the longest run of words, ending there, that occurs in any template
 (the matching statistics). Runs that can't be made longer are matches. Those of
 ``SHORTEST`` words or more are chained for each template: matches in the same
 order in text and template, with at most ``GAP`` words between them, cover a
-span. A chain that covers enough of its template labels the text.
+span. A chain that covers enough of its template labels the text, unless it lies
+within a span of another label that covers more words (a notice of the LGPL holds
+nearly all of one of the GPL).
 
 Base phrases are templates that must match whole; every place counts. They are
 read off the same states: a state knows the phrases that end there.
@@ -15,12 +17,17 @@ The words of a text are its runs of digits, letters (A-Z in lower case) and
 non-ASCII characters. Words of no template reset the automaton, so streaming
 takes constant memory beyond the words themselves.
 
-Defined results: null and empty texts have no words, no labels and score 0;
-repeated rows each get their row.
+Chains are kept for as long as their template, and those chosen are found by
+bisection, so the work grows with the words, also of very long and repetitive
+texts. Defined results: null and empty texts have no words, no labels and score
+0; repeated rows, also with null ids, each get their row; of equal chains the
+first one stays; an empty table has an empty result; columns other than the id
+and the text aren't read.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right, insort
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -56,13 +63,66 @@ TEMPLATES = (
         "this program is free software you can redistribute it and or modify it under the terms of the gnu "
         "general public license as published by the free software foundation",
     ),
+    (
+        "gpl",
+        "this program is distributed in the hope that it will be useful but without any warranty without even the "
+        "implied warranty of merchantability or fitness for a particular purpose see the gnu general public license "
+        "for more details",
+    ),
+    (
+        "lgpl",
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as "
+        "published by the free software foundation",
+    ),
+    (
+        "agpl",
+        "you can redistribute it and or modify it under the terms of the gnu affero general public license as "
+        "published by the free software foundation",
+    ),
+    (
+        "mpl-2.0",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was "
+        "not distributed with this file you can obtain one at",
+    ),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify "
+        "publish use compile sell or distribute this software",
+    ),
+    (
+        "cc0-1.0",
+        "to the extent possible under law the author has waived all copyright and related or neighboring rights to "
+        "this work",
+    ),
+    ("bsl-1.0", "distributed under the boost software license version 1 0"),
+    (
+        "mit",
+        "the above copyright notice and this permission notice shall be included in all copies or substantial "
+        "portions of the software",
+    ),
+    (
+        "apache-2.0",
+        "unless required by applicable law or agreed to in writing software distributed under the license is "
+        "distributed on an as is basis without warranties or conditions of any kind either express or implied",
+    ),
     ("cc-by-nc-4.0", "licensed under cc by nc 4 0"),
     ("cc-by-4.0", "licensed under a creative commons attribution 4 0 international license"),
+    ("cc-by-sa-4.0", "licensed under a creative commons attribution sharealike 4 0 international license"),
     (
         "bsd",
         "redistribution and use in source and binary forms with or without modification are permitted provided "
         "that the following conditions are met",
     ),
+    (
+        "bsd-3-clause",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission",
+    ),
 )
 
 _WORD_BYTES = bytes(
@@ -133,12 +193,13 @@ class Automaton:
 
 @dataclass(frozen=True)
 class Span:
-    """A chain of matches: words first:last of the text, and the template's share covered."""
+    """A chain of matches: words first:last of the text, and how much of the template it covers."""
 
     label: str
     first: int
     last: int
     covered: float
+    words: int
 
 
 class Scanner:
@@ -226,9 +287,8 @@ class Scanner:
                     if near and at < end and cut < length and covered + length - cut > best[3]:
                         best = (first, last, end, covered + length - cut)
                 open_[n] = [c for c in chains if last - c[1] <= GAP + self.sizes[n]] + [best]
-                share = best[3] / self.sizes[n]
-                if share > 0:
-                    spans.append(Span(self.labels[n], best[0], best[1], min(1.0, share)))
+                share = min(1.0, best[3] / self.sizes[n])
+                spans.append(Span(self.labels[n], best[0], best[1], share, best[3]))
         return spans
 
 
@@ -241,7 +301,8 @@ def _document(s: Scanner, data: bytes) -> tuple:
     words = text_words(data)
     places, spans = s.scan(words)
     base = sorted({s.labels[n] for n, _ in places})
-    labels = sorted({*base, *(x.label for x in spans if x.covered >= COVERED)})
+    chosen = best_spans(spans)
+    labels = sorted({*base, *(x["label"] for x in chosen)})
     starts = [first for _, first in places]
     score = 1.0 if places else max((x.covered for x in spans), default=0.0)
     return (
@@ -252,19 +313,34 @@ def _document(s: Scanner, data: bytes) -> tuple:
         ",".join(base),
         ",".join(labels),
         score,
-        best_spans(spans),
+        chosen,
     )
 
 
 def best_spans(spans: list[Span]) -> list[dict]:
-    """Of spans that overlap under one label, the one that covers most."""
-    chosen: list[Span] = []
+    """Of spans that overlap under one label the one that covers most, but none within a larger one of another."""
+    # Chosen spans of a label don't overlap, so only the neighbours of a place matter.
+    chosen: dict[str, list[tuple[int, int]]] = {}
+    by_place: dict[tuple[str, int], Span] = {}
     for x in sorted((x for x in spans if x.covered >= COVERED), key=lambda x: (-x.covered, x.first, x.last, x.label)):
-        if all(x.label != c.label or x.last <= c.first or c.last <= x.first for c in chosen):
-            chosen.append(x)
+        taken = chosen.setdefault(x.label, [])
+        at = bisect_left(taken, (x.first, x.last))
+        if (at == 0 or taken[at - 1][1] <= x.first) and (at == len(taken) or x.last <= taken[at][0]):
+            insort(taken, (x.first, x.last))
+            by_place[x.label, x.first] = x
+
+    def within_another(x: Span) -> bool:
+        for label, taken in chosen.items():
+            at = bisect_right(taken, (x.first, float("inf"))) - 1
+            if label != x.label and at >= 0 and taken[at][1] >= x.last:
+                if by_place[label, taken[at][0]].words > x.words:
+                    return True
+        return False
+
     return [
         {"label": x.label, "first_word": x.first, "last_word": x.last - 1, "covered": x.covered}
-        for x in sorted(chosen, key=lambda x: (x.first, x.label))
+        for x in sorted(by_place.values(), key=lambda x: (x.first, x.label))
+        if not within_another(x)
     ]
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -203,6 +204,88 @@ def test_licenses_by_hand(spark):
     assert [(s.label, s.first_word, s.last_word) for s in got[6].spans] == [("cc-by-nc-4.0", 0, 6)]
 
 
+def base_by_hand(text):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(lower))
+    places = []
+    for phrase, label in licenses.BASE.items():
+        parts = phrase.split()
+        places += [(i, label) for i in range(len(words)) if words[i : i + len(parts)] == parts]
+    starts = [i for i, _ in places]
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places}))
+
+
+@settings(max_examples=150, deadline=None)
+@given(
+    st.lists(
+        st.sampled_from(["MIT", "mit", "License", "license", "apache", "General", "public", "gnu", "ünd", "the", "7", "\x00"]),
+        max_size=40,
+    ),
+    st.sampled_from([" ", "-", "\n", ", ", "\x7f", "/"]),
+)
+def test_base_places_are_those_of_brute_force(words, between):
+    text = between.join(words)
+    row = licenses._document(licenses.scanner(), text.encode())
+    assert row[:5] == base_by_hand(text)
+    assert set(filter(None, row[4].split(","))) <= set(row[5].split(",")) and 0 <= row[6] <= 1
+    assert row[6] == 1.0 or not row[1]
+
+
+def test_scan_of_documents_is_that_of_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    found = licenses.scan(docs).collect()
+    assert len(found) == len(texts) and any(r.n_base for r in found)
+    for r in found:
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == base_by_hand(texts[r.doc_id])
+
+
+def test_every_template_gets_its_label():
+    for label, text in licenses.TEMPLATES:
+        shouted = "Copyright 2020. " + text.upper() + "; the rest follows"
+        row = licenses._document(licenses.scanner(), shouted.encode())
+        assert label in row[5].split(","), text
+        span = next(s for s in row[7] if s["label"] == label)
+        assert (span["first_word"], span["last_word"], span["covered"]) == (2, 1 + len(text.split()), 1.0)
+
+
+def test_the_larger_notice_labels():
+    texts = dict((label, text) for label, text in licenses.TEMPLATES if label in ("lgpl", "agpl", "cc-by-sa-4.0"))
+    labels = {k: set(licenses._document(licenses.scanner(), t.encode())[5].split(",")) for k, t in texts.items()}
+    assert labels == {"lgpl": {"lgpl", "gpl"}, "agpl": {"agpl", "gpl"}, "cc-by-sa-4.0": {"cc-by-sa-4.0"}}  # gpl: a base phrase
+
+
+def naive_best(spans):
+    chosen = []
+    for x in sorted((x for x in spans if x.covered >= licenses.COVERED), key=lambda x: (-x.covered, x.first, x.last, x.label)):
+        if all(x.label != c.label or x.last <= c.first or c.last <= x.first for c in chosen):
+            chosen.append(x)
+    stays = [
+        x
+        for x in chosen
+        if not any(c.label != x.label and c.first <= x.first and x.last <= c.last and c.words > x.words for c in chosen)
+    ]
+    return [(x.label, x.first, x.last - 1) for x in sorted(stays, key=lambda x: (x.first, x.label))]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 30), st.integers(1, 9), st.sampled_from([0.5, 0.8, 1.0]), st.integers(1, 9)), max_size=25))
+def test_chosen_spans(found):
+    spans = [licenses.Span(label, first, first + size, covered, words) for label, first, size, covered, words in found]
+    assert [(b["label"], b["first_word"], b["last_word"]) for b in licenses.best_spans(spans)] == naive_best(spans)
+
+
+def test_a_long_repetitive_text_takes_time_in_proportion():
+    notice = "released under the MIT license. "
+    seconds = []
+    for size in (1 << 19, 1 << 21):
+        began = time.process_time()
+        row = licenses._document(licenses.scanner(), (notice * (size // len(notice))).encode())
+        seconds.append(time.process_time() - began)
+        assert row[1] == size // len(notice) and row[5] == "mit" and len(row[7]) == size // len(notice)
+    assert seconds[1] < 8 * seconds[0] and seconds[1] < 20
+
+
 def test_changed_notice_is_chained():
     text = "Redistribution and use in source and binary forms, with changes or without modification, are permitted provided that the following conditions hold"
     words = licenses.text_words(text.encode())
