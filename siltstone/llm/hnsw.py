@@ -34,15 +34,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.shingles import stream
-from siltstone.llm.vectors import matrix, packed
+from siltstone.llm.vectors import ID_KINDS, id_kind, matrix, packed
 from siltstone.runtime import durable
 
-SHARD = 16384
+SHARD = 8192
 QUERY_BLOCK = 2048
 #: Links of a node in upper layers; layer 0 has twice as many.
 WIDTH = 16
 #: Beam of a search while building, and for queries.
-EF_BUILD, EF_SEARCH = 80, 200
+EF_BUILD, EF_SEARCH = 200, 400
 #: Nodes that enter at once, and beam entries expanded at once.
 BATCH, AT_ONCE = 128, 4
 
@@ -207,9 +207,6 @@ def search(graph: Graph, queries: np.ndarray, beam: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-_KINDS = {"bigint": pa.int64(), "int": pa.int32()}
-
-
 def distinct(table: DataFrame, k: int) -> DataFrame:
     """(dim, vec, ids, copies): each vector's k + 1 smallest ids, ascending, and how many rows have them."""
     rows = table.groupBy("dim", "vec", "vec_id").agg(F.count(F.lit(1)).alias("_rows"))
@@ -225,7 +222,9 @@ def distinct(table: DataFrame, k: int) -> DataFrame:
 
 def index(table: DataFrame, shard_rows: int = SHARD) -> DataFrame:
     """One row for each shard of ``distinct`` vectors: ids and copies end to end, sizes, vectors and layers."""
-    sizes = table.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("_shards"))
+    sizes = durable(table.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("_shards")), "sizes")
+    # A task for each shard: they are few bytes and much work, so sizes must not merge them.
+    tasks = max(1, sizes.agg(F.sum("_shards")).first()[0] or 0)
     dealt = (
         table.withColumn("_row", F.monotonically_increasing_id())
         .join(sizes, "dim")
@@ -260,7 +259,7 @@ def index(table: DataFrame, shard_rows: int = SHARD) -> DataFrame:
             ),
         )
 
-    return dealt.groupBy("dim", "shard").applyInArrow(
+    return dealt.repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInArrow(
         run,
         "dim int, shard long, ids binary, copies binary, sizes binary, vectors binary, layers array<binary>",
     )
@@ -301,16 +300,15 @@ def nearest(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest found."""
     named = df.select(F.col(id_col).alias("vec_id"), F.col(vector).alias("embedding"))
+    kind = id_kind(named, "vec_id")
     table = durable(packed(named, lambda x: x + 0.0, zero=False), "vectors")  # -0.0 is 0.0
-    kind = table.schema["vec_id"].dataType.simpleString()
-    assert kind in _KINDS
     shards = durable(index(durable(distinct(table, k), "distinct"), shard_rows), "shards")
     asked = durable(table.where(is_query).dropDuplicates(["vec_id", "vec"]), "queries")
     blocks = F.lit(max(1, -(-asked.count() // QUERY_BLOCK)))
     queries = asked.withColumn("qb", F.pmod(F.xxhash64("vec_id", "vec"), blocks).cast("long"))
     places = shards.select("dim", (F.col("shard") + 0).alias("shard"))
     every_block = F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1))
-    out = pa.schema([("query_id", _KINDS[kind]), ("vec_id", _KINDS[kind]), ("score", pa.float64())])
+    out = pa.schema([("query_id", ID_KINDS[kind]), ("vec_id", ID_KINDS[kind]), ("score", pa.float64())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:

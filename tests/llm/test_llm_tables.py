@@ -1,5 +1,6 @@
 """Sharding, mixing, near duplicates, passages, quality and searches against brute force."""
 
+import itertools
 import math
 import random
 import re
@@ -218,6 +219,28 @@ def test_near_duplicates_stored_twice_in_mixed_buckets(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == want
 
 
+def test_rows_of_one_id_are_one_document(spark):
+    """Unlike texts under one id, some of them linked to others: one component for the id, a text of it stays."""
+    rng = random.Random(10)
+    a, b, c, d, e = (prose(rng, 80) for _ in range(5))
+    rows = [(3, a), (7, a), (7, b), (9, b), (11, c), (20, d), (15, d), (15, e), (16, e), (15, c + " end"), (30, ""), (30, a)]
+    rows += [(40 + i, prose(rng, 30)) for i in range(5)] + [(2, None), (2, None), (42, prose(rng, 30))]
+    named = [(f"{k:02}", text) for k, (_, text) in enumerate(rows)]
+    near = minhash.Near(3, 85)
+    of_text = grouped(named, near)
+    edges = [(i, j) for k, (i, t) in enumerate(rows) for m, (j, u) in enumerate(rows) if t and u and of_text[f"{k:02}"][1] == of_text[f"{m:02}"][1] and i != j]
+    labels = joined(edges)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs, near).collect())
+    want = [
+        (i, of_text[f"{k:02}"][0], labels.get(i, i) if text else i) for k, (i, text) in enumerate(rows)
+    ]
+    assert found == sorted(want)
+    assert labels[7] == labels[9] == labels[30] == 3 and labels[20] == labels[16] == 11
+    stays = {r.doc_id for r in minhash.keep_one(docs, near).collect()}
+    assert stays == {i for i, _ in rows} - {i for i in labels if labels[i] != i}
+
+
 def test_pigeonhole_finds_every_signature_within_the_distance(spark):
     """All pairs within the distance share a key, whatever symbols differ."""
     near, rng = minhash.Near(3, 85), np.random.default_rng(9)
@@ -308,6 +331,89 @@ def test_classifier_on_held_out_labels(spark):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == drawn and kept.columns == docs.columns
 
 
+def gram_counts(text):
+    """Hashed n-grams of one text, as the library cuts and hashes them."""
+    raw = np.frombuffer((text or "").encode(), np.uint8)
+    return np.bincount(quality.ngrams(raw, np.array([0, len(raw)]))[1], minlength=quality.BUCKETS)
+
+
+def test_ngrams_are_tokens_and_pairs():
+    def buckets(text):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return sorted(quality.ngrams(raw, np.array([0, len(raw)]))[1].tolist())
+
+    single = {w: buckets(w)[0] for w in ("ab", "cd", ",", "ünd", "7x")}
+    got = buckets("ab, cd\tünd 7x ab")
+    assert len(got) == 6 + 5
+    for word, times in (("ab", 2), ("cd", 1), (",", 1), ("ünd", 1), ("7x", 1)):
+        assert got.count(single[word]) >= times
+    pair = {single["ab"], single["cd"]}
+    assert len(set(buckets("ab cd")) - pair) == 1 and buckets("ab cd") != buckets("cd ab")
+    assert set(buckets("ab ab")) - pair == set(buckets("cd cd")) - pair
+
+
+def test_resampling_is_that_of_brute_force(spark):
+    """Weights, noise, cut and top-k by hand; rows that share ids or have none are drawn one by one."""
+    rng = random.Random(21)
+    good_words, bad_words = [f"good{i}" for i in range(40)], [f"bad{i}" for i in range(40)]
+    rows = []
+    for i in range(400):
+        words = good_words if i % 3 else bad_words
+        rows.append((i, " ".join(rng.choice(words if rng.random() < 0.8 else good_words + bad_words) for _ in range(30))))
+    rows += [(None, rows[3][1])] * 5 + [(None, rows[4][1])] * 5 + [(7, rows[6][1]), (6, rows[7][1]), (9, rows[9][1]), (8, None)]
+    rows += [(50, rows[51][1]), (51, rows[50][1])]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, _w string").repartition(3)
+    known = [(i, int(i % 3 > 0)) for i in range(0, 300)] + [(7, None), (None, 1)]
+    labels = spark.createDataFrame(known, "doc_id long, quality int")
+
+    sample = {r.doc_id: r for r in quality.labelled_sample(labels).collect()}
+    assert set(sample) == set(range(300)) and all(r.good == (r.doc_id % 3 > 0) for r in sample.values())
+    raw = sum(gram_counts(t) for _, t in rows)
+    target = sum(gram_counts(t) for i, t in rows if i in sample and sample[i].good and sample[i].fits)
+    expected = raw * (target.sum() / raw.sum())
+    ratios = np.log((target + quality.PRIOR) / (expected + quality.PRIOR))
+    weight = [float((gram_counts(t) * ratios).sum()) for _, t in rows]
+    held = {}
+    for (i, _), w in zip(rows, weight, strict=True):
+        if i in sample and not sample[i].fits:
+            held[i] = min(w, held.get(i, w))
+    good, bad = ([w for i, w in held.items() if sample[i].good is kind] for kind in (True, False))
+    cuts = [-math.inf, *[(a + b) / 2 for a, b in itertools.pairwise(sorted({*good, *bad}))]]
+    errors = {
+        c: sum(w < c for w in good) / len(good) + sum(w >= c for w in bad) / len(bad)
+        for c in cuts
+        if sum(w < c for w in good) <= quality.LOST * len(good)
+    }
+    cut = min(c for c in errors if errors[c] == min(errors.values()))
+    noise = {r.doc_id: r.n for r in docs.select("doc_id", quality.gumbel(F.col("doc_id")).alias("n")).collect()}
+    keys = [w + noise[i] for (i, _), w in zip(rows, weight, strict=True)]
+    k = sum(w >= cut for w in weight)
+    least = sorted(keys, reverse=True)[k - 1]
+    want = sorted(((r, key) for r, key in zip(rows, keys, strict=True) if key >= least - 1e-9), key=repr)
+    assert 0 < len(want) < len(rows)
+
+    drawn = sorted((r.doc_id, round(r.key, 6)) for r in quality.resample(docs, labels).where("doc_id >= 0").collect())
+    assert drawn == sorted((i, round(key, 6)) for (i, _), key in want if i is not None)
+    kept = quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted((r for r, _ in want), key=repr)
+
+
+def test_noise_is_gumbels(spark):
+    noise = spark.range(20_000).agg(F.avg(quality.gumbel(F.col("id"))), F.var_samp(quality.gumbel(F.col("id")))).first()
+    assert noise[0] == pytest.approx(0.5772, abs=0.03) and noise[1] == pytest.approx(math.pi**2 / 6, abs=0.08)
+
+
+def test_cuts():
+    good, bad = np.array([5.0, 6.0, 7.0] * 100), np.array([1.0, 2.0] * 100)
+    assert quality.best_cut(good, bad) == 3.5
+    # One good document in 300 that weighs like a bad one doesn't drag the cut down; bad ones have a say.
+    assert quality.best_cut(np.append(good, -9.0), bad) == 3.5
+    assert quality.best_cut(np.append(good, [-9.0] * 100), bad) < -9
+    assert quality.best_cut(good, np.append(bad, 6.5)) == 3.5
+    assert quality.best_cut(good, np.array([])) == quality.best_cut(np.array([]), bad) == -math.inf
+
+
 # Searches -----------------------------------------------------------------------
 
 
@@ -357,6 +463,62 @@ def test_exact_search(spark, kind, monkeypatch):
     assert got == {i: w for i, w in want.items() if w}
 
 
+def test_exact_search_of_large_numbers(spark):
+    """Beyond 2**28, beyond 2**53, and scores next to 2**63: all exact, in one block and over several."""
+    rows = [
+        (20, [1e7, 1.0], 0),
+        (1, [1.0, 2.0], 0),
+        (2, [2.0, 1.0], 0),
+        (40, [2.0**25, 1.0], 0),
+        (3, [2.0**25 - 1, 0.0], 0),
+        (4, [-(2.0**25), 63 / 64], 0),
+        (60, [0.0, 1e290], 0),
+        (5, [1.0, 0.0], 0),
+    ]
+    doubles = spark.createDataFrame([r[:2] for r in rows], "vec_id long, embedding array<double>")
+
+    def wanted(k):
+        whole = {i: [math.floor(64 * x) for x in v] for i, v, _ in rows}
+        out = {}
+        for i in (20, 40):
+            scores = sorted((-sum(map(int.__mul__, whole[i], v)), j) for j, v in whole.items() if j not in (i, 60))
+            out[i] = [(j, -s) for s, j in scores[:k]]
+        return out
+
+    def found(df, k):
+        got = {}
+        for r in topk.top_k(df, F.col("vec_id").isin(20, 40), k=k).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        return got
+
+    small = doubles.where("vec_id <> 60")
+    assert found(small, 6) == wanted(6)
+    assert dict(found(small, 6)[20])[1] == 64 * 64 * 10**7 + 64 * 128
+    # A score beyond 64 bits stops the query if it is among the best, and only then.
+    with pytest.raises(Exception, match="no 64-bit number"):
+        found(doubles, 2)
+    low = small.union(spark.createDataFrame([(9, [-1e200, 0.0])], small.schema))
+    assert found(low, 5) == wanted(5)
+    with pytest.raises(Exception, match="beyond the range of doubles"):
+        found(small.union(spark.createDataFrame([(9, [1e307, 0.0])], small.schema)), 2)
+
+
+def test_products_of_any_size():
+    rng = np.random.default_rng(3)
+    for power in (3, 27, 31, 40, 70):
+        q = np.floor(rng.normal(size=(5, 3)) * 2.0**power)
+        c = np.floor(rng.normal(size=(7, 3)) * 2.0 ** rng.integers(0, power, (7, 1)))
+        want = [[sum(int(a) * int(b) for a, b in zip(x, y, strict=True)) for y in c] for x in q]
+        assert [[int(v) for v in row] for row in topk.products(q, c)] == want
+
+
+def test_searches_refuse_other_ids(spark):
+    named = spark.createDataFrame([("a", [1.0])], "vec_id string, embedding array<double>")
+    for search in (topk.top_k, hnsw.nearest):
+        with pytest.raises(TypeError, match="ids must be of type bigint or int"):
+            search(named, F.lit(True))
+
+
 def test_coordinate_pruning_loses_nothing():
     rng = np.random.default_rng(13)
     c = rng.integers(-50, 50, (500, 6))
@@ -367,6 +529,35 @@ def test_coordinate_pruning_loses_nothing():
         assert set(near) <= set(topk._by_coordinates(q, cosine, c, norm))
 
 
+def test_recall_of_full_shards(spark):
+    """A full shard each of vectors of one length, of spread lengths, and with copies in a third of the rows."""
+    rng = np.random.default_rng(16)
+    n = hnsw.SHARD
+    kinds = {}
+    for dim in (64, 65, 66):
+        x = rng.normal(size=(n, dim)).astype(np.float32)
+        if dim == 65:
+            x *= np.exp(rng.normal(size=(n, 1)) / 2).astype(np.float32)
+        elif dim == 66:
+            x[::3] = x[0]
+        kinds[dim] = x
+    ids = {dim: 10_000_000 * k + np.arange(n) for k, dim in enumerate(kinds)}
+    rows = [(int(i), v.tolist()) for dim, x in kinds.items() for i, v in zip(ids[dim], x, strict=True)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(8)
+    got = {}
+    for r in hnsw.nearest(table, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, []).append(r.score)
+    for dim, x in kinds.items():
+        x = x.astype(np.float64)
+        asked = np.flatnonzero(ids[dim] % 20 == 0)
+        scores = x[asked] @ x.T
+        scores[np.arange(len(asked)), asked] = -np.inf
+        least = np.partition(scores, -20, axis=1)[:, -20]
+        hits = [sum(s >= at - 1e-9 for s in got[int(i)]) for i, at in zip(ids[dim][asked], least, strict=True)]
+        print(f"recall {dim}: {np.mean(hits) / 20:.4f}")
+        assert np.mean(hits) / 20 >= 0.95
+
+
 @pytest.mark.parametrize("lengths", [False, True])
 def test_graph_search(spark, lengths):
     rng = np.random.default_rng(14)
