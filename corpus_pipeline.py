@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.llm import bpe, minhash, mixing, quality, substrings
 from siltstone.llm.queries import vocabulary
-from siltstone.runtime import durable
+from siltstone.runtime import passing_scratch, scratch_dir
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +58,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tokens of all documents that reach training."""
+    """The tokens of all documents that reach training.
+
+    What a stage wrote on its way is removed once its result is written; the
+    last stage is planned only, and reads the result before it.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = durable(stage(spark, docs, sf_dir), name)
+        path = scratch_dir(spark, name)
+        with passing_scratch(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
