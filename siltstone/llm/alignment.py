@@ -13,9 +13,10 @@ so that no text is encoded twice. Only id pairs, folded for each chunk, are
 counted across the corpus; the counts come back to the chunks, and no task sees
 a table of all pairs. A frequent pair is one row for each chunk that has it.
 
-Long texts are encoded in pieces, cut at a space between two letters: there the
-first tokenizer always cuts, and the second has no token that goes on across a
-space (checked when it is loaded).
+Texts are encoded in words, cut at each space that has no white space beside it:
+there the first tokenizer always cuts, and the second has no token that goes on
+across a space (checked when it is loaded; else texts stay whole). So a worker
+encodes a word once and looks it up from then on, in a lexicon of bounded size.
 
 Defined results: texts that are null, empty, or whose bytes the tokens of either
 don't spell (such as a text that holds the second one's sign for a space) have
@@ -29,9 +30,11 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +47,10 @@ from siltstone.llm.arrow_text import narrow_batches
 from siltstone.llm.bpe import byte_letters
 from siltstone.runtime import durable
 
-#: Bytes of text in a chunk, characters encoded at once, links worked out at once.
-CHUNK, PIECE, ROWS = 2 << 20, 1 << 16, 1 << 22
+#: Characters in a chunk, links worked out at once, words and characters in a lexicon.
+CHUNK, ROWS, WORDS, LEXICON = 2 << 20, 1 << 22, 400_000, 8 << 20
+#: New words encoded in one text.
+TOGETHER = 4096
 #: Fixed value: the second vocabulary's sign for a space.
 SPACE = "▁"
 
@@ -152,23 +157,74 @@ class Pair:
             [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         )
         self.cuts = not any(SPACE in p.lstrip(SPACE) for p in pieces)
-        self.names_a = [str(i) for i in range(len(self.bytes_a[0]))]
-        self.names_b = [str(i) for i in range(len(self.bytes_b[0]))]
+        self.decimals = _table([str(i).encode() for i in range(max(len(self.bytes_a[0]), len(self.bytes_b[0])))])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.held = 0
+        none = np.empty(0, np.int32)
+        self.sizes, self.ids = [none, none], [none, none]
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words by both libraries and add them to the lexicon."""
+        joined = [w for w in words if not w[0].isspace() and not w[-1].isspace()]
+        others = [w for w in words if w[0].isspace() or w[-1].isspace()]
+        for side, table in enumerate((self.bytes_a, self.bytes_b)):
+            for part in (self._joined(side, table, joined), self._encoded(side, others)):
+                self.sizes[side] = np.append(self.sizes[side], part[0])
+                self.ids[side] = np.append(self.ids[side], part[1])
+        self.place.update(zip(joined + others, range(len(self.place), len(self.place) + len(words)), strict=True))
+        self.held += sum(map(len, words))
+
+    def _encoded(self, side: int, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens of each text, ids) of one library."""
+        if side:
+            found = self.b.encode(texts, num_threads=1) if texts else []
+        else:
+            found = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int32, len(found))
+        return sizes, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+
+    def _joined(self, side: int, table: tuple, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`_encoded`, for words that may stand in one text: a call costs more than a word.
+
+        Tokens are told apart by their bytes. If a word doesn't end where a token
+        does, its tokens don't spell it, and words are encoded one by one.
+        """
+        texts = [" ".join(words[at : at + TOGETHER]) for at in range(0, len(words), TOGETHER)]
+        ids = self._encoded(side, texts)[1]
+        token_ends = np.cumsum(table[0][ids])
+        word_ends = np.cumsum(np.fromiter((len(w.encode()) + 1 for w in words), np.int64, len(words)))
+        last = np.searchsorted(token_ends, word_ends)
+        inside = last < len(token_ends)
+        if not inside.all() or (token_ends[last] != word_ends).any():
+            return self._encoded(side, words)
+        return np.diff(np.append(-1, last)).astype(np.int32), ids
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids a, tokens a of each text, ids b, tokens b of each text); nothing of an empty text."""
-        parts, owner = [], []
+        words: list[str] = []
+        counts = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            for part in pieces_of(text) if self.cuts else [text] * bool(text):
-                parts.append(part)
-                owner.append(i)
-        found_a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
-        found_b = self.b.encode(parts, num_threads=1) if parts else []
-        out, owner = [], np.array(owner, np.int64)
-        for found in (found_a, found_b):
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            out.append(np.fromiter((i for ids in found for i in ids), np.int32, int(sizes.sum())))
-            out.append(np.bincount(owner, sizes, len(texts)).astype(np.int64))
+            of_text = words_of(text) if self.cuts else [text] * bool(text)
+            counts[i] = len(of_text)
+            words += of_text
+        distinct = set(words)
+        if len(self.place) + len(distinct) > WORDS or self.held > LEXICON:
+            self._forget()
+        new = [w for w in distinct if w not in self.place]
+        if new:
+            self._learn(new)
+        place = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        owner = np.repeat(np.arange(len(texts)), counts)
+        out = []
+        for sizes, ids in zip(self.sizes, self.ids, strict=True):
+            begins = np.cumsum(sizes, dtype=np.int64) - sizes
+            many = sizes[place].astype(np.int64)
+            ends = np.cumsum(many)
+            out.append(ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[place] - (ends - many), many)])
+            out.append(np.bincount(owner, many, len(texts)).astype(np.int64))
         return tuple(out)
 
 
@@ -178,23 +234,15 @@ def _table(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return sizes, np.cumsum(sizes) - sizes, np.frombuffer(b"".join(tokens), np.uint8)
 
 
-def pieces_of(text: str, size: int | None = None) -> Iterator[str]:
-    """A text cut at single spaces between letters, which belong to neither piece.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+_BESIDE = re.compile(r" \s|\s |\A | \Z")
 
-    A text without such a place for long stays whole for as long.
-    """
-    size = size or PIECE
-    at = 0
-    while len(text) - at > size:
-        cut = text.find(" ", at + size)
-        while cut >= 0 and not (text[cut - 1].isalpha() and text[cut + 1 : cut + 2].isalpha()):
-            cut = text.find(" ", cut + 1)
-        if cut < 0:
-            break
-        yield text[at:cut]
-        at = cut + 1
-    if at < len(text):
-        yield text[at:]
+
+def words_of(text: str) -> list[str]:
+    """A text cut at spaces without white space beside them, which belong to neither word."""
+    if not text:
+        return []
+    return _CUT.split(text) if _BESIDE.search(text) else text.split(" ")
 
 
 @lru_cache(maxsize=2)
@@ -239,25 +287,27 @@ class Aligned:
         """The matrices whose product links all tokens of a group."""
         return membership(self.group_a, self.groups), transposed(membership(self.group_b, self.groups))
 
-    def group_texts(self) -> list[str]:
+    def group_texts(self) -> list[bytes]:
         """``a1,a2|b1;a3|b2,b3`` of each text, groups in order."""
-        ids = [self.pair.names_a[i] for i in self.a.tolist()] + [self.pair.names_b[i] for i in self.b.tolist()]
+        sizes, begins, digits = self.pair.decimals
+        ids = np.concatenate([self.a, self.b])
         text = np.concatenate([self.of_a, self.of_b])
-        side = np.repeat([0, 1], [len(self.a), len(self.b)])
+        side = np.repeat(np.array([0, 1], np.int8), [len(self.a), len(self.b)])
         group = np.concatenate([self.group_a, self.group_b])
         order = np.argsort(group * 2 + side, kind="stable")
-        text, side, group = text[order], side[order], group[order]
-        after = np.full(len(order), ",", object)
-        after[:-1][side[1:] != side[:-1]] = "|"
-        after[:-1][group[1:] != group[:-1]] = ";"
-        if len(order):
-            after[np.append(text[1:] != text[:-1], True)] = ""
-        out = np.empty(2 * len(order), object)
-        out[0::2] = np.array(ids, object)[order] if len(order) else out[0::2]
-        out[1::2] = after
-        edges = 2 * np.searchsorted(text, np.arange(self.n + 1))
-        flat = out.tolist()
-        return ["".join(flat[i:j]) for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        ids, text, side, group = ids[order], text[order], side[order], group[order]
+        mark = np.full(len(order), ord(","), np.uint8)
+        mark[:-1][side[1:] != side[:-1]] = ord("|")
+        mark[:-1][group[1:] != group[:-1]] = ord(";")
+        many = sizes[ids] + 1  # a number and the mark behind it
+        ends = np.cumsum(many)
+        take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[ids] - (ends - many), many)
+        flat = digits[np.minimum(take, len(digits) - 1)]
+        flat[ends - 1] = mark
+        edges = np.append(0, ends)[np.searchsorted(text, np.arange(self.n + 1))].tolist()
+        raw = flat.tobytes()
+        # The last mark of a text belongs to no one.
+        return [raw[i : max(i, j - 1)] for i, j in zip(edges[:-1], edges[1:], strict=True)]
 
     def per_text(self, of: np.ndarray) -> np.ndarray:
         return np.bincount(of, minlength=self.n).astype(np.int64)
@@ -310,7 +360,7 @@ def chunk_rows(pair: Pair, number: int, ids: pa.Array, texts: list[str | None])
     found = Aligned(pair, texts)
     parts = [(a, b) for a, b, _ in products(*found.by_bytes())] or [(np.empty(0, np.int64),) * 2]
     a, b = (np.concatenate(x) for x in zip(*parts, strict=True))
-    width = len(pair.names_b)
+    width = len(pair.bytes_b[0])
     pairs, link, count = np.unique(found.a[a].astype(np.int64) * width + found.b[b], return_inverse=True, return_counts=True)
     link = link.astype(np.uint16 if len(pairs) <= 1 << 16 else np.uint32)
     of = found.of_a[a]
@@ -332,7 +382,7 @@ def chunk_rows(pair: Pair, number: int, ids: pa.Array, texts: list[str | None])
             pa.array(found.per_text(found.of_a[first_group])),
             pa.array(n_links),
             pa.array(shared),
-            pa.array([hashlib.sha256(t.encode()).hexdigest() if t else "" for t in found.group_texts()]),
+            pa.array([hashlib.sha256(t).hexdigest() if t else "" for t in found.group_texts()]),
             blobs,
             *lists,
         ],

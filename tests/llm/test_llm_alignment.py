@@ -161,15 +161,30 @@ def test_tokens_spell_the_text(spark, libraries):
         assert [row.groups_b.count(g) for g in range(len(want))] == [len(b) for _, b in want]
 
 
-def test_pieces_of_long_texts_have_the_tokens_of_the_whole(libraries, monkeypatch):
-    monkeypatch.setattr(alignment, "PIECE", 5)
+ODD = st.text(st.sampled_from(list("abest' \n\t\x85\x1c.,\"0192½²é你<|>_▁-ΩЖ😀́　   ")), max_size=40)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(ODD | st.sampled_from([t for _, t in TEXTS if t]), min_size=1, max_size=6))
+def test_words_have_the_tokens_of_whole_texts(texts):
     both = alignment.pair(A, B)
-    texts = [t for _, t in TEXTS if t] + ["one two three's four 5 six  seven\teight é Ω nine"]
     a, count_a, b, count_b = both.encode(texts)
-    assert sum(len(list(alignment.pieces_of(t))) for t in texts) > 3 * len(texts)
-    whole_a = [e.ids for e in both.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-    assert [x.tolist() for x in np.split(a, np.cumsum(count_a)[:-1])] == whole_a
-    assert [x.tolist() for x in np.split(b, np.cumsum(count_b)[:-1])] == both.b.encode(texts)
+    whole = [e.ids for e in both.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in np.split(a, np.cumsum(count_a)[:-1])] == [w if t else [] for t, w in zip(texts, whole, strict=True)]
+    assert [x.tolist() for x in np.split(b, np.cumsum(count_b)[:-1])] == [both.b.encode(t) if t else [] for t in texts]
+    assert all(" ".join(alignment.words_of(t)) == t for t in texts)
+
+
+def test_a_full_lexicon_starts_anew(monkeypatch):
+    both = alignment.Pair(A, B)
+    texts = ["one two three", "four five", "one six", "x" * 50]
+    want = [x.tolist() for x in both.encode(texts)]
+    for words, chars in ((3, 1000), (1000, 10)):
+        monkeypatch.setattr(alignment, "WORDS", words)
+        monkeypatch.setattr(alignment, "LEXICON", chars)
+        for _ in range(3):
+            assert [x.tolist() for x in both.encode(texts)] == want
+            assert len(both.place) == 7
 
 
 @settings(max_examples=60, deadline=None)
