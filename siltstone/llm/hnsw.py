@@ -40,9 +40,9 @@ from siltstone.runtime import durable
 SHARD = 8192
 QUERY_BLOCK = 2048
 #: Links of a node in upper layers; layer 0 has twice as many.
-WIDTH = 16
+WIDTH = 24
 #: Beam of a search while building, and for queries.
-EF_BUILD, EF_SEARCH = 200, 400
+EF_BUILD, EF_SEARCH = 200, 800
 #: Nodes that enter at once, and beam entries expanded at once.
 BATCH, AT_ONCE = 128, 4
 
