@@ -322,8 +322,9 @@ def _same_id(sets: DataFrame, classes: DataFrame, id_col: str) -> DataFrame:
     held = sets.where(F.col("_count") > 0)
     several = (
         held.groupBy(F.col(id_col).alias("_several"))
-        .agg(F.min(F.struct("_d1", "_d2")).alias("_low"), F.max(F.struct("_d1", "_d2")).alias("_high"))
-        .where(F.col("_low") != F.col("_high"))
+        .agg(*[f(d).alias(f"{f.__name__}{d}") for f in (F.min, F.max) for d in ("_d1", "_d2")])
+        .where((F.col("min_d1") != F.col("max_d1")) | (F.col("min_d2") != F.col("max_d2")))
+        .select("_several")
     )
     return (
         held.join(several, F.col(id_col) == F.col("_several"))

@@ -6,19 +6,23 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from siltstone.llm import (
+    alignment,
     bpe,
     hnsw,
     licenses,
+    manifest,
     minhash,
     mixing,
     quality,
     sharding,
     substrings,
+    suffixes,
     token_counts,
     topk,
 )
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 LONG = "wörd and another thing " * 20_000
 ROWS = [
     (1, "some words of a text that is kept", "en", "a", 33),
@@ -58,8 +62,12 @@ OPERATORS = {
     "keep_good": lambda d, labels: quality.keep_good(d, labels),
     "near_duplicates": lambda d, labels: minhash.near_duplicates(d),
     "keep_one": lambda d, labels: minhash.keep_one(d),
+    "manifest": lambda d, labels: manifest.audit(d),
+    "suffixes": lambda d, labels: suffixes.digests(d),
+    "alignment": lambda d, labels: alignment.summary(d, PATH, PIECES),
 }
 ROW_FOR_ROW = {"remove_repeats", "digests", "encode", "sharding", "licenses", "mixture", "near_duplicates"}
+ROW_FOR_ROW |= {"manifest", "suffixes", "alignment"}
 
 
 @pytest.mark.parametrize("name", sorted(OPERATORS))
