@@ -563,7 +563,9 @@ def _table(shard, ids, codes, begins, sizes) -> pa.Table:
 def _dealt(docs: DataFrame, id_col: str, text: str, total: int) -> DataFrame:
     """(shard, id, code, text) of texts; the code tells texts of one id apart.
 
-    The partition a row comes from spreads even equal rows.
+    The partition a row comes from spreads even equal rows. Three steps read what
+    is dealt here, mostly from one exchange; so that a lost executor recomputes the
+    same partitions, ``docs`` should be a scan of files or a written table.
     """
     shards = max(1, -(-total // SHARD_BYTES))
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("code"), F.col(text).alias("text"))
