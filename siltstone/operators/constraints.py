@@ -18,6 +18,7 @@ from siltstone.rules import POLICIES
 from siltstone.runtime import durable
 
 VIOLATIONS = "violations"
+_SOUND = "_sound"
 
 
 class ConstraintError(ValueError):
@@ -156,11 +157,13 @@ def enforce(
     marked = _mark(df, constraints, parents)
     if policy == "quarantine":
         marked = durable(marked, "judged")
-    sound = F.size(VIOLATIONS) == 0
-    return Enforced(marked.where(sound).select(*df.columns), marked.where(~sound))
+    # Rows are told apart by a flag: no list of names is made for those that are kept.
+    kept, rejected = marked.where(_SOUND), marked.where(f"NOT {_SOUND}")
+    return Enforced(kept.select(*df.columns), rejected.drop(_SOUND))
 
 
 def _mark(df: DataFrame, constraints: Sequence[Constraint], parents) -> DataFrame:
+    """``df`` with the names of the constraints each row breaks and whether there are none."""
     columns = df.columns
     unique = [c for c in constraints if isinstance(c, Unique)]
     if unique:
@@ -194,7 +197,8 @@ def _mark(df: DataFrame, constraints: Sequence[Constraint], parents) -> DataFram
                 .drop("_parent")
             )
         broken.append((c.name, F.col(f"_broken{i}")))
-    return df.select(*columns, _names(broken).alias(VIOLATIONS))
+    sound = reduce(lambda x, y: x & y, [~flag for _, flag in broken], F.lit(True))
+    return df.select(*columns, _names(broken).alias(VIOLATIONS), sound.alias(_SOUND))
 
 
 def _names(broken: list[tuple[str, Column]]) -> Column:

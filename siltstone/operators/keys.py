@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from siltstone.runtime import durable
 
-# A block holds at most 2**20 distinct ids, a group at most 2**22 blocks, and
-# the 64-bit range at most 2**22 groups.
-_BLOCK_BITS = 20
-_GROUP_BITS = 22
+# A block holds at most 2**18 distinct ids, a group at most 2**23 blocks, and
+# the 64-bit range at most 2**23 groups. A block is the work of one task: small
+# ones share out evenly.
+_BLOCK_BITS = 18
+_GROUP_BITS = 23
 
 #: Rows of one block that a task may sort; blocks beyond are folded and sliced.
 SORTED_ROWS = 1 << 22
@@ -24,8 +25,8 @@ def dense_key(df: DataFrame, id_col: str, key_col: str) -> DataFrame:
     """Number the rows 1..n in order of a *unique* whole-number id.
 
     ``row_number() over (order by id)`` would pull the table into one task.
-    Here ids are cut into blocks of 2**20 consecutive values. As ids are
-    unique, no block exceeds 2**20 rows however they are distributed, so each
+    Here ids are cut into blocks of 2**18 consecutive values. As ids are
+    unique, no block exceeds 2**18 rows however they are distributed, so each
     window below has a proven bound, and the result depends on the ids alone:
     nothing is sampled, and a lost executor recomputes the same keys.
     """
@@ -71,7 +72,7 @@ def ordered_key(
 ) -> DataFrame:
     """Number the rows 1..n in order of a number that may repeat, written nowhere on the way.
 
-    A histogram comes first: how many rows each block of 2**20 consecutive ids
+    A histogram comes first: how many rows each block of 2**18 consecutive ids
     has. ``counted``, if it has the same ids, is counted instead of ``df``, so a
     narrow scan does where ``df`` is much work. The rows then move once, by block,
     and are numbered inside their blocks from the histogram's offsets. Rows of one

@@ -6,8 +6,12 @@ Each layer is a set of logical plans over the one below; only the policy
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +51,7 @@ class Layer:
     """Named tables, each given as a DataFrame or as a function that plans it.
 
     A function is called when its table is first asked for, so a report plans
-    only the tables it reads.
+    only the tables it reads. Threads that ask for a table being planned wait.
     """
 
     TABLES: tuple[str, ...] = ()
@@ -56,19 +60,38 @@ class Layer:
         if set(tables) != set(self.TABLES):
             raise ValueError(f"{type(self).__name__} has the tables {self.TABLES}")
         self._tables = tables
+        self._locks = {name: threading.RLock() for name in tables}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in type(self).TABLES:
             raise AttributeError(name)
-        table = self._tables[name]
-        if callable(table):
-            table = self._tables[name] = table()
+        with self._locks[name]:
+            table = self._tables[name]
+            if callable(table):
+                table = self._tables[name] = table()
         return table
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in self.TABLES}
 
 
+def settle_all(spark: SparkSession, *layers: Layer) -> None:
+    """Ask for every table of ``layers``, each in a thread of its own.
+
+    A table waits for those it reads, and for no other: a small one is written
+    beside a large one instead of leaving most cores idle. All threads have ended
+    when this returns; of several errors, that of the first table is raised.
+    """
+    asked = [(layer, name) for layer in layers for name in layer.TABLES]
+    with ThreadPoolExecutor(len(asked)) as pool:
+        running = [
+            pool.submit(inheritable_thread_target(spark)(copy_context().run), getattr, layer, name)
+            for layer, name in asked
+        ]
+    for table in running:
+        table.result()
+
+
 class Bronze(Layer):
     TABLES = ("stg_skins", "stg_players", "stg_sales")
 

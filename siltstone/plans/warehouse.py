@@ -1,8 +1,9 @@
 """The warehouse as stored tables: every layer written, checked and commented.
 
 A build is a full refresh. Each table is written once, beside the published one,
-and the steps after it read the written table; when all are there, the public
-names are switched to them. A build that stops leaves the warehouse of the last
+and the steps after it read the written table; tables that don't read each other
+are written at the same time. When all are there, the public names are switched
+to them. A build that stops leaves the warehouse of the last
 one whole, and repeating it under its run id replaces what it had written. Rows
 that break a declared constraint are handled as ``rules.on_violation`` says; with
 ``quarantine`` they end up in a table named ``<table>_rejected`` next to the one
@@ -73,14 +74,12 @@ def build(
         bronze = layers.bronze(
             {name: (lambda df=df: df) for name, df in staged.tables().items()}, run.settle_bronze
         )
-        bronze.tables()
-        run.staged = bronze.stg_sales
+        run.bronze = bronze
         silver = layers.silver(spark, bronze, rules, run.settle_silver, run.check_dimension)
-        silver.tables()
         gold = layers.gold(silver, rules, run.settle_gold, run.judge_gold)
-        gold.tables()
+        layers.settle_all(spark, bronze, silver, gold)
         keep_metrics(store, run.run.run_id, silver.data_quality_log, keep_log)
-    run.run.publish()
+    run.run.publish(last=("gold", "fact_sales"))
     built = open_warehouse(store)
     create_views(built.gold, store)
     return built
@@ -137,7 +136,7 @@ class _Build:
         self.run = run
         self.rules = rules
         self.keep_log = keep_log
-        self.staged: DataFrame | None = None
+        self.bronze: Bronze | None = None
 
     def settle_bronze(self, name: str, df: DataFrame) -> DataFrame:
         rules = layers.stg_constraints(self.rules).get(name, [])
@@ -149,7 +148,7 @@ class _Build:
 
     def settle_silver(self, name: str, df: DataFrame) -> DataFrame:
         if name == "fact_sale":
-            return self._refresh("silver", name, keyed_facts(df, self.staged), "created_at")
+            return self._refresh("silver", name, keyed_facts(df, self.bronze.stg_sales), "created_at")
         if name == "fact_sale_quarantine":
             df = self._checked("silver", name, df, layers.quarantine_constraints())
             numbered = ordered_key(df, "transaction_id", "quarantine_id")

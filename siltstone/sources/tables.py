@@ -160,14 +160,14 @@ class Run:
         self.written[layer, table] = comment
         return self.store._save(layer, _stored(table, self.run_id), df, comment, partition_by)
 
-    def publish(self) -> None:
-        """Point the public names at this run; the last table written goes last.
+    def publish(self, last: tuple[str, str] | None = None) -> None:
+        """Point the public names at this run; the table ``last`` names goes last.
 
         The run before stays stored, for readers that began with it; older ones
         and those that never were published are dropped.
         """
         before = {key: self.store.published(*key) for key in self.written}
-        for (layer, table), comment in self.written.items():
+        for (layer, table), comment in sorted(self.written.items(), key=lambda entry: entry[0] == last):
             name = self.store.name(layer, _stored(table, self.run_id))
             self.store.create_view(layer, table, f"SELECT * FROM {name}", comment, **{_PROPERTY: self.run_id})
         for (layer, table), earlier in before.items():
