@@ -10,6 +10,10 @@ document gives its first words only. A word's position in training is where
 its source's cumulative demand reaches it, so inverting the demand gives each
 copy of a document a position, and a range sort by it gives the training order.
 
+:func:`schedule` is the mix in that order, one row per copy of a document;
+:func:`mixture` adds up what each document gives to it, and
+:func:`training_order` puts the texts into it.
+
 Everything is built-in DataFrame functions. No window holds a whole source: a
 source is cut into 2**16 hash segments, windows run inside a segment and over
 the segments of a source. The plan over the sources has one row per source.
@@ -39,7 +43,8 @@ WORD_AND_GAP = r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"
 class Mix:
     """Mean weights of the sources in order, repeating; tilts of their schedules.
 
-    A tilt of a lets the weight run from (1 - a) to (1 + a) times its mean.
+    A tilt of a lets the weight run from (1 - a) to (1 + a) times its mean, so
+    the schedule's integral over training is that mean.
     """
 
     weights: Sequence[float] = (5.0, 2.0, 1.0)
@@ -161,14 +166,77 @@ def _position(k: Column) -> Column:
     return F.col("_all_words") * t + F.col("_drift") * (t * t - t)
 
 
+_PLAN = ("_words", "_source_size", "_tilt", "_all_words", "_drift")
+
+
+def _copies(placed: DataFrame, cap: int) -> DataFrame:
+    """A row for each pass that takes words of a document: how many, and where they come in training."""
+    return (
+        placed.withColumn("_pass", F.explode(F.array(*[F.lit(k) for k in range(cap)])))
+        .withColumn("_part", _taken(F.col("_pass")))
+        .where(F.col("_part") > 0)
+        .withColumn("_position", _position(F.col("_pass")))
+    )
+
+
+def _in_training_order(copies: DataFrame) -> DataFrame:
+    """A range sort; source and place tell apart copies of repeated rows."""
+    key = F.coalesce(F.col("_id").cast("string"), F.lit(""))
+    return copies.orderBy("_position", key, "_pass", "_no_source", "_source", "_at")
+
+
+def _scheduled(placed: DataFrame, cap: int) -> DataFrame:
+    """The copies of all documents in training order, written once."""
+    document = ["_id", "_size", "_no_source", "_source", "_at", "_target"]
+    narrow = placed.where(F.col("_taken") > 0).select(*document, *_PLAN)
+    return durable(_in_training_order(_copies(narrow, cap)), "training")
+
+
+def schedule(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """(doc_id, source, pass, words, position): the mix in training order, one row per copy.
+
+    ``position`` is how many words of all sources training has met before.
+    """
+    return _scheduled(demand(docs, mix), mix.cap).select(
+        F.col("_id").alias("doc_id"),
+        F.when(~F.col("_no_source"), F.col("_source")).alias("source"),
+        F.col("_pass").alias("pass"),
+        F.col("_part").alias("words"),
+        F.col("_position").alias("position"),
+    )
+
+
 def mixture(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every document."""
-    return demand(docs, mix).select(
+    """(doc_id, size, source_size, target, taken, first_at, last_at) of every document.
+
+    ``taken`` adds up the document's copies in the training order, ``first_at``
+    and ``last_at`` are where the first and the last of them come in training;
+    null for documents that take no part. A document that takes part has words,
+    so its place in its source is its own.
+    """
+    placed = durable(demand(docs, mix), "placed")
+    document = ["_id", "_size", "_no_source", "_source", "_at", "_source_size", "_target"]
+    taken = (
+        _scheduled(placed, mix.cap)
+        .groupBy(*document)
+        .agg(
+            F.sum("_part").alias("taken"),
+            F.min("_position").alias("first_at"),
+            F.max("_position").alias("last_at"),
+        )
+    )
+    nowhere = F.lit(None).cast("double")
+    others = placed.where(F.col("_taken") == 0).select(
+        *document, F.col("_taken").alias("taken"), nowhere.alias("first_at"), nowhere.alias("last_at")
+    )
+    return taken.union(others).select(
         F.col("_id").alias("doc_id"),
         F.col("_size").alias("size"),
         F.col("_source_size").alias("source_size"),
         F.col("_target").alias("target"),
-        F.col("_taken").alias("taken"),
+        "taken",
+        "first_at",
+        "last_at",
     )
 
 
@@ -183,11 +251,7 @@ def training_order(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     key = F.coalesce(F.col("_id").cast("string"), F.lit(""))
     placed = demand(docs, mix).where(F.col("_taken") > 0).withColumn("_key", key)
     nth = F.row_number().over(Window.partitionBy(*same).orderBy("_at"))
-    places = placed.select(
-        *same,
-        nth.alias("_nth"),
-        *["_size", "_at", "_words", "_source_size", "_tilt", "_all_words", "_drift"],
-    )
+    places = placed.select(*same, nth.alias("_nth"), *["_id", "_size", "_at", *_PLAN])
     # The row travels as one column, so that its names can't clash with ours.
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     texts = docs.select(
@@ -197,14 +261,7 @@ def training_order(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         F.col("source").isNull().alias("_no_source"),
         F.coalesce(F.col("source"), F.lit("")).alias("_source"),
     ).withColumn("_nth", F.row_number().over(Window.partitionBy(*same).orderBy(F.xxhash64("_row"))))
-    copies = (
-        texts.join(places, [*same, "_nth"])
-        .withColumn("_pass", F.explode(F.array(*[F.lit(k) for k in range(mix.cap)])))
-        .withColumn("_part", _taken(F.col("_pass")))
-        .where(F.col("_part") > 0)
-        .withColumn("_position", _position(F.col("_pass")))
-        .orderBy("_position", "_key", "_pass")
-    )
+    copies = _in_training_order(_copies(texts.join(places, [*same, "_nth"]), mix.cap))
     cut = F.col("_part") < F.col("_size")
     first_words = F.array_join(
         F.slice(
