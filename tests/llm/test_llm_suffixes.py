@@ -5,6 +5,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -58,6 +59,70 @@ def test_least_owner_of_equal_strings(texts, depth):
         assert least[i] == min(same)
 
 
+def one_unit(texts):
+    rows = [(len(texts) - i, i, 0, np.frombuffer(t, np.uint8)) for i, t in enumerate(texts)]
+    ids, codes, at, pieces = zip(*rows, strict=True)
+    offsets = np.append(0, np.cumsum([len(p) for p in pieces]))
+    return suffixes.Unit(pa.array(ids), np.array(codes), np.array(at), np.concatenate(pieces), offsets)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(TEXTS.filter(len), min_size=1, max_size=6), st.sampled_from([25, 40, 50]), st.sampled_from([8, 16, 1 << 14]))
+def test_strings_that_smaller_ids_have(texts, length, stretch):
+    unit = one_unit([t * 3 for t in texts] + [texts[0] * 5])
+    whole, suffixes.STRETCH = suffixes.STRETCH, stretch
+    try:
+        marks, counts = suffixes.marks_of(unit, length, 4)
+    finally:
+        suffixes.STRETCH = whole
+    valid = unit.strings(length)
+    owner = np.asarray(unit.ids)[unit.text]
+    raw = unit.data.tobytes()
+    ends = unit.offsets[1:][unit.text]
+    assert valid.tolist() == [p + length <= e for p, e in enumerate(ends)]
+    least, mark_of = {}, {}
+    for p, mark in enumerate(np.repeat(marks, counts).tolist()):
+        if valid[p]:
+            text = raw[p : p + length]
+            least[text] = min(least.get(text, owner[p]), owner[p])
+            assert mark_of.setdefault(text, mark) == mark
+    got = suffixes.owned_before(unit, valid, marks, counts, length)
+    assert got.tolist() == [bool(valid[p]) and least[raw[p : p + length]] < owner[p] for p in range(len(raw))]
+
+
+def test_suffix_arrays_leave_unique_text_out(monkeypatch):
+    rng = random.Random(4)
+    shared = bytes(rng.randrange(97, 123) for _ in range(300))
+    unit = one_unit([bytes(rng.randrange(97, 123) for _ in range(2000)) + shared for _ in range(20)])
+    sizes, whole = [], suffixes.suffix_array
+    monkeypatch.setattr(suffixes, "suffix_array", lambda word, depth: sizes.append(len(word)) or whole(word, depth))
+    table = pa.table(
+        [pa.array([0] * 20), unit.ids, pa.array(unit.codes), [unit.data[b:e].tobytes().decode() for b, e in zip(unit.offsets[:-1], unit.offsets[1:], strict=True)]],
+        ["shard", "id", "code", "text"],
+    )
+    known = [p for b in suffixes.shard_marks(table, 1, 8, 50) for p in zip(*(b[c].to_pylist() for c in ("ids", "sizes", "bytes")), strict=True) if p[2] is None]
+    assert [sorted(k[0]) for k in known] == [list(range(2, 21))] and set(known[0][1]) <= {300, 301, 302}  # or a letter more by chance
+    assert sum(sizes) <= 20 * 400  # of 46,000 bytes
+
+
+def test_touching_spans_are_one():
+    rows = [(2, 7, 50, 60), (2, 7, 0, 30), (1, 9, 5, 6), (2, 7, 10, 20), (2, 7, 30, 40), (2, 8, 40, 90), (2, 8, 40, 90)]
+    table = pa.table([pa.array(c) for c in zip(*[(0, *r) for r in rows], strict=True)], suffixes.SPANS)
+    want = [(1, 9, 5, 6), (2, 7, 0, 40), (2, 7, 50, 60), (2, 8, 40, 90)]
+    assert list(zip(*(c.to_pylist() for c in suffixes.merged_spans(table).columns), strict=True)) == want
+    assert suffixes.merged_spans(table.slice(0, 0)).num_rows == 0
+
+
+@pytest.mark.parametrize("length", [1, 7, 8, 9, 50])
+def test_alike_reads_all_bytes(length):
+    data = np.zeros(4 * length + 1, np.uint8)
+    for k in range(length):
+        data[2 * length :] = 0
+        data[2 * length + k] = 1
+        a, b = np.array([0, 2 * length, 0]), np.array([1, 0, length])
+        assert suffixes.alike(data, a, b, length).tolist() == [True, False, True]
+
+
 def test_words():
     for text in (b"", b"a", b"abcdefghij", b"\0\xff" * 9):
         got = suffixes.words(np.frombuffer(text, np.uint8)).tolist()
