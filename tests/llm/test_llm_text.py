@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -313,3 +314,21 @@ def test_shingle_hashes_stand_for_shingles(texts, width):
         seen[i] = (want, mine)
     for a, b in [(x, y) for x in seen for y in seen]:
         assert len(seen[a][0] & seen[b][0]) == len(seen[a][1] & seen[b][1])
+
+
+def test_hashing_a_block_takes_little_memory(monkeypatch):
+    rng = np.random.default_rng(5)
+    data = rng.integers(97, 123, arrow_text.BLOCK_BYTES).astype(np.uint8)
+    data[rng.random(len(data)) < 0.15] = 32
+    data[500_000:700_000] = 97  # one long word
+    _, starts, ends = shingles.words(data, np.array([0, len(data)]), shingles.NOT_WHITE)
+    monkeypatch.setattr(shingles, "_powers", [])
+    tracemalloc.start()
+    try:
+        found = shingles.range_hashes(data, starts, ends)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 16 * len(data)
+    monkeypatch.setattr(shingles, "PORTION", len(data))
+    assert np.array_equal(found, shingles.range_hashes(data, starts, ends))
